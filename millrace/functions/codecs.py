@@ -8,12 +8,16 @@ from pyspark.sql import types as T
 
 
 def decode_json(messages: DataFrame, schema: T.StructType, *extra: str) -> DataFrame:
-    """Parse the ``value`` bytes into a struct column ``value``; keep the ``extra`` columns.
+    """Parse the ``value`` bytes into one column per field; keep the ``extra`` columns.
 
-    Text that is no JSON gives a struct of nulls, a field of the wrong type a null field.
+    Text that is no JSON gives nulls throughout, a field of the wrong type a null field.
+
+    The parse sits inside a generator because the optimizer moves filters (also inferred
+    ones, like a join's "key is not null") below a projection by repeating its
+    expressions, and so would parse every message once more per filter.
     """
-    parsed = F.from_json(F.col("value").cast("string"), schema).alias("value")
-    return messages.select(parsed, *extra)
+    parsed = F.from_json(F.col("value").cast("string"), schema)
+    return messages.select(*extra, F.inline(F.array(parsed)))
 
 
 def encode_json(*columns: Column | str) -> Column:

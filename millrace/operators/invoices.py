@@ -12,16 +12,14 @@ from millrace.functions.money import loyalty_points
 from millrace.schemas import ADDRESS_COLUMNS, INVOICE, ITEM_COLUMNS, NOTIFICATION, keep
 
 
-def flatten(invoices: DataFrame, header: Sequence[str], root: str = "") -> DataFrame:
+def flatten(invoices: DataFrame, header: Sequence[str]) -> DataFrame:
     """One row per line item: header, delivery address and item columns.
 
-    Invoices without items give no row. ``root`` is the prefix of the invoice fields,
-    "value." after decoding a message.
+    Invoices without items give no row.
     """
     items = invoices.selectExpr(
-        *[f"{root}{name}" for name in header],
-        *[f"{root}DeliveryAddress.{name}" for name in ADDRESS_COLUMNS],
-        f"explode({root}InvoiceLineItems) as LineItem")
+        *header, *[f"DeliveryAddress.{name}" for name in ADDRESS_COLUMNS],
+        "explode(InvoiceLineItems) as LineItem")
     return items.select(
         *header, *ADDRESS_COLUMNS, *[F.col(f"LineItem.{name}").alias(name) for name in ITEM_COLUMNS])
 
@@ -29,7 +27,7 @@ def flatten(invoices: DataFrame, header: Sequence[str], root: str = "") -> DataF
 def flatten_messages(messages: DataFrame, header: Sequence[str]) -> DataFrame:
     """``flatten`` over JSON messages, parsing only the fields it keeps."""
     fields = [*header, *[f"DeliveryAddress.{name}" for name in ADDRESS_COLUMNS], "InvoiceLineItems"]
-    return flatten(decode_json(messages, keep(INVOICE, fields)), header, root="value.")
+    return flatten(decode_json(messages, keep(INVOICE, fields)), header)
 
 
 def notifications(messages: DataFrame) -> DataFrame:
@@ -38,7 +36,7 @@ def notifications(messages: DataFrame) -> DataFrame:
     Malformed messages are kept: null key, empty object.
     """
     fields = ["InvoiceNumber", "CustomerCardNo", "TotalAmount"]
-    invoices = decode_json(messages, keep(INVOICE, fields)).select("value.*")
+    invoices = decode_json(messages, keep(INVOICE, fields))
     earned = invoices.withColumn("EarnedLoyaltyPoints", loyalty_points("TotalAmount"))
     body = ", ".join(f"'{name}', {name}" for name in NOTIFICATION.fieldNames())
     return earned.select(*message(F.col("InvoiceNumber"), F.expr(f"to_json(named_struct({body}))")))

@@ -15,8 +15,7 @@ from millrace.sources.tables import CassandraTable, FileTable
 
 def logins_from(messages: DataFrame) -> DataFrame:
     """Logins of JSON messages with their parsed time."""
-    return decode_json(messages, LOGIN).select("value.*") \
-        .withColumn("created_time", parse_time("created_time"))
+    return decode_json(messages, LOGIN).withColumn("created_time", parse_time("created_time"))
 
 
 def with_user(logins: DataFrame, users: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ def buy_sell(trades: DataFrame) -> DataFrame:
 
 def trades_from(messages: DataFrame) -> DataFrame:
     """Trades of JSON messages with their parsed time and both amounts."""
-    trades = decode_json(messages, keep(TRADE, ["CreatedTime", "Type", "Amount"])).select("value.*")
+    trades = decode_json(messages, keep(TRADE, ["CreatedTime", "Type", "Amount"]))
     return buy_sell(trades.withColumn("CreatedTime", parse_time("CreatedTime")))
 
 

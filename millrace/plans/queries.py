@@ -39,11 +39,11 @@ def cents(total: str) -> Column:
     return F.round(total, 2).alias(total)
 
 
-def _stream(tables: Tables, feed: str, topic: str | None = None) -> DataFrame:
+def _stream(tables: Tables, feed: str, topic: str | None = None, positions: bool = False) -> DataFrame:
     topics = tables.topics(feed)
     name = topic or feed
-    return topics.stream(tables.spark, name,
-                         files_per_trigger=tables.files_per_batch(topics.path(name)))
+    files = tables.files_per_batch(topics.path(name))
+    return topics.stream(tables.spark, name, files_per_trigger=files, positions=positions)
 
 
 def file_invoice_flatten(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,7 +77,7 @@ def loyalty_notifications(spark: SparkSession, folder: str) -> DataFrame:
 
 def _decoded(messages: DataFrame, schema: T.StructType, key: str) -> DataFrame:
     return decode_json(messages, schema, "key") \
-        .select(F.col("key").cast("string").alias(key), "value.*")
+        .select(F.col("key").cast("string").alias(key), *schema.fieldNames())
 
 
 def _publish_items(tables: Tables, work: str) -> Topics:
@@ -100,10 +100,9 @@ def avro_items_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def _item_values(messages: DataFrame) -> DataFrame:
     """Line items of JSON invoice messages, in the struct column the rewards take."""
     fields = ["CustomerType", "CustomerCardNo", "InvoiceLineItems.TotalValue"]
-    invoices = decode_json(messages, keep(INVOICE, fields))
-    items = invoices.select("value.CustomerType", "value.CustomerCardNo",
-                            F.explode("value.InvoiceLineItems").alias("item"))
-    return items.select(F.struct("CustomerType", "CustomerCardNo", "item.TotalValue").alias("value"))
+    items = decode_json(messages, keep(INVOICE, fields)).select(
+        "CustomerType", "CustomerCardNo", F.explode("InvoiceLineItems.TotalValue").alias("TotalValue"))
+    return items.select(F.struct("*").alias("value"))
 
 
 def customer_rewards(spark: SparkSession, folder: str) -> DataFrame:
@@ -233,8 +232,8 @@ def impression_click_join(spark: SparkSession, folder: str) -> DataFrame:
         tables.topics("impressions").table(tables.spark, "impressions"), inventory_id(IMPRESSION),
         tables.topics("clicks").table(tables.spark, "clicks"), inventory_id(CLICK),
         partitions=int(tables.spark.conf.get("spark.sql.shuffle.partitions")))
-    joined = impression_clicks(impressions_from(_stream(tables, "impressions")),
-                               clicks_from(_stream(tables, "clicks")),
+    joined = impression_clicks(impressions_from(_stream(tables, "impressions", positions=True)),
+                               clicks_from(_stream(tables, "clicks", positions=True)),
                                frozen(hot, f"{work}/hot-keys"))
     drain(parquet_sink(joined, f"{work}/out"), f"{work}/checkpoint")
     return tables.spark.read.parquet(f"{work}/out") \
@@ -264,7 +263,7 @@ def trade_windows(spark: SparkSession, folder: str) -> DataFrame:
 
 def _trades(tables: Tables) -> DataFrame:
     messages = tables.topics("stock-trades").table(tables.spark, "stock-trades")
-    return decode_json(messages, TRADE).select("value.*")
+    return decode_json(messages, TRADE)
 
 
 def json_decode(spark: SparkSession, folder: str) -> DataFrame:
@@ -288,8 +287,7 @@ def prime_filter(spark: SparkSession, folder: str) -> DataFrame:
     tables = Tables.of(spark, folder)
     messages = tables.topics("invoice-headers").table(tables.spark, "invoices")
     fields = ["InvoiceNumber", "CustomerType", "CustomerCardNo"]
-    return decode_json(messages, keep(INVOICE, fields)) \
-        .filter("value.CustomerType == 'PRIME'").select("value.*")
+    return decode_json(messages, keep(INVOICE, fields)).filter("CustomerType == 'PRIME'")
 
 
 QUERIES = {query.__name__: query for query in (

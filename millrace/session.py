@@ -7,10 +7,6 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Exploding a parsed array lets the optimizer infer `size(array) > 0` and push it
-# below the parse, where evaluating it means parsing every message a second time.
-REPARSING_RULE = "org.apache.spark.sql.catalyst.optimizer.InferFiltersFromGenerate"
-
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
@@ -39,8 +35,8 @@ def app_session(name: str, shuffle_partitions: int | None = None, master: str |
 def engine_session(spark: SparkSession, input_bytes: int = 0, **settings: str) -> SparkSession:
     """A session on the same cluster, with the caller's settings and the engine's own.
 
-    Kept apart from the caller's session because the time zone and the excluded
-    rule must hold for these dataflows and for nothing else.
+    Kept apart from the caller's session because the time zone and the state settings
+    must hold for these dataflows and for nothing else.
     """
     session = spark.newSession()
     for key, value in spark.conf.getAll.items():
@@ -48,10 +44,6 @@ def engine_session(spark: SparkSession, input_bytes: int = 0, **settings: str) -
             session.conf.set(key, value)
 
     session.conf.set("spark.sql.session.timeZone", "UTC")
-    excluded = spark.conf.get("spark.sql.optimizer.excludedRules", None)
-    rules = [rule for rule in (excluded, REPARSING_RULE) if rule]
-    session.conf.set("spark.sql.optimizer.excludedRules", ",".join(rules))
-
     # State is never dropped (no watermark), so it has to live outside the heap.
     _default(session, "spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     _default(session, "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")

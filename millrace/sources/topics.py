@@ -27,8 +27,12 @@ class Topics:
         return f"{self.folder.rstrip('/')}/{name}"
 
     def stream(self, spark: SparkSession, name: str, starting: str = "earliest",
-               files_per_trigger: int | None = None) -> DataFrame:
-        """Unbounded read. ``starting`` counts only while the query has no checkpoint."""
+               files_per_trigger: int | None = None, positions: bool = False) -> DataFrame:
+        """Unbounded read. ``starting`` counts only while the query has no checkpoint.
+
+        A folder fills ``partition`` and ``offset`` only if ``positions`` are asked for, as
+        they cost a file name per row.
+        """
         if self.brokers:
             return spark.readStream.format("kafka") \
                 .option("kafka.bootstrap.servers", self.brokers) \
@@ -40,9 +44,9 @@ class Topics:
         reader = spark.readStream.schema(STORED_MESSAGE)
         if files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-        return _as_topic(reader.parquet(self.path(name)), name)
+        return _as_topic(reader.parquet(self.path(name)), name, positions)
 
-    def table(self, spark: SparkSession, name: str) -> DataFrame:
+    def table(self, spark: SparkSession, name: str, positions: bool = False) -> DataFrame:
         """Everything in the topic now, as a bounded table."""
         if self.brokers:
             return spark.read.format("kafka") \
@@ -50,11 +54,12 @@ class Topics:
                 .option("subscribe", name) \
                 .load()
         try:
-            return _as_topic(spark.read.schema(STORED_MESSAGE).parquet(self.path(name)), name)
+            files = spark.read.schema(STORED_MESSAGE).parquet(self.path(name))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return spark.createDataFrame([], TOPIC)
+        return _as_topic(files, name, positions)
 
     def publish(self, messages: DataFrame, name: str, records_per_file: int = 0) -> None:
         """Append (key, value) rows to a topic as one batch write."""
@@ -84,9 +89,9 @@ def _stored(messages: DataFrame) -> DataFrame:
                            F.current_timestamp().alias("timestamp"))
 
 
-def _as_topic(files: DataFrame, name: str) -> DataFrame:
-    """Every file is a partition, the row's place in it the offset."""
-    return files.select("key", "value", F.lit(name).alias("topic"),
-                        F.hash("_metadata.file_path").alias("partition"),
-                        F.col("_metadata.row_index").alias("offset"),
-                        "timestamp", F.lit(0).alias("timestampType"))
+def _as_topic(files: DataFrame, name: str, positions: bool) -> DataFrame:
+    """With positions, every file is a partition and the row's place in it the offset."""
+    partition = F.hash("_metadata.file_path") if positions else F.lit(None).cast("int")
+    offset = F.col("_metadata.row_index") if positions else F.lit(None).cast("bigint")
+    return files.select("key", "value", F.lit(name).alias("topic"), partition.alias("partition"),
+                        offset.alias("offset"), "timestamp", F.lit(0).alias("timestampType"))
