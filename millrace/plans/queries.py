@@ -11,25 +11,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.avro import decode_avro, encode_avro, load_schema
+from millrace.functions.avro import decode_avro, load_schema
 from millrace.functions.codecs import decode_json
 from millrace.functions.times import format_time, parse_time
-from millrace.operators.clicks import clicks_from, impression_clicks, impressions_from
-from millrace.operators.invoices import (flatten, flatten_messages, notifications, reward_messages,
-                                         rewards)
-from millrace.operators.logins import logins_from, matched_logins, update_last_login
-from millrace.operators.skew import frozen, hot_keys
-from millrace.operators.trades import buy_sell, trades_from, window_totals
+from millrace.operators.invoices import rewards
+from millrace.operators.logins import logins_from, matched_logins
+from millrace.operators.skew import frozen
+from millrace.operators.trades import buy_sell
 from millrace.operators.words import word_counts
+from millrace.plans import apps
 from millrace.plans.feeds import Tables, users_table
 from millrace.resources import INVOICE_ITEM_SCHEMA
-from millrace.schemas import (AVRO_HEADER, CLICK, FILE_HEADER, IMPRESSION, INVOICE, LOGIN, LONG, NOTIFICATION,
-                              REWARD, TOPIC_HEADER, TRADE, flat_schema, keep)
+from millrace.schemas import (FILE_HEADER, INVOICE, LOGIN, LONG, NOTIFICATION, REWARD, TOPIC_HEADER,
+                              TRADE, flat_schema, keep)
 from millrace.session import scratch_dir
 from millrace.sources.files import json_directory, text_directory
 from millrace.sources.topics import Topics
 from millrace.streaming.changelog import all_batches, batch_writer, last_batch, last_per_key
-from millrace.streaming.runner import changelog_sink, drain, json_sink, parquet_sink
+from millrace.streaming.runner import changelog_sink, drain, parquet_sink
 
 # Orders before this day are published first, where a query is run in two steps.
 FIRST_PART_ENDS = "1998-01-01"
@@ -52,7 +51,7 @@ def file_invoice_flatten(spark: SparkSession, folder: str) -> DataFrame:
     source = tables.feed("invoice-files")
     work = scratch_dir(tables.spark, "file-invoices")
     raw = json_directory(tables.spark, source, tables.files_per_batch(source))
-    drain(json_sink(flatten(raw, FILE_HEADER), f"{work}/out"), f"{work}/checkpoint")
+    drain(apps.flatten_files(raw, f"{work}/out"), f"{work}/checkpoint")
     return tables.spark.read.schema(flat_schema(FILE_HEADER, item_qty=LONG)).json(f"{work}/out")
 
 
@@ -60,8 +59,7 @@ def topic_invoice_flatten(spark: SparkSession, folder: str) -> DataFrame:
     """Invoice topic to flat JSON files."""
     tables = Tables.of(spark, folder)
     work = scratch_dir(tables.spark, "topic-invoices")
-    items = flatten_messages(_stream(tables, "invoices"), TOPIC_HEADER)
-    drain(json_sink(items, f"{work}/out"), f"{work}/checkpoint")
+    drain(apps.flatten_topic(_stream(tables, "invoices"), f"{work}/out"), f"{work}/checkpoint")
     return tables.spark.read.schema(flat_schema(TOPIC_HEADER)).json(f"{work}/out")
 
 
@@ -70,9 +68,8 @@ def loyalty_notifications(spark: SparkSession, folder: str) -> DataFrame:
     tables = Tables.of(spark, folder)
     work = scratch_dir(tables.spark, "notifications")
     out = Topics(folder=f"{work}/topics")
-    found = notifications(_stream(tables, "invoice-headers", "invoices"))
-    drain(out.sink(found, "notifications"), f"{work}/checkpoint")
-    return _decoded(out.table(tables.spark, "notifications"), NOTIFICATION, "InvoiceNumber")
+    drain(apps.notify(_stream(tables, "invoice-headers", "invoices"), out), f"{work}/checkpoint")
+    return _decoded(out.table(tables.spark, apps.NOTIFICATIONS), NOTIFICATION, "InvoiceNumber")
 
 
 def _decoded(messages: DataFrame, schema: T.StructType, key: str) -> DataFrame:
@@ -83,9 +80,7 @@ def _decoded(messages: DataFrame, schema: T.StructType, key: str) -> DataFrame:
 def _publish_items(tables: Tables, work: str) -> Topics:
     """Run the Avro publisher into a topic of its own."""
     out = Topics(folder=f"{work}/topics")
-    items = flatten_messages(_stream(tables, "invoices"), AVRO_HEADER)
-    encoded = encode_avro(items, load_schema(INVOICE_ITEM_SCHEMA), key="InvoiceNumber")
-    drain(out.sink(encoded, "invoice-items"), f"{work}/publisher")
+    drain(apps.publish_items(_stream(tables, "invoices"), out), f"{work}/publisher")
     return out
 
 
@@ -93,7 +88,7 @@ def avro_items_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Invoice topic to a topic of Avro line items, decoded again."""
     tables = Tables.of(spark, folder)
     out = _publish_items(tables, scratch_dir(tables.spark, "avro-items"))
-    messages = out.table(tables.spark, "invoice-items")
+    messages = out.table(tables.spark, apps.ITEMS)
     return decode_avro(messages, load_schema(INVOICE_ITEM_SCHEMA)).select("value.*")
 
 
@@ -115,32 +110,29 @@ def customer_rewards(spark: SparkSession, folder: str) -> DataFrame:
     return last.select("CustomerCardNo", cents("TotalPurchase"), "AggregatedRewards")
 
 
-def _avro_totals(tables: Tables, work: str) -> DataFrame:
-    """Publisher and rewards as two chained queries over one topic."""
-    schema = load_schema(INVOICE_ITEM_SCHEMA)
-    topics = _publish_items(tables, work)
-    files = tables.files_per_batch(topics.path("invoice-items"))
-    messages = topics.stream(tables.spark, "invoice-items", files_per_trigger=files)
-    items = decode_avro(messages, schema, only=["CustomerType", "CustomerCardNo", "TotalValue"])
-    return rewards(items)
+def _item_stream(tables: Tables, topics: Topics) -> DataFrame:
+    files = tables.files_per_batch(topics.path(apps.ITEMS))
+    return topics.stream(tables.spark, apps.ITEMS, files_per_trigger=files)
 
 
 def rewards_from_avro_topic(spark: SparkSession, folder: str) -> DataFrame:
+    """Publisher and rewards chained through the topic of Avro line items."""
     tables = Tables.of(spark, folder)
     work = scratch_dir(tables.spark, "avro-rewards")
-    drain(changelog_sink(_avro_totals(tables, work), f"{work}/out"), f"{work}/rewards", mode="update")
+    totals = apps.card_totals(_item_stream(tables, _publish_items(tables, work)))
+    drain(changelog_sink(totals, f"{work}/out"), f"{work}/rewards", mode="update")
     last = last_per_key(all_batches(tables.spark, f"{work}/out"), ["CustomerCardNo"])
     return last.select("CustomerCardNo", cents("TotalPurchase"), "AggregatedRewards")
 
 
 def rewards_messages(spark: SparkSession, folder: str) -> DataFrame:
-    """The reward messages a consumer holds last for each key, decoded."""
+    """The same chain up to its topic: the message a consumer holds last for each key, decoded."""
     tables = Tables.of(spark, folder)
     work = scratch_dir(tables.spark, "reward-messages")
-    found = reward_messages(_avro_totals(tables, work))
-    drain(changelog_sink(found, f"{work}/out"), f"{work}/rewards", mode="update")
-    last = last_per_key(all_batches(tables.spark, f"{work}/out"), ["key"])
-    return _decoded(last, REWARD, "CustomerCardNo") \
+    topics = _publish_items(tables, work)
+    drain(apps.reward_cards(_item_stream(tables, topics), topics), f"{work}/rewards", mode="update")
+    emitted = all_batches(tables.spark, topics.path(apps.REWARDS))
+    return _decoded(last_per_key(emitted, ["key"]), REWARD, "CustomerCardNo") \
         .select("CustomerCardNo", cents("TotalPurchase"), "AggregatedRewards")
 
 
@@ -178,8 +170,8 @@ def restart_exactly_once(spark: SparkSession, folder: str) -> DataFrame:
     for part in [*parts, None]:
         if part is not None:
             _publish_part(tables, topics, part)
-        items = flatten_messages(topics.stream(tables.spark, "invoices"), TOPIC_HEADER)
-        drain(json_sink(items, f"{work}/out"), f"{work}/checkpoint")
+        messages = topics.stream(tables.spark, "invoices")
+        drain(apps.flatten_topic(messages, f"{work}/out"), f"{work}/checkpoint")
     return tables.spark.read.schema(flat_schema(TOPIC_HEADER)).json(f"{work}/out")
 
 
@@ -207,9 +199,8 @@ def last_login_upsert(spark: SparkSession, folder: str) -> DataFrame:
     early = F.coalesce(moment < F.lit(middle), F.lit(True))
     for part in (early, ~early):
         topics.publish(messages.where(part).select("key", "value"), "logins")
-        logins = logins_from(topics.stream(tables.spark, "logins"))
-        drain(logins.writeStream.foreachBatch(update_last_login(users)),
-              f"{work}/checkpoint", mode="update")
+        messages_now = topics.stream(tables.spark, "logins")
+        drain(apps.record_logins(messages_now, users), f"{work}/checkpoint", mode="update")
     return users.current(tables.spark) \
         .select("login_id", "user_name", format_time("last_login").alias("last_login"))
 
@@ -225,16 +216,13 @@ def impression_click_join(spark: SparkSession, folder: str) -> DataFrame:
     tables = Tables.of(spark, folder)
     work = scratch_dir(tables.spark, "impression-clicks")
 
-    def inventory_id(schema: T.StructType) -> Column:
-        return F.from_json(F.col("value").cast("string"), keep(schema, ["InventoryID"])).InventoryID
+    def find() -> DataFrame:
+        return apps.hot_inventory(tables.topics("impressions").table(tables.spark, "impressions"),
+                                  tables.topics("clicks").table(tables.spark, "clicks"))
 
-    hot = hot_keys(
-        tables.topics("impressions").table(tables.spark, "impressions"), inventory_id(IMPRESSION),
-        tables.topics("clicks").table(tables.spark, "clicks"), inventory_id(CLICK),
-        partitions=int(tables.spark.conf.get("spark.sql.shuffle.partitions")))
-    joined = impression_clicks(impressions_from(_stream(tables, "impressions", positions=True)),
-                               clicks_from(_stream(tables, "clicks", positions=True)),
-                               frozen(hot, f"{work}/hot-keys"))
+    joined = apps.matched_clicks(_stream(tables, "impressions", positions=True),
+                                 _stream(tables, "clicks", positions=True),
+                                 frozen(tables.spark, f"{work}/hot-keys", find))
     drain(parquet_sink(joined, f"{work}/out"), f"{work}/checkpoint")
     return tables.spark.read.parquet(f"{work}/out") \
         .withColumn("ClickTime", format_time("ClickTime"))
@@ -254,7 +242,7 @@ def trade_windows(spark: SparkSession, folder: str) -> DataFrame:
     """Trade topic to buy and sell totals per window, in update mode."""
     tables = Tables.of(spark, folder)
     work = scratch_dir(tables.spark, "trade-windows")
-    totals = window_totals(trades_from(_stream(tables, "stock-trades")))
+    totals = apps.trade_totals(_stream(tables, "stock-trades"))
     drain(changelog_sink(totals, f"{work}/out"), f"{work}/checkpoint", mode="update")
     last = last_per_key(all_batches(tables.spark, f"{work}/out"), ["start", "end"])
     return last.select(format_time("start").alias("start"), format_time("end").alias("end"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from millrace.schemas import STORED_MESSAGE, TOPIC
+from millrace.streaming.changelog import batch_writer
 
 
 @dataclass(frozen=True)
@@ -73,12 +74,18 @@ class Topics:
             .option("maxRecordsPerFile", records_per_file) \
             .parquet(self.path(name))
 
-    def sink(self, messages: DataFrame, name: str) -> DataStreamWriter:
-        """Append-only stream of (key, value) rows into a topic."""
+    def sink(self, messages: DataFrame, name: str, mode: str = "append") -> DataStreamWriter:
+        """Stream of (key, value) rows into a topic, to be started in the given output mode.
+
+        A folder takes other modes than append as one sub-folder per micro-batch, replaced
+        if the batch is repeated.
+        """
         if self.brokers:
             return messages.select("key", "value").writeStream.format("kafka") \
                 .option("kafka.bootstrap.servers", self.brokers) \
                 .option("topic", name)
+        if mode != "append":
+            return _stored(messages).writeStream.foreachBatch(batch_writer(self.path(name)))
         return _stored(messages).writeStream.format("parquet") \
             .option("path", self.path(name))
 
