@@ -43,7 +43,7 @@ def record_fields(schema: str) -> list[tuple[str, str]]:
     for field in json.loads(schema)["fields"]:
         union = field["type"]
         if not (isinstance(union, list) and len(union) == 2 and union[1] == "null"
-                and union[0] in SPARK_TYPES):
+                and union[0] in list(SPARK_TYPES)):
             raise ValueError(f"field {field['name']}: only [T, \"null\"] of {sorted(SPARK_TYPES)}")
         fields.append((field["name"], union[0]))
     return fields

@@ -54,8 +54,9 @@ class FileTable:
     def current(self, spark: SparkSession) -> DataFrame:
         """Base and changes merged: later batches win."""
         base = self.read(spark)
+        versioned = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
         try:
-            changes = spark.read.schema(T.StructType(self.schema.fields).add("batch_id", T.LongType())).parquet(self.changes)
+            changes = spark.read.schema(versioned).parquet(self.changes)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise

@@ -1,0 +1,106 @@
+"""Every registered query against its SQL, and the command line."""
+
+from __future__ import annotations
+
+import pytest
+
+import __spark_entry__ as entry_module
+from conftest import TESTDATA, publish, rows
+from millrace.__main__ import APPS, launch, parser
+from millrace.plans import apps
+from millrace.schemas import TOPIC_HEADER, USER, flat_schema
+from millrace.sources.tables import FileTable
+from oracle_check import connect, spark_rows, sql_rows
+from test_clicks import CLICKS, IMPRESSIONS
+from test_invoices import invoice, item
+from test_logins import USERS, login
+from test_trades import SAMPLE
+
+
+@pytest.fixture(scope="module")
+def tables():
+    return connect(TESTDATA)
+
+
+def test_every_query_has_sql():
+    assert entry_module.queries().keys() == entry_module.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("name", list(entry_module.queries()))
+def test_query_equals_sql(spark, tables, name):
+    got = spark_rows(entry_module.queries()[name](spark, TESTDATA))
+    assert got == sql_rows(tables, entry_module.oracle_sql()[name])
+    assert got[1]
+
+
+def test_entry(spark):
+    assert entry_module.entry(spark).columns == ["CustomerCardNo", "TotalPurchase", "AggregatedRewards"]
+
+
+class Runner:
+    def __init__(self, spark, topics, tmp_path):
+        self.spark, self.topics, self.tmp_path = spark, topics, tmp_path
+
+    def __call__(self, app, *options):
+        args = parser().parse_args([app, "--topic-folder", self.topics.folder, "--until-caught-up",
+                                    "--checkpoint", str(self.tmp_path / f"checkpoint-{app}"), *options])
+        launch(self.spark, args).awaitTermination()
+        return str(self.tmp_path / "out")
+
+
+@pytest.fixture
+def run(spark, topics, tmp_path):
+    return Runner(spark, topics, tmp_path)
+
+
+def test_invoice_applications(spark, topics, run, tmp_path):
+    publish(spark, topics, apps.INVOICES, [invoice("a", [item(value=9.5), item(value=20.5)]), "bad"])
+    out = str(tmp_path / "out")
+    run("invoice-topic", "--target", out, "--name", "flat")
+    assert spark.read.schema(flat_schema(TOPIC_HEADER)).json(out).count() == 2
+    run("notifications")
+    assert topics.table(spark, apps.NOTIFICATIONS).count() == 2
+    run("publish-items")
+    assert topics.table(spark, apps.ITEMS).count() == 2
+    run("rewards")
+    assert [bytes(row.value) for row in topics.table(spark, apps.REWARDS).collect()] == [
+        b'{"TotalPurchase":30.0,"AggregatedRewards":5}']
+
+
+def test_file_application(spark, run, tmp_path):
+    import json
+    spark.createDataFrame([(json.dumps(invoice("a", [item()])),)], "v string").write.text(str(tmp_path / "raw"))
+    run("invoice-files", "--source", str(tmp_path / "raw"), "--target", str(tmp_path / "out"), "--print-schema")
+    assert spark.read.json(str(tmp_path / "out")).count() == 1
+
+
+def test_login_application(spark, topics, run, tmp_path):
+    publish(spark, topics, apps.LOGINS, [login("100001", "10:18")])
+    users, changes = str(tmp_path / "users"), str(tmp_path / "changes")
+    spark.createDataFrame(USERS, USER).write.parquet(users)
+    run("last-login", "--users", users, "--changes", changes, "--show")
+    current = FileTable(users, changes, "login_id", USER).current(spark)
+    assert current.where("login_id = '100001'").first().last_login.year == 2019
+    assert current.count() == 4
+
+
+def test_console_applications(spark, topics, run, tmp_path):
+    publish(spark, topics, apps.IMPRESSIONS, IMPRESSIONS)
+    publish(spark, topics, apps.CLICKS, CLICKS)
+    publish(spark, topics, apps.TRADES, SAMPLE)
+    run("impression-clicks")
+    out = str(tmp_path / "pairs")
+    run("impression-clicks", "--checkpoint", str(tmp_path / "other"), "--target", out,
+        "--hot-keys", str(tmp_path / "hot"))
+    assert spark.read.parquet(out).count() == 5
+    run("trade-windows", "--print-schema")
+    spark.createDataFrame([("a b a",)], "v string").write.text(str(tmp_path / "lines"))
+    run("word-count", "--source", str(tmp_path / "lines"), "--target", str(tmp_path / "words"))
+    assert rows(spark.read.parquet(str(tmp_path / "words")).drop("batch_id")) == [("a", 2), ("b", 1)]
+
+
+def test_defaults_of_the_applications():
+    assert len(APPS) == 9
+    assert {app for app, (_, interval) in APPS.items() if not interval} == {"rewards", "word-count"}
+    assert {app for app, (mode, _) in APPS.items() if mode == "append"} == {
+        "invoice-files", "invoice-topic", "notifications", "publish-items", "impression-clicks"}

@@ -1,0 +1,68 @@
+"""Word counts."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from conftest import rows
+from millrace.operators.words import word_counts
+from millrace.plans import apps
+from millrace.sources.files import socket_lines, text_directory
+from millrace.streaming.changelog import all_batches, last_batch
+from millrace.streaming.runner import changelog_sink, drain
+
+
+def counts(spark, *lines):
+    df = spark.createDataFrame([(line,) for line in lines], "value string")
+    return dict(rows(word_counts(df)))
+
+
+def test_only_single_spaces_cut(spark):
+    assert counts(spark, "a  b a ") == {"a": 2, "": 2, "b": 1}
+    assert counts(spark, "") == {"": 1}
+    assert counts(spark, "A a\tb a") == {"A": 1, "a\tb": 1, "a": 1}
+    assert counts(spark, None) == {}
+
+
+@given(st.lists(st.text(" ab\t", max_size=12), max_size=6))
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+def test_like_python_split(spark, lines):
+    want = Counter(word for line in lines for word in line.split(" "))
+    assert counts(spark, *lines) == dict(want)
+
+
+def test_complete_mode_emits_everything_each_time(spark, tmp_path):
+    folder = str(tmp_path / "lines")
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
+    for lines in (["a b a", "a  c"], ["", "A b"]):
+        spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1) \
+            .write.mode("append").option("lineSep", "\n").text(folder)
+        drain(changelog_sink(apps.counted_words(text_directory(spark, folder)), out), checkpoint,
+              mode="complete")
+    emitted = all_batches(spark, out)
+    assert dict(rows(emitted.where("batch_id = 0").drop("batch_id"))) == {"a": 3, "b": 1, "c": 1, "": 1}
+    assert dict(rows(last_batch(spark, out))) == {"a": 3, "b": 2, "c": 1, "": 2, "A": 1}
+
+
+def test_carriage_returns_stay_in_the_line(spark, tmp_path):
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "one.txt").write_bytes(b"a\rb c\r\nd\n")
+    out = str(tmp_path / "out")
+    drain(changelog_sink(word_counts(text_directory(spark, str(tmp_path / "lines"))), out),
+          str(tmp_path / "c"), mode="complete")
+    assert dict(rows(last_batch(spark, out))) == {"a\rb": 1, "c\r": 1, "d": 1}
+
+
+def test_socket_source_is_a_stream_of_lines(spark):
+    lines = socket_lines(spark, "localhost", 9999)  # connects only once started
+    assert lines.isStreaming and lines.columns == ["value"]
+    assert word_counts(lines).columns == ["word", "count"]
+
+
+def test_words_are_counted_before_the_shuffle(spark):
+    df = spark.createDataFrame([("a b",)], "value string")
+    plan = word_counts(df)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan
