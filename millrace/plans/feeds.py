@@ -6,6 +6,7 @@ published once and then read by every dataflow that needs it, as a topic would b
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,7 +26,8 @@ MAX_ITEMS = 1000
 # Up to this many such orders are broadcast (a few MB); a longer list is joined by shuffle.
 MAX_BROADCAST_ORDERS = 100_000
 
-_published: dict[tuple[str, str, str], str] = {}
+_published: dict[tuple, str] = {}
+_publishing = threading.RLock()
 
 
 @dataclass(frozen=True)
@@ -45,12 +47,15 @@ class Tables:
 
     def feed(self, name: str) -> str:
         """Folder of a published feed."""
-        key = (self.spark.sparkContext.applicationId, self.folder, name)
-        if key not in _published:
-            path = scratch_dir(self.spark, f"feed-{name}")
-            FEEDS[name](self, path)
-            _published[key] = path
-        return _published[key]
+        # With the size in the key, tables that changed in place are published again.
+        size = folder_size(self.spark, self.folder)
+        key = (self.spark.sparkContext.applicationId, self.folder, size, name)
+        with _publishing:
+            if key not in _published:
+                path = scratch_dir(self.spark, f"feed-{name}")
+                FEEDS[name](self, path)
+                _published[key] = path
+            return _published[key]
 
     def topics(self, name: str) -> Topics:
         """The feed of a topic, as topics."""

@@ -47,6 +47,8 @@ def engine_session(spark: SparkSession, input_bytes: int = 0, **settings: str) -
     # State is never dropped (no watermark), so it has to live outside the heap.
     _default(session, "spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     _default(session, "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    # Counting the rows of a store costs a lookup per write.
+    _default(session, "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "false")
 
     # State partitions: one per core unless the cluster's configuration says otherwise.
     cores = spark.sparkContext.defaultParallelism

@@ -1,0 +1,81 @@
+"""The result of a stream must not depend on how its input is cut into micro-batches or
+on a failure between them."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from conftest import publish, rows
+from millrace.operators.words import word_counts
+from millrace.plans import apps
+from millrace.schemas import TOPIC_HEADER, flat_schema
+from millrace.streaming.changelog import all_batches, batch_writer, last_batch
+from millrace.streaming.runner import changelog_sink, drain, parquet_sink
+from test_clicks import CLICKS, IMPRESSIONS, as_text, expected
+from test_invoices import invoice, item
+
+SEEDS = [1, 2]
+
+
+def cut(values, seed, most=4):
+    """The values in random order, in up to ``most`` parts of random size."""
+    draw = random.Random(seed)
+    values = draw.sample(values, len(values))
+    ends = sorted(draw.sample(range(1, len(values)), draw.randint(1, most - 1)))
+    return [values[a:b] for a, b in zip([0, *ends], [*ends, len(values)])]
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_flattened_invoices(spark, topics, tmp_path, seed):
+    invoices = [invoice(f"n{n}", [item(f"i{k}") for k in range(n % 3)]) for n in range(12)]
+    publish(spark, topics, "invoices", *cut(invoices, seed))
+    out = str(tmp_path / "out")
+    drain(apps.flatten_topic(topics.stream(spark, "invoices", files_per_trigger=1), out), str(tmp_path / "c"))
+    found = spark.read.schema(flat_schema(TOPIC_HEADER)).json(out)
+    assert rows(found.select("InvoiceNumber", "ItemCode")) == sorted(
+        (f"n{n}", f"i{k}") for n in range(12) for k in range(n % 3))
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_matched_clicks(spark, topics, tmp_path, seed):
+    publish(spark, topics, "impressions", *cut(IMPRESSIONS, seed))
+    publish(spark, topics, "clicks", *cut(CLICKS, seed + 10))
+    found = apps.matched_clicks(topics.stream(spark, "impressions", files_per_trigger=1, positions=True),
+                                topics.stream(spark, "clicks", files_per_trigger=1, positions=True))
+    drain(parquet_sink(found, str(tmp_path / "out")), str(tmp_path / "c"))
+    assert as_text(spark.read.parquet(str(tmp_path / "out"))) == expected(IMPRESSIONS, CLICKS)
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_counted_words(spark, topics, tmp_path, seed):
+    lines = ["a b", "b  c", "", "c c c", "d"]
+    publish(spark, topics, "lines", *cut(lines, seed))
+    stream = topics.stream(spark, "lines", files_per_trigger=1).selectExpr("cast(value as string) as value")
+    out = str(tmp_path / "out")
+    drain(changelog_sink(apps.counted_words(stream), out), str(tmp_path / "c"), mode="complete")
+    whole = word_counts(spark.createDataFrame([(line,) for line in lines], "value string"))
+    assert rows(last_batch(spark, out)) == rows(whole)
+
+
+def test_a_batch_that_failed_after_writing_is_repeated_once(spark, topics, tmp_path):
+    publish(spark, topics, "lines", ["a b"], ["a"], ["b"])
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
+    write = batch_writer(out)
+    failed = []
+
+    def flaky(batch, batch_id):
+        write(batch, batch_id)
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("executor gone")
+
+    def run():
+        stream = topics.stream(spark, "lines", files_per_trigger=1).selectExpr("cast(value as string) as value")
+        drain(apps.counted_words(stream).writeStream.foreachBatch(flaky), checkpoint, mode="update")
+
+    with pytest.raises(Exception, match="executor gone"):
+        run()
+    run()
+    assert rows(all_batches(spark, out)) == [("a", 1, 0), ("a", 2, 1), ("b", 1, 0), ("b", 2, 2)]
