@@ -10,8 +10,10 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.functions.avro import load_schema
 from millrace.operators.skew import frozen
 from millrace.plans import apps
+from millrace.resources import INVOICE_ITEM_SCHEMA
 from millrace.schemas import USER
 from millrace.session import app_session, engine_session, use_object_store
 from millrace.sources.files import json_directory, socket_lines, text_directory
@@ -52,7 +54,7 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--show", action="store_true", help="last-login: print each batch")
     options.add_argument("--hot-keys", help="impression-clicks: folder that keeps the ids to spread, "
                                             "found in the topics at the first start")
-    options.add_argument("--schema-file", default=apps.INVOICE_ITEM_SCHEMA, help="Avro schema")
+    options.add_argument("--schema-file", help="Avro schema of line items, instead of the package's own")
     options.add_argument("--interval", help='time between micro-batches, such as "1 minute"')
     options.add_argument("--until-caught-up", action="store_true", help="end when the input is done")
     options.add_argument("--name", help="query name")
@@ -74,6 +76,9 @@ def launch(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     def topics() -> Topics:
         return Topics(folder=args.topic_folder, brokers=args.brokers)
 
+    def item_schema() -> str:
+        return load_schema(args.schema_file) if args.schema_file else INVOICE_ITEM_SCHEMA
+
     def read(name: str, positions: bool = False) -> DataFrame:
         return topics().stream(spark, name, args.starting, args.files_per_trigger, positions)
 
@@ -94,9 +99,9 @@ def launch(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     elif args.app == "notifications":
         writer = apps.notify(read(apps.INVOICES), topics())
     elif args.app == "publish-items":
-        writer = apps.publish_items(read(apps.INVOICES), topics(), args.schema_file)
+        writer = apps.publish_items(read(apps.INVOICES), topics(), item_schema())
     elif args.app == "rewards":
-        writer = apps.reward_cards(read(apps.ITEMS), topics(), args.schema_file)
+        writer = apps.reward_cards(read(apps.ITEMS), topics(), item_schema())
     elif args.app == "last-login":
         users = CassandraTable(args.keyspace, args.table) if args.keyspace else \
             FileTable(args.users, args.changes, "login_id", USER)

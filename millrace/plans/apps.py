@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from millrace.functions.avro import decode_avro, encode_avro, load_schema
+from millrace.functions.avro import decode_avro, encode_avro
 from millrace.operators.clicks import clicks_from, impression_clicks, impressions_from
 from millrace.operators.invoices import (flatten, flatten_messages, notifications, reward_messages,
                                          rewards)
@@ -48,22 +48,22 @@ def notify(messages: DataFrame, topics: Topics) -> DataStreamWriter:
 
 
 def publish_items(messages: DataFrame, topics: Topics,
-                  schema_file: str = INVOICE_ITEM_SCHEMA) -> DataStreamWriter:
+                  schema: str = INVOICE_ITEM_SCHEMA) -> DataStreamWriter:
     """Invoice messages to Avro line items. Append mode."""
     items = flatten_messages(messages, AVRO_HEADER)
-    return topics.sink(encode_avro(items, load_schema(schema_file), key="InvoiceNumber"), ITEMS)
+    return topics.sink(encode_avro(items, schema, key="InvoiceNumber"), ITEMS)
 
 
-def card_totals(messages: DataFrame, schema_file: str = INVOICE_ITEM_SCHEMA) -> DataFrame:
+def card_totals(messages: DataFrame, schema: str = INVOICE_ITEM_SCHEMA) -> DataFrame:
     """Running totals per card from Avro line items, decoding the three fields in use."""
     fields = ["CustomerType", "CustomerCardNo", "TotalValue"]
-    return rewards(decode_avro(messages, load_schema(schema_file), only=fields))
+    return rewards(decode_avro(messages, schema, only=fields))
 
 
 def reward_cards(messages: DataFrame, topics: Topics,
-                 schema_file: str = INVOICE_ITEM_SCHEMA) -> DataStreamWriter:
+                 schema: str = INVOICE_ITEM_SCHEMA) -> DataStreamWriter:
     """Avro line items to reward messages. Update mode."""
-    return topics.sink(reward_messages(card_totals(messages, schema_file)), REWARDS, mode="update")
+    return topics.sink(reward_messages(card_totals(messages, schema)), REWARDS, mode="update")
 
 
 def record_logins(messages: DataFrame, users: CassandraTable | FileTable,

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.avro import decode_avro, load_schema
+from millrace.functions.avro import decode_avro
 from millrace.functions.codecs import decode_json
 from millrace.functions.times import format_time, parse_time
 from millrace.operators.invoices import rewards
@@ -89,7 +89,7 @@ def avro_items_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     tables = Tables.of(spark, folder)
     out = _publish_items(tables, scratch_dir(tables.spark, "avro-items"))
     messages = out.table(tables.spark, apps.ITEMS)
-    return decode_avro(messages, load_schema(INVOICE_ITEM_SCHEMA)).select("value.*")
+    return decode_avro(messages, INVOICE_ITEM_SCHEMA).select("value.*")
 
 
 def _item_values(messages: DataFrame) -> DataFrame:

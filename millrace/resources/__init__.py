@@ -1,5 +1,5 @@
-"""Files shipped with the package."""
+"""Files shipped with the package; read through the importer, as it may sit in a zip."""
 
-from pathlib import Path
+import pkgutil
 
-INVOICE_ITEM_SCHEMA = str(Path(__file__).with_name("invoice_item.avsc"))
+INVOICE_ITEM_SCHEMA = pkgutil.get_data(__name__, "invoice_item.avsc").decode()

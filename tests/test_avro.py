@@ -84,8 +84,10 @@ def test_only_flat_nullable_records():
         record_fields(json.dumps({"fields": [{"name": "a", "type": [{"type": "map", "values": "int"}, "null"]}]}))
 
 
-def test_item_schema_matches_the_flattened_columns():
-    assert spark_schema(load_schema(INVOICE_ITEM_SCHEMA)) == flat_schema(AVRO_HEADER)
+def test_item_schema_matches_the_flattened_columns(tmp_path):
+    assert spark_schema(INVOICE_ITEM_SCHEMA) == flat_schema(AVRO_HEADER)
+    (tmp_path / "items").write_text(INVOICE_ITEM_SCHEMA)
+    assert load_schema(str(tmp_path / "items")) == INVOICE_ITEM_SCHEMA
 
 
 def test_dataframe_roundtrip_and_null_key(spark):

@@ -12,7 +12,6 @@ from millrace.functions.times import format_time
 from millrace.operators.clicks import clicks_from, impression_clicks, impressions_from
 from millrace.operators.skew import HOT_KEYS, frozen, hot_keys
 from millrace.plans import apps
-from millrace.sources.topics import Topics
 from millrace.streaming.runner import drain, parquet_sink
 
 # Sample impressions and clicks, one click twice.

@@ -8,6 +8,7 @@ import __spark_entry__ as entry_module
 from conftest import TESTDATA, publish, rows
 from millrace.__main__ import APPS, launch, parser
 from millrace.plans import apps
+from millrace.resources import INVOICE_ITEM_SCHEMA
 from millrace.schemas import TOPIC_HEADER, USER, flat_schema
 from millrace.sources.tables import FileTable
 from oracle_check import connect, spark_rows, sql_rows
@@ -60,7 +61,9 @@ def test_invoice_applications(spark, topics, run, tmp_path):
     assert spark.read.schema(flat_schema(TOPIC_HEADER)).json(out).count() == 2
     run("notifications")
     assert topics.table(spark, apps.NOTIFICATIONS).count() == 2
-    run("publish-items")
+    schema = tmp_path / "items.avsc"
+    schema.write_text(INVOICE_ITEM_SCHEMA)
+    run("publish-items", "--schema-file", str(schema))
     assert topics.table(spark, apps.ITEMS).count() == 2
     run("rewards")
     assert [bytes(row.value) for row in topics.table(spark, apps.REWARDS).collect()] == [
