@@ -17,7 +17,7 @@ from millrace.resources import INVOICE_ITEM_SCHEMA
 from millrace.schemas import USER
 from millrace.session import app_session, engine_session, use_object_store
 from millrace.sources.files import json_directory, socket_lines, text_directory
-from millrace.sources.tables import CassandraTable, FileTable
+from millrace.sources.tables import CassandraTable, FileTable, cassandra_settings
 from millrace.sources.topics import Topics
 from millrace.streaming.runner import changelog_sink, console_sink, parquet_sink, start
 
@@ -66,6 +66,7 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--s3-access-key")
     options.add_argument("--s3-secret-key")
     options.add_argument("--cassandra-host")
+    options.add_argument("--cassandra-port", type=int, default=9042)
     return options
 
 
@@ -128,7 +129,7 @@ def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
     settings = {}
     if args.cassandra_host:
-        settings["spark.cassandra.connection.host"] = args.cassandra_host
+        settings = cassandra_settings(args.cassandra_host, args.cassandra_port)
     spark = app_session(f"millrace {args.app}", args.shuffle_partitions, args.master, args.packages,
                         **settings)
     if args.s3_endpoint:

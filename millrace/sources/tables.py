@@ -14,6 +14,15 @@ from millrace.streaming.changelog import last_per_key
 CASSANDRA = "org.apache.spark.sql.cassandra"
 
 
+def cassandra_settings(host: str, port: int = 9042) -> dict[str, str]:
+    """Session settings of the Cassandra connector."""
+    return {
+        "spark.cassandra.connection.host": host,
+        "spark.cassandra.connection.port": str(port),
+        "spark.sql.extensions": "com.datastax.spark.connector.CassandraSparkExtensions",
+    }
+
+
 @dataclass(frozen=True)
 class CassandraTable:
     """Table behind the Cassandra connector, whose append is an upsert by primary key."""
