@@ -53,6 +53,16 @@ def test_stream_published_topic_is_read_again(spark, topics, tmp_path):
     assert [bytes(row.value) for row in topics.table(spark, "again").orderBy("value").collect()] == [b"a", b"b"]
 
 
+def test_changelog_topic_is_read_as_table_and_stream(spark, topics, tmp_path):
+    publish(spark, topics, "in", ["a"], ["a"])
+    counts = apps.counted_words(topics.stream(spark, "in", files_per_trigger=1).selectExpr(
+        "cast(value as string) as value")).selectExpr("word as key", "cast(count as string) as value")
+    drain(topics.sink(counts, "out", mode="update"), str(tmp_path / "c1"), mode="update")
+    assert sorted(bytes(row.value) for row in topics.table(spark, "out").collect()) == [b"1", b"2"]
+    drain(topics.sink(topics.stream(spark, "out"), "again"), str(tmp_path / "c2"))
+    assert topics.table(spark, "again").count() == 2
+
+
 def test_restart_neither_loses_nor_repeats(spark, topics, tmp_path):
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
     for number in range(3):
