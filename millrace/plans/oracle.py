@@ -16,8 +16,8 @@ TYPE = "CASE WHEN c_mktsegment = 'BUILDING' THEN 'PRIME' ELSE 'NONPRIME' END"
 HEADER = {
     "InvoiceNumber": "CAST(o_orderkey AS VARCHAR)",
     "CreatedTime": "epoch_ms(o_orderdate)",
-    "StoreID": "concat('STR', o_custkey % 100)",
-    "PosID": "concat('POS', o_custkey % 10)",
+    "StoreID": "'STR' || (o_custkey % 100)",
+    "PosID": "'POS' || (o_custkey % 10)",
     "CustomerType": TYPE,
     "CustomerCardNo": "CAST(o_custkey AS VARCHAR)",
     "PaymentMethod": "o_orderpriority",
@@ -64,7 +64,7 @@ TRADES = """
            CASE event_type WHEN 'purchase' THEN 'BUY' WHEN 'click' THEN 'SELL'
                            ELSE upper(event_type) END AS Type,
            CAST(floor(value) AS INTEGER) AS Amount,
-           concat('B', user_id % 5) AS BrokerCode,
+           'B' || (user_id % 5) AS BrokerCode,
            ts
     FROM events
 """
@@ -113,7 +113,7 @@ ORACLE = {
                strftime(slot + INTERVAL 15 MINUTE, '%Y-%m-%d %H:%M:%S') AS "end",
                CAST(sum(CASE WHEN Type = 'BUY' THEN Amount ELSE 0 END) AS BIGINT) AS TotalBuy,
                CAST(sum(CASE WHEN Type = 'SELL' THEN Amount ELSE 0 END) AS BIGINT) AS TotalSell
-        FROM (SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS slot, Type, Amount FROM ({TRADES}))
+        FROM (SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS slot, Type, Amount FROM ({TRADES}) WHERE ts IS NOT NULL)
         GROUP BY slot""",
     "json_decode": f"SELECT CreatedTime, Type, Amount, BrokerCode FROM ({TRADES})",
     "parse_timestamp": f"""
