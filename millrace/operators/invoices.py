@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.codecs import decode_json, encode_json, message
 from millrace.functions.money import loyalty_points
-from millrace.schemas import ADDRESS_COLUMNS, INVOICE, ITEM_COLUMNS, NOTIFICATION, keep
+from millrace.schemas import ADDRESS_COLUMNS, INVOICE, ITEM_COLUMNS, NOTIFICATION
 
 
 def flatten(invoices: DataFrame, header: Sequence[str]) -> DataFrame:
@@ -25,9 +25,8 @@ def flatten(invoices: DataFrame, header: Sequence[str]) -> DataFrame:
 
 
 def flatten_messages(messages: DataFrame, header: Sequence[str]) -> DataFrame:
-    """``flatten`` over JSON messages, parsing only the fields it keeps."""
-    fields = [*header, *[f"DeliveryAddress.{name}" for name in ADDRESS_COLUMNS], "InvoiceLineItems"]
-    return flatten(decode_json(messages, keep(INVOICE, fields)), header)
+    """``flatten`` over JSON messages."""
+    return flatten(decode_json(messages, INVOICE), header)
 
 
 def notifications(messages: DataFrame) -> DataFrame:
@@ -35,8 +34,7 @@ def notifications(messages: DataFrame) -> DataFrame:
 
     Malformed messages are kept: null key, empty object.
     """
-    fields = ["InvoiceNumber", "CustomerCardNo", "TotalAmount"]
-    invoices = decode_json(messages, keep(INVOICE, fields))
+    invoices = decode_json(messages, INVOICE).select("InvoiceNumber", "CustomerCardNo", "TotalAmount")
     earned = invoices.withColumn("EarnedLoyaltyPoints", loyalty_points("TotalAmount"))
     body = ", ".join(f"'{name}', {name}" for name in NOTIFICATION.fieldNames())
     return earned.select(*message(F.col("InvoiceNumber"), F.expr(f"to_json(named_struct({body}))")))

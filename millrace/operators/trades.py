@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.codecs import decode_json
 from millrace.functions.times import parse_time
-from millrace.schemas import TRADE, keep
+from millrace.schemas import TRADE
 
 # Fixed value: width of a window.
 WINDOW = "15 minutes"
@@ -25,7 +25,7 @@ def buy_sell(trades: DataFrame) -> DataFrame:
 
 def trades_from(messages: DataFrame) -> DataFrame:
     """Trades of JSON messages with their parsed time and both amounts."""
-    trades = decode_json(messages, keep(TRADE, ["CreatedTime", "Type", "Amount"]))
+    trades = decode_json(messages, TRADE)
     return buy_sell(trades.withColumn("CreatedTime", parse_time("CreatedTime")))
 
 

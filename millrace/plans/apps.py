@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from millrace.functions.avro import decode_avro, encode_avro
@@ -16,7 +15,7 @@ from millrace.operators.skew import hot_keys
 from millrace.operators.trades import trades_from, window_totals
 from millrace.operators.words import word_counts
 from millrace.resources import INVOICE_ITEM_SCHEMA
-from millrace.schemas import (AVRO_HEADER, CLICK, FILE_HEADER, IMPRESSION, TOPIC_HEADER, keep)
+from millrace.schemas import AVRO_HEADER, FILE_HEADER, TOPIC_HEADER
 from millrace.sources.tables import CassandraTable, FileTable
 from millrace.sources.topics import Topics
 from millrace.streaming.runner import json_sink
@@ -79,11 +78,9 @@ def matched_clicks(impressions: DataFrame, clicks: DataFrame, hot: DataFrame | N
 
 def hot_inventory(impressions: DataFrame, clicks: DataFrame) -> DataFrame:
     """Inventory ids that need spreading, judged by the messages present as bounded tables."""
-    def key(schema: T.StructType) -> Column:
-        return F.from_json(F.col("value").cast("string"), keep(schema, ["InventoryID"])).InventoryID
-
+    key = F.get_json_object(F.col("value").cast("string"), "$.InventoryID")
     partitions = int(impressions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return hot_keys(impressions, key(IMPRESSION), clicks, key(CLICK), partitions)
+    return hot_keys(impressions, key, clicks, key, partitions)
 
 
 def counted_words(lines: DataFrame) -> DataFrame:

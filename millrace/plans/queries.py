@@ -22,8 +22,8 @@ from millrace.operators.words import word_counts
 from millrace.plans import apps
 from millrace.plans.feeds import Tables, users_table
 from millrace.resources import INVOICE_ITEM_SCHEMA
-from millrace.schemas import (FILE_HEADER, INVOICE, LOGIN, LONG, NOTIFICATION, REWARD, TOPIC_HEADER,
-                              TRADE, flat_schema, keep)
+from millrace.schemas import (FILE_HEADER, INVOICE, LONG, NOTIFICATION, REWARD, TOPIC_HEADER, TRADE,
+                              flat_schema)
 from millrace.session import scratch_dir
 from millrace.sources.files import json_directory, text_directory
 from millrace.sources.topics import Topics
@@ -94,8 +94,7 @@ def avro_items_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 def _item_values(messages: DataFrame) -> DataFrame:
     """Line items of JSON invoice messages, in the struct column the rewards take."""
-    fields = ["CustomerType", "CustomerCardNo", "InvoiceLineItems.TotalValue"]
-    items = decode_json(messages, keep(INVOICE, fields)).select(
+    items = decode_json(messages, INVOICE).select(
         "CustomerType", "CustomerCardNo", F.explode("InvoiceLineItems.TotalValue").alias("TotalValue"))
     return items.select(F.struct("*").alias("value"))
 
@@ -139,7 +138,7 @@ def rewards_messages(spark: SparkSession, folder: str) -> DataFrame:
 def _in_two_parts(tables: Tables, work: str) -> tuple[Topics, list[Column]]:
     """An empty invoice topic, and the conditions of the parts to publish into it."""
     day = F.unix_millis(F.to_timestamp(F.lit(FIRST_PART_ENDS)))
-    created = F.from_json(F.col("value").cast("string"), keep(INVOICE, ["CreatedTime"])).CreatedTime
+    created = F.get_json_object(F.col("value").cast("string"), "$.CreatedTime").cast("bigint")
     early = F.coalesce(created < day, F.lit(False))
     return Topics(folder=f"{work}/topics"), [early, ~early]
 
@@ -207,8 +206,7 @@ def last_login_upsert(spark: SparkSession, folder: str) -> DataFrame:
 
 def _login_second() -> Column:
     """Login time of a raw message, in seconds since the epoch."""
-    created = F.from_json(F.col("value").cast("string"), keep(LOGIN, ["created_time"])).created_time
-    return F.unix_timestamp(parse_time(created))
+    return F.unix_timestamp(parse_time(F.get_json_object(F.col("value").cast("string"), "$.created_time")))
 
 
 def impression_click_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -274,8 +272,8 @@ def prime_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Invoices of prime customers."""
     tables = Tables.of(spark, folder)
     messages = tables.topics("invoice-headers").table(tables.spark, "invoices")
-    fields = ["InvoiceNumber", "CustomerType", "CustomerCardNo"]
-    return decode_json(messages, keep(INVOICE, fields)).filter("CustomerType == 'PRIME'")
+    return decode_json(messages, INVOICE).filter("CustomerType == 'PRIME'") \
+        .select("InvoiceNumber", "CustomerType", "CustomerCardNo")
 
 
 QUERIES = {query.__name__: query for query in (

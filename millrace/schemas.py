@@ -63,30 +63,6 @@ TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 # End of fixed values.
 
 
-def keep(schema: T.StructType, names: Iterable[str]) -> T.StructType:
-    """The named fields only, dotted for nested ones; parsing skips all the others."""
-    wanted: dict[str, list[str]] = {}
-    for name in names:
-        head, _, rest = name.partition(".")
-        wanted.setdefault(head, []).extend([rest] if rest else [])
-    fields = []
-    for field in schema.fields:
-        if field.name not in wanted:
-            continue
-        inner = wanted[field.name]
-        if not inner:
-            kind = field.dataType
-        elif isinstance(field.dataType, T.ArrayType):
-            kind = T.ArrayType(keep(field.dataType.elementType, inner))
-        else:
-            kind = keep(field.dataType, inner)
-        fields.append(T.StructField(field.name, kind))
-    missing = wanted.keys() - {field.name for field in fields}
-    if missing:
-        raise ValueError(f"no such fields: {sorted(missing)}")
-    return T.StructType(fields)
-
-
 def flat_schema(header: Iterable[str], item_qty: T.DataType = INT) -> T.StructType:
     """Row layout after flattening invoices with the given header columns."""
     address = INVOICE["DeliveryAddress"].dataType

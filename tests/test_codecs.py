@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,8 +13,7 @@ from conftest import messages
 from millrace.functions.codecs import decode_json, encode_json
 from millrace.functions.money import loyalty_points
 from millrace.functions.times import format_time, parse_time
-from millrace.schemas import (AVRO_HEADER, FILE_HEADER, INVOICE, TOPIC_HEADER, TRADE, flat_schema,
-                              keep)
+from millrace.schemas import AVRO_HEADER, FILE_HEADER, INVOICE, TOPIC_HEADER, TRADE, flat_schema
 
 
 def decoded(spark, *values):
@@ -36,20 +38,41 @@ def test_number_for_text_and_extra_field(spark):
     assert decoded(spark, {"Type": 7, "Amount": 1, "More": [1]}) == [(None, "7", 1, None)]
 
 
-def test_kept_fields_parse_like_the_whole_schema(spark):
-    values = ["not json", {"InvoiceNumber": 5, "TotalAmount": "x", "CustomerCardNo": "c"},
-              {"InvoiceNumber": "a", "TotalAmount": 1.5}, None, '{"InvoiceNumber":"a"', "{}"]
-    names = ["InvoiceNumber", "CustomerCardNo", "TotalAmount"]
-    whole = decode_json(messages(spark, values), INVOICE).select(names).collect()
-    assert decode_json(messages(spark, values), keep(INVOICE, names)).collect() == whole
-
-
-def test_keep_selects_nested_fields():
-    schema = keep(INVOICE, ["InvoiceNumber", "DeliveryAddress.City", "InvoiceLineItems.TotalValue"])
-    assert schema.simpleString() == ("struct<InvoiceNumber:string,DeliveryAddress:struct<City:string>,"
-                                     "InvoiceLineItems:array<struct<TotalValue:double>>>")
-    with pytest.raises(ValueError):
-        keep(INVOICE, ["Nothing"])
+ODD = [None, "x", 7, 1.5, True, [], {}, [1], {"a": 1}, "12", "1e400", 2**40]
+
+
+def damaged(value, draw):
+    """A copy with odd values, missing and extra fields here and there."""
+    if isinstance(value, dict):
+        kept = {key: draw.choice(ODD) if draw.random() < 0.08 else damaged(inner, draw)
+                for key, inner in value.items() if draw.random() > 0.05}
+        return {**kept, "Extra": draw.choice(ODD)} if draw.random() < 0.05 else kept
+    if isinstance(value, list):
+        return [draw.choice(ODD) if draw.random() < 0.08 else damaged(inner, draw) for inner in value]
+    return value
+
+
+def test_damaged_messages_are_read_as_by_a_plain_parse(spark):
+    draw = random.Random(11)
+    item = {"ItemCode": "i", "ItemDescription": "d", "ItemPrice": 5.0, "ItemQty": 2, "TotalValue": 10.0}
+    whole = {**{field.name: 1 if field.dataType.simpleString() != "string" else "s" for field in INVOICE},
+             "DeliveryAddress": {"AddressLine": "a", "City": "c", "State": "s", "PinCode": "1", "ContactNumber": "2"},
+             "InvoiceLineItems": [item, item, item]}
+    values = []
+    for _ in range(2000):
+        text = json.dumps(damaged(whole, draw))
+        values.append(text[:draw.randrange(len(text))] if draw.random() < 0.5 else text)
+    df = messages(spark, values)
+    plain = df.select(F.from_json(F.col("value").cast("string"), INVOICE).alias("value")).select("value.*")
+    assert decode_json(df, INVOICE).collect() == plain.collect()
+    some = ["InvoiceNumber", "CustomerCardNo", "TotalAmount"]
+    assert decode_json(df, INVOICE).select(some).collect() == plain.select(some).collect()
+
+
+def test_message_cut_before_a_nested_value_keeps_its_header(spark):
+    value = '{"InvoiceNumber": "n", "TotalAmount": 2.5, "InvoiceLineItems": [{"ItemCode": "i", "ItemQty":'
+    row = decode_json(messages(spark, [value]), INVOICE).first()
+    assert (row.InvoiceNumber, row.TotalAmount, row.CustomerCardNo) == ("n", 2.5, None)
 
 
 def test_message_is_parsed_once_whatever_filters_follow(spark):

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from millrace.operators.logins import newest_login, with_user
 from millrace.plans import feeds
 from millrace.plans.feeds import Tables, invoices
-from millrace.schemas import USER
 from millrace.session import engine_session
 
 
