@@ -40,6 +40,8 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("app", choices=APPS)
     options.add_argument("--checkpoint", required=True, help="folder of this query alone")
     options.add_argument("--brokers", help="Kafka bootstrap servers")
+    options.add_argument("--kafka-option", action="append", default=[], metavar="NAME=VALUE",
+                         help="further option of the Kafka connector; may be repeated")
     options.add_argument("--topic-folder", help="folder of file topics, instead of brokers")
     options.add_argument("--starting", default="earliest", help="offsets where no checkpoint exists")
     options.add_argument("--source", help="invoice-files: JSON folder; word-count: text folder")
@@ -75,7 +77,8 @@ def launch(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     mode, interval = APPS[args.app]
 
     def topics() -> Topics:
-        return Topics(folder=args.topic_folder, brokers=args.brokers)
+        further = dict(option.split("=", 1) for option in args.kafka_option)
+        return Topics(folder=args.topic_folder, brokers=args.brokers, options=further)
 
     def item_schema() -> str:
         return load_schema(args.schema_file) if args.schema_file else INVOICE_ITEM_SCHEMA

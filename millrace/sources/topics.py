@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,8 @@ class Topics:
 
     folder: str | None = None
     brokers: str | None = None
+    # Further options of the Kafka connector, such as kafka.security.protocol or minPartitions.
+    options: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         if (self.folder is None) == (self.brokers is None):
@@ -35,7 +38,7 @@ class Topics:
         they cost a file name per row.
         """
         if self.brokers:
-            return spark.readStream.format("kafka") \
+            return spark.readStream.format("kafka").options(**self.options) \
                 .option("kafka.bootstrap.servers", self.brokers) \
                 .option("subscribe", name) \
                 .option("startingOffsets", starting) \
@@ -50,7 +53,7 @@ class Topics:
     def table(self, spark: SparkSession, name: str, positions: bool = False) -> DataFrame:
         """Everything in the topic now, as a bounded table."""
         if self.brokers:
-            return spark.read.format("kafka") \
+            return spark.read.format("kafka").options(**self.options) \
                 .option("kafka.bootstrap.servers", self.brokers) \
                 .option("subscribe", name) \
                 .load()
@@ -65,7 +68,7 @@ class Topics:
     def publish(self, messages: DataFrame, name: str, records_per_file: int = 0) -> None:
         """Append (key, value) rows to a topic as one batch write."""
         if self.brokers:
-            messages.select("key", "value").write.format("kafka") \
+            messages.select("key", "value").write.format("kafka").options(**self.options) \
                 .option("kafka.bootstrap.servers", self.brokers) \
                 .option("topic", name) \
                 .save()
@@ -81,7 +84,7 @@ class Topics:
         if the batch is repeated.
         """
         if self.brokers:
-            return messages.select("key", "value").writeStream.format("kafka") \
+            return messages.select("key", "value").writeStream.format("kafka").options(**self.options) \
                 .option("kafka.bootstrap.servers", self.brokers) \
                 .option("topic", name)
         if mode != "append":

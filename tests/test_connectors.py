@@ -23,18 +23,18 @@ class Chain:
         return call
 
 
-KAFKA = [("format", "kafka"), ("option", "kafka.bootstrap.servers", "a:9092,b:9092")]
+KAFKA = [("format", "kafka"), ("options", ("minPartitions", "64")), ("option", "kafka.bootstrap.servers", "a:9092,b:9092")]
 
 
 def test_kafka_stream():
     spark = MagicMock(readStream=Chain())
-    found = Topics(brokers="a:9092,b:9092").stream(spark, "invoices")
+    found = Topics(brokers="a:9092,b:9092", options={"minPartitions": "64"}).stream(spark, "invoices")
     assert found.calls == [*KAFKA, ("option", "subscribe", "invoices"),
                            ("option", "startingOffsets", "earliest"), ("load",)]
 
 
 def test_kafka_table_and_batch_write():
-    topics = Topics(brokers="a:9092,b:9092")
+    topics = Topics(brokers="a:9092,b:9092", options={"minPartitions": "64"})
     spark = MagicMock(read=Chain())
     assert topics.table(spark, "t").calls == [*KAFKA, ("option", "subscribe", "t"), ("load",)]
     rows = MagicMock()
@@ -48,7 +48,7 @@ def test_kafka_table_and_batch_write():
 def test_kafka_sink_takes_key_and_value_alone(mode):
     rows = MagicMock()
     rows.select.return_value.writeStream = Chain()
-    writer = Topics(brokers="a:9092,b:9092").sink(rows, "notifications", mode)
+    writer = Topics(brokers="a:9092,b:9092", options={"minPartitions": "64"}).sink(rows, "notifications", mode)
     rows.select.assert_called_once_with("key", "value")
     assert writer.calls == [*KAFKA, ("option", "topic", "notifications")]
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from unittest.mock import MagicMock
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -169,6 +171,16 @@ def test_scratch_space_is_the_configured_folder(spark):
         assert path.startswith(root)
 
 
+def test_scratch_space_of_a_cluster_must_be_named():
+    cluster = MagicMock()
+    cluster.conf.get.return_value = None
+    cluster.sparkContext.master = "spark://master:7077"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_dir(cluster, "x")
+    cluster.sparkContext.master = "local[2]"
+    assert session.scratch_dir(cluster, "x").startswith("/")
+
+
 def test_object_store_settings_reach_hadoop(spark):
     session.use_object_store(spark, "store:9000", "me", "secret")
     hadoop = spark._jsc.hadoopConfiguration()
