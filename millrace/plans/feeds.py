@@ -226,9 +226,12 @@ def publish_trades(tables: Tables, path: str) -> None:
                                 tables.file_records(tables["events"].count()))
 
 
-def publish_lines(tables: Tables, path: str) -> None:
-    """The text of every document, as lines of text files."""
-    tables["documents"].select("text").where("text is not null").write \
+def publish_lines(tables: Tables, path: str, where: Column | None = None) -> None:
+    """The text of every document (or of those chosen), as lines of text files."""
+    documents = tables["documents"].where("text is not null")
+    if where is not None:
+        documents = documents.where(where)
+    documents.select("text").write.mode("append") \
         .option("lineSep", "\n") \
         .option("maxRecordsPerFile", tables.file_records(tables["documents"].count())).text(path)
 

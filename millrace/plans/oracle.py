@@ -69,6 +69,32 @@ TRADES = """
     FROM events
 """
 
+WINDOWS = f"""
+    SELECT strftime(slot, '%Y-%m-%d %H:%M:%S') AS "start",
+           strftime(slot + INTERVAL 15 MINUTE, '%Y-%m-%d %H:%M:%S') AS "end",
+           CAST(sum(CASE WHEN Type = 'BUY' THEN Amount ELSE 0 END) AS BIGINT) AS TotalBuy,
+           CAST(sum(CASE WHEN Type = 'SELL' THEN Amount ELSE 0 END) AS BIGINT) AS TotalSell
+    FROM (SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS slot, Type, Amount
+          FROM ({TRADES}) WHERE ts IS NOT NULL)
+    {{where}}
+    GROUP BY slot
+"""
+
+# The sales come second and change the windows they fall into.
+WINDOWS_CHANGELOG = f"""
+    SELECT CAST(0 AS BIGINT) AS batch_id, * FROM ({WINDOWS.format(where="WHERE Type IS DISTINCT FROM 'SELL'")})
+    UNION ALL
+    SELECT CAST(1 AS BIGINT) AS batch_id, * FROM ({WINDOWS.format(where=f"""
+        WHERE slot IN (SELECT time_bucket(INTERVAL 15 MINUTE, ts) FROM ({TRADES}) WHERE Type = 'SELL')""")})
+"""
+
+WORDS = """
+    SELECT {batch} word, count(*) AS count
+    FROM (SELECT unnest(string_split(line, ' ')) AS word
+          FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents {where}))
+    GROUP BY word
+"""
+
 ORACLE = {
     "file_invoice_flatten": flat("InvoiceNumber", "CreatedTime", "StoreID", "PosID", "CustomerType",
                                  "PaymentMethod", "DeliveryType", quantity="BIGINT"),
@@ -103,18 +129,13 @@ ORACLE = {
                o_orderpriority AS Campaigner, CAST(l_orderkey AS VARCHAR) AS ClickID,
                strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS ClickTime
         FROM orders JOIN lineitem ON o_orderkey = l_orderkey""",
-    "word_count": r"""
-        SELECT word, count(*) AS count
-        FROM (SELECT unnest(string_split(line, ' ')) AS word
-              FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents))
-        GROUP BY word""",
-    "trade_windows": f"""
-        SELECT strftime(slot, '%Y-%m-%d %H:%M:%S') AS "start",
-               strftime(slot + INTERVAL 15 MINUTE, '%Y-%m-%d %H:%M:%S') AS "end",
-               CAST(sum(CASE WHEN Type = 'BUY' THEN Amount ELSE 0 END) AS BIGINT) AS TotalBuy,
-               CAST(sum(CASE WHEN Type = 'SELL' THEN Amount ELSE 0 END) AS BIGINT) AS TotalSell
-        FROM (SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS slot, Type, Amount FROM ({TRADES}) WHERE ts IS NOT NULL)
-        GROUP BY slot""",
+    "word_count": WORDS.format(batch="", where=""),
+    "word_count_snapshots": f"""
+        {WORDS.format(batch="CAST(0 AS BIGINT) AS batch_id,", where="WHERE lang = 'en'")}
+        UNION ALL
+        {WORDS.format(batch="CAST(1 AS BIGINT) AS batch_id,", where="")}""",
+    "trade_windows": WINDOWS.format(where=""),
+    "trade_windows_changelog": WINDOWS_CHANGELOG,
     "json_decode": f"SELECT CreatedTime, Type, Amount, BrokerCode FROM ({TRADES})",
     "parse_timestamp": f"""
         SELECT CreatedTime,

@@ -20,7 +20,7 @@ from millrace.operators.skew import frozen
 from millrace.operators.trades import buy_sell
 from millrace.operators.words import word_counts
 from millrace.plans import apps
-from millrace.plans.feeds import Tables, users_table
+from millrace.plans.feeds import Tables, publish_lines, users_table
 from millrace.resources import INVOICE_ITEM_SCHEMA
 from millrace.schemas import (FILE_HEADER, INVOICE, LONG, NOTIFICATION, REWARD, TOPIC_HEADER, TRADE,
                               flat_schema)
@@ -247,6 +247,38 @@ def trade_windows(spark: SparkSession, folder: str) -> DataFrame:
                        "TotalBuy", "TotalSell")
 
 
+def word_count_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole result that complete mode emits each time: English texts, then all texts."""
+    tables = Tables.of(spark, folder)
+    work = scratch_dir(tables.spark, "word-snapshots")
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    for part in (english, ~english):
+        publish_lines(tables, f"{work}/lines", part)
+        counts = word_counts(text_directory(tables.spark, f"{work}/lines"))
+        drain(changelog_sink(counts, f"{work}/out"), f"{work}/checkpoint", mode="complete")
+    return all_batches(tables.spark, f"{work}/out")
+
+
+def trade_windows_changelog(spark: SparkSession, folder: str) -> DataFrame:
+    """Every window total emitted in update mode, when all sales arrive late.
+
+    However old a window is, a late trade changes its total.
+    """
+    tables = Tables.of(spark, folder)
+    work = scratch_dir(tables.spark, "trade-changes")
+    topics = Topics(folder=f"{work}/topics")
+    messages = tables.topics("stock-trades").table(tables.spark, "stock-trades")
+    kind = F.get_json_object(F.col("value").cast("string"), "$.Type")
+    sales = F.coalesce(kind == "SELL", F.lit(False))
+    for part in (~sales, sales):
+        topics.publish(messages.where(part), apps.TRADES)
+        totals = apps.trade_totals(topics.stream(tables.spark, apps.TRADES))
+        drain(changelog_sink(totals, f"{work}/out"), f"{work}/checkpoint", mode="update")
+    return all_batches(tables.spark, f"{work}/out").select(
+        "batch_id", format_time("start").alias("start"), format_time("end").alias("end"),
+        "TotalBuy", "TotalSell")
+
+
 def _trades(tables: Tables) -> DataFrame:
     messages = tables.topics("stock-trades").table(tables.spark, "stock-trades")
     return decode_json(messages, TRADE)
@@ -280,4 +312,4 @@ QUERIES = {query.__name__: query for query in (
     file_invoice_flatten, topic_invoice_flatten, loyalty_notifications, avro_items_roundtrip,
     customer_rewards, rewards_from_avro_topic, rewards_messages, rewards_changelog,
     restart_exactly_once, last_login_join, last_login_upsert, impression_click_join, word_count,
-    trade_windows, json_decode, parse_timestamp, conditional_columns, prime_filter)}
+    word_count_snapshots, trade_windows, trade_windows_changelog, json_decode, parse_timestamp, conditional_columns, prime_filter)}

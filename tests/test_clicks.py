@@ -102,6 +102,18 @@ def test_hot_key_of_a_stream_is_spread_over_state_partitions(spark, topics, tmp_
     assert len(per_task) == 4 and max(row["count"] for row in per_task) < 0.6 * 300
 
 
+def test_spread_join_goes_on_after_a_restart(spark, topics, tmp_path):
+    impressions = [{"InventoryID": key, "CreatedTime": str(n), "Campaigner": "c"}
+                   for n, key in enumerate(skewed(40, 0.5, 5))]
+    clicks = [{"InventoryID": key, "CreatedTime": "2020-09-09 10:18:00"} for key in skewed(40, 0.5, 6)]
+    for half in (slice(0, 20), slice(20, 40)):
+        publish(spark, topics, "clicks", clicks[half])
+        publish(spark, topics, "impressions", impressions[half])
+        hot = frozen(spark, str(tmp_path / "hot"), lambda: spark.createDataFrame([("hot", 3, 2)], HOT_KEYS))
+        _, found = joined(spark, topics, tmp_path, hot, files=None)
+    assert as_text(found) == expected(impressions, clicks)
+
+
 @pytest.mark.parametrize("sample", [1000, 40])
 def test_hot_keys_are_found(spark, monkeypatch, sample):
     monkeypatch.setattr(skew, "SAMPLE_PER_PARTITION", sample)
