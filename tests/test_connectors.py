@@ -54,8 +54,8 @@ def test_kafka_sink_takes_key_and_value_alone(mode):
 
 
 def test_cassandra_table():
-    table = CassandraTable("spark_db", "users")
-    options = ("options", ("keyspace", "spark_db"), ("table", "users"))
+    table = CassandraTable("shop", "users")
+    options = ("options", ("keyspace", "shop"), ("table", "users"))
     spark = MagicMock(read=Chain())
     assert table.read(spark).calls == [("format", "org.apache.spark.sql.cassandra"), options, ("load",)]
     rows = MagicMock(write=Chain())

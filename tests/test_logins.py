@@ -16,10 +16,10 @@ from millrace.sources.tables import FileTable
 from millrace.streaming.changelog import all_batches, batch_writer
 from millrace.streaming.runner import drain
 
-# Sample users.
-USERS = [("100001", "Prashant", dt.datetime(2019, 2, 5, 10, 5)),
-         ("100009", "Alisha", dt.datetime(2019, 3, 7, 11, 3)),
-         ("100087", "Abdul", dt.datetime(2019, 6, 12, 9, 43)),
+# Sample users.
+USERS = [("100001", "Asha", dt.datetime(2019, 2, 5, 10, 5)),
+         ("100009", "Bela", dt.datetime(2019, 3, 7, 11, 3)),
+         ("100087", "Chen", dt.datetime(2019, 6, 12, 9, 43)),
          ("100091", "New User", dt.datetime(2019, 6, 12, 9, 43))]
 
 
@@ -47,7 +47,7 @@ def test_unknown_users_are_dropped(spark, users):
                                           login(None, "10:18"), "not json", None]))
     found = with_user(logins, users.read(spark).select("login_id", "user_name"))
     assert found.columns == ["login_id", "user_name", "last_login"]
-    assert text(found) == [("100001", "Prashant", "2019-02-09 10:18:00")]
+    assert text(found) == [("100001", "Asha", "2019-02-09 10:18:00")]
 
 
 def test_every_login_joins(spark, topics, users, tmp_path):
@@ -57,8 +57,8 @@ def test_every_login_joins(spark, topics, users, tmp_path):
     stream = logins_from(topics.stream(spark, "logins", files_per_trigger=1))
     drain(stream.writeStream.foreachBatch(step), str(tmp_path / "c"), mode="update")
     assert text(all_batches(spark, str(tmp_path / "out"))) == [
-        ("100001", "Prashant", "2019-02-09 10:17:00"), ("100001", "Prashant", "2019-02-09 10:18:00"),
-        ("100001", "Prashant", None), ("100009", "Alisha", "2019-02-09 10:20:00")]
+        ("100001", "Asha", "2019-02-09 10:17:00"), ("100001", "Asha", "2019-02-09 10:18:00"),
+        ("100001", "Asha", None), ("100009", "Bela", "2019-02-09 10:20:00")]
 
 
 def test_newest_login_per_user(spark):
@@ -74,8 +74,8 @@ def test_upsert_latest_within_a_batch_last_batch_across(spark, topics, users, tm
     publish(spark, topics, "logins", [login("100009", "09:00"), login("100001", "08:00")])
     run(spark, topics, users, tmp_path)
     assert text(users.current(spark)) == [
-        ("100001", "Prashant", "2019-02-09 08:00:00"), ("100009", "Alisha", "2019-02-09 09:00:00"),
-        ("100087", "Abdul", "2019-06-12 09:43:00"), ("100091", "New User", "2019-06-12 09:43:00")]
+        ("100001", "Asha", "2019-02-09 08:00:00"), ("100009", "Bela", "2019-02-09 09:00:00"),
+        ("100087", "Chen", "2019-06-12 09:43:00"), ("100091", "New User", "2019-06-12 09:43:00")]
 
 
 def test_users_added_later_are_seen_by_later_batches(spark, topics, users, tmp_path):
