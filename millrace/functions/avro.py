@@ -27,6 +27,9 @@ ARROW_TYPES = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "do
 # Branch numbers 0 and 1 of the union, as Avro writes them.
 VALUE_BRANCH, NULL_BRANCH = 0, 2
 
+# Rows coded together. Their bytes are addressed by 32-bit offsets.
+ROWS_AT_ONCE = 10_000
+
 # Ship this module's code with the tasks: executors need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -75,9 +78,8 @@ def encode_avro(rows: DataFrame, schema: str, key: str) -> DataFrame:
                            to_avro(F.struct(*names), schema).alias("value"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            record = batch.column(1)
-            columns = [(record.field(i), kind) for i, (_, kind) in enumerate(fields)]
+        for batch in _pieces(batches):
+            columns = [(column, kind) for column, (_, kind) in zip(batch.column(1).flatten(), fields)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), _records(columns, batch.num_rows)], names=["key", "value"])
 
@@ -103,12 +105,19 @@ def decode_avro(messages: DataFrame, schema: str, only: Iterable[str] | None = N
     kept = set(layout.fieldNames())
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches):
             yield pa.RecordBatch.from_arrays([_structs(batch.column(0), fields, kept)], names=["value"])
 
     return messages.select("value").mapInArrow(decode, T.StructType([T.StructField("value", layout)]))
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of bounded size, whatever size Spark is set to send."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(start, ROWS_AT_ONCE)
+
+
 def _records(columns: list[tuple[pa.Array, str]], rows: int) -> pa.Array:
     """One Avro record per row, all rows of a batch at once, field by field."""
     parts = []

@@ -105,6 +105,14 @@ def test_dataframe_roundtrip_and_null_key(spark):
     assert empty.count() == 0
 
 
+def test_batches_are_coded_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(avro, "ROWS_AT_ONCE", 3)
+    data = [(f"s{n}" if n % 4 else None, n, n, n / 2, "z" * n if n % 5 else None) for n in range(20)]
+    df = spark.createDataFrame(data, spark_schema(SCHEMA)).coalesce(1)
+    back = decode_avro(encode_avro(df, SCHEMA, key="s"), SCHEMA)
+    assert [tuple(row.value) for row in back.collect()] == data
+
+
 def test_another_reader_understands_the_bytes(spark):
     """The Avro library on the JVM's classpath, reached through the gateway."""
     data = [("näme", -(2**63), 2**31 - 1, 1e300, None), (None, 127, -128, -2.5, "z" * 300)]
