@@ -70,5 +70,9 @@ class FileTable:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return base
-        versions = base.withColumn("batch_id", F.lit(-1).cast("bigint")).unionByName(changes)
-        return last_per_key(versions, [self.key]).select(self.schema.fieldNames())
+        # Reducing the changes alone spares the base, the larger part, an aggregation.
+        newest = last_per_key(changes, [self.key]).withColumn("changed", F.lit(True))
+        merged = base.alias("base").join(newest.alias("newest"), self.key, "full")
+        return merged.select(self.key, *[
+            F.when(F.col("changed"), F.col(f"newest.{name}")).otherwise(F.col(f"base.{name}")).alias(name)
+            for name in self.schema.fieldNames() if name != self.key])

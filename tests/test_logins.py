@@ -114,6 +114,15 @@ def test_repeated_batch_does_not_double(spark, users):
     assert all_batches(spark, users.changes).count() == 1
 
 
+def test_changes_may_add_users_and_take_values_back(spark, users):
+    users.upsert(spark.createDataFrame([("1", "One", None), ("100001", "Asha", None)], USER), 0)
+    users.upsert(spark.createDataFrame([("1", "Two", dt.datetime(2020, 1, 1))], USER), 1)
+    found = users.current(spark)
+    assert found.columns == USER.names
+    assert text(found)[:2] == [("1", "Two", "2020-01-01 00:00:00"), ("100001", "Asha", None)]
+    assert found.count() == 5
+
+
 def test_table_without_changes_is_its_base(spark, users):
     assert text(users.current(spark)) == text(spark.createDataFrame(USERS, USER))
 
