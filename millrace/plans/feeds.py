@@ -147,7 +147,7 @@ def invoices(tables: Tables, max_items: int = MAX_ITEMS) -> DataFrame:
     items = lines.groupBy(*keys).agg(F.collect_list("item").alias("InvoiceLineItems"))
 
     whole = headers.join(items, keys, "left")
-    count = F.coalesce("total_items", F.size("InvoiceLineItems"), F.lit(0)).cast("int")
+    count = F.coalesce("total_items", F.size("InvoiceLineItems"), F.lit(0)).try_cast("int")
     return whole.withColumns({
         "InvoiceLineItems": F.coalesce("InvoiceLineItems", F.array()),
         "NumberOfItems": F.when(F.col("InvoiceLineItems").isNull(), 0).otherwise(count),
