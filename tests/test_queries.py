@@ -18,6 +18,9 @@ from test_logins import USERS, login
 from test_trades import SAMPLE
 
 
+SQL_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
+
+
 @pytest.fixture(scope="module")
 def tables():
     return connect(TESTDATA)
@@ -29,8 +32,11 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", list(entry_module.queries()))
 def test_query_equals_sql(spark, tables, name):
-    got = spark_rows(entry_module.queries()[name](spark, TESTDATA))
-    assert got == sql_rows(tables, entry_module.oracle_sql()[name])
+    found, sql = entry_module.queries()[name](spark, TESTDATA), entry_module.oracle_sql()[name]
+    types = tables.execute(f"DESCRIBE {sql}").fetchall()
+    assert sorted((name, SQL_TYPES[kind]) for name, kind in found.dtypes) == sorted(row[:2] for row in types)
+    got = spark_rows(found)
+    assert got == sql_rows(tables, sql)
     assert got[1]
 
 
