@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm.bpe import round_trip_digests
 from millrace.llm.exact_dedup import exact_groups
+from millrace.llm.langid import languages
+from millrace.llm.packing import packed
 from millrace.llm.simhash import simhash_groups
 from millrace.llm.storage import table
 
+TOKENIZER = "word_bpe_49k.json"
+
 
 def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_groups(table(spark, folder, "documents"))
@@ -19,6 +25,19 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(table(spark, folder, "documents"))
 
 
+def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return round_trip_digests(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return languages(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_simhash_near_dedup, op6_exact_dedup)
+    query.__name__: query
+    for query in (op1_simhash_near_dedup, op6_exact_dedup, op7_best_fit_packing, op9_bpe, op10_language_id)
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +21,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    if spark.sparkContext.master.startswith("local"):
+        # Local workers find this package where the driver did; a cluster ships it with --py-files.
+        spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
