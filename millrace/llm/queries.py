@@ -10,9 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.llm.bpe import round_trip_digests
 from millrace.llm.exact_dedup import exact_groups
 from millrace.llm.langid import languages
+from millrace.llm.licenses import license_scan
 from millrace.llm.packing import packed
+from millrace.llm.quality import quality
 from millrace.llm.simhash import simhash_groups
 from millrace.llm.storage import table
+from millrace.llm.toxicity import toxicity
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -21,6 +24,14 @@ def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_groups(table(spark, folder, "documents"))
 
 
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan(table(spark, folder, "documents")).drop("spans")
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(table(spark, folder, "documents"))
 
@@ -29,6 +40,10 @@ def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels")).drop("hits")
+
+
 def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip_digests(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -39,5 +54,6 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op1_simhash_near_dedup, op6_exact_dedup, op7_best_fit_packing, op9_bpe, op10_language_id)
+    for query in (op1_simhash_near_dedup, op2_quality, op4_license_scan, op6_exact_dedup, op7_best_fit_packing,
+                  op8_toxicity, op9_bpe, op10_language_id)
 }
