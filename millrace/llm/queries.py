@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.llm.bpe import round_trip_digests
 from millrace.llm.exact_dedup import exact_groups
@@ -15,6 +16,7 @@ from millrace.llm.packing import packed
 from millrace.llm.quality import quality
 from millrace.llm.simhash import simhash_groups
 from millrace.llm.storage import table
+from millrace.llm.substrings import repeats_removed
 from millrace.llm.toxicity import toxicity
 
 TOKENIZER = "word_bpe_49k.json"
@@ -28,6 +30,11 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats_removed(table(spark, folder, "documents")) \
+        .select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
 def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan(table(spark, folder, "documents")).drop("spans")
 
@@ -54,6 +61,6 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op1_simhash_near_dedup, op2_quality, op4_license_scan, op6_exact_dedup, op7_best_fit_packing,
-                  op8_toxicity, op9_bpe, op10_language_id)
+    for query in (op1_simhash_near_dedup, op2_quality, op3_substring_dedup, op4_license_scan, op6_exact_dedup,
+                  op7_best_fit_packing, op8_toxicity, op9_bpe, op10_language_id)
 }

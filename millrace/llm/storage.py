@@ -10,14 +10,27 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.session import scratch_dir
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet in the cluster's shared folder and read again.
 
-    Cuts the lineage: a lost executor costs the tasks it ran, not the steps before.
+    Cuts the lineage: a lost executor costs the tasks it ran, not the steps before. The
+    shuffle files of the write are dropped with its end.
     """
-    path = scratch_dir(df.sparkSession, f"llm-{label}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_dir(spark, f"llm-{label}")
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
