@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.storage import shuffle_partitions, stored
+from millrace.llm.storage import chosen_rows, shuffle_partitions, stored
 
 FAN_IN = 16
 COPIES_PER_PIECE = 100_000
@@ -80,15 +80,6 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, one of each group, with the columns of ``docs``."""
-    groups = exact_groups(docs, id_col, text_col)
-    kept = groups.where("kept").select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"))
-    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                        F.col(id_col).alias("_id"), digest_columns(F.col(text_col))[0].alias("_sha"))
-    one = named.join(kept.withColumnRenamed("_id", "_keep").withColumnRenamed("_sha", "_digest"),
-                     F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_sha") == F.col("_digest")), "left_semi")
-    repeated = groups.groupBy(F.col(id_col).alias("_keep"), F.col("text_sha256").alias("_digest")) \
-        .agg(F.count("*").alias("n")).where("n > 1").select("_keep", "_digest")
-    same = F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_sha") == F.col("_digest"))
-    single = one.join(repeated, same, "left_anti").select("row.*")
-    folded = one.join(repeated, same, "left_semi").groupBy("_id", "_sha").agg(F.min("row").alias("row"))
-    return single.unionByName(folded.select("row.*"))
+    groups = stored(exact_groups(docs, id_col, text_col)
+                    .select(F.col(id_col).alias("k0"), F.col("text_sha256").alias("k1"), "kept"), "exact-groups")
+    return chosen_rows(docs, [F.col(id_col), digest_columns(F.col(text_col))[0]], groups, groups.where("kept"))

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.storage import unused_name
+
 UNKNOWN = "und"
 GRAMS = (1, 2, 3)
 PROFILE_SIZE = 400
@@ -152,3 +154,12 @@ def languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     found = docs.select(F.col(id_col), held_out(id_col).alias("held_out"),
                         language(profiles, F.col(text_col)).alias("found"))
     return found.select(id_col, "held_out", "found.lang_pred", "found.score")
+
+
+def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` in which a language was found; texts that are null or have no letter go."""
+    profiles = learn_profiles(docs, id_col, text_col, lang_col)
+    found, row = unused_name(), unused_name()
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    return docs.select(whole.alias(row), language(profiles, F.col(text_col)).alias(found)) \
+        .where(F.col(found).getField("lang_pred") != UNKNOWN).select(f"{row}.*")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.bpe import round_trip_digests
+from millrace.llm.embeddings import near_duplicate_vectors
 from millrace.llm.exact_dedup import exact_groups
 from millrace.llm.langid import languages
 from millrace.llm.licenses import license_scan
@@ -39,6 +40,10 @@ def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan(table(spark, folder, "documents")).drop("spans")
 
 
+def op5_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, folder, "embeddings"))
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(table(spark, folder, "documents"))
 
@@ -61,6 +66,6 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op1_simhash_near_dedup, op2_quality, op3_substring_dedup, op4_license_scan, op6_exact_dedup,
-                  op7_best_fit_packing, op8_toxicity, op9_bpe, op10_language_id)
+    for query in (op1_simhash_near_dedup, op2_quality, op3_substring_dedup, op4_license_scan,
+                  op5_embedding_near_dedup, op6_exact_dedup, op7_best_fit_packing, op8_toxicity, op9_bpe, op10_language_id)
 }

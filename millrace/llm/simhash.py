@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import connected_components
-from millrace.llm.storage import stored
+from millrace.llm.storage import chosen_rows, stored
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -44,15 +44,17 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp): the fingerprint of every row's whole text, as a signed long."""
+    """(id, mark, fp): a hash of every row's text, and the fingerprint of the whole text as a signed long."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t.as_py(), shingle) for t in batch.column("text")], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found.view(np.int64))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("mark"), pa.array(found.view(np.int64))],
+                                             ["id", "mark", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(work, "id long, fp long")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    return rows.mapInArrow(work, "id long, mark long, fp long")
 
 
 def block_masks(blocks: int, max_bits: int) -> list[int]:
@@ -129,6 +131,14 @@ def spanning_edges(prints: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.nd
     return prints[moved], prints[label[moved]]
 
 
+def linked_prints(prints: DataFrame, max_bits: int, blocks: int) -> DataFrame:
+    """(fp, component): the component of every distinct fingerprint of ``prints`` (id, fp)."""
+    distinct = stored(prints.select("fp").distinct(), "distinct-prints")
+    stars = connected_components(close_links(distinct, max_bits, blocks))
+    return distinct.join(stars.withColumnRenamed("node", "fp"), "fp", "left") \
+        .select("fp", F.coalesce("component", "fp").alias("component"))
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                    max_bits: int = MAX_BITS, blocks: int = BLOCKS) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, fingerprint (16 hex digits), component_id.
@@ -140,11 +150,26 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     other columns are not read.
     """
     prints = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    least = stored(prints.groupBy("fp").agg(F.min("id").alias("least")), "distinct-prints")
-    stars = connected_components(close_links(least.select("fp"), max_bits, blocks))
-    placed = least.join(stars.withColumnRenamed("node", "fp"), "fp", "left") \
-        .select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    roots = placed.groupBy("component").agg(F.min("least").alias("component_id"))
+    placed = linked_prints(prints, max_bits, blocks)
+    least = prints.groupBy("fp").agg(F.min("id").alias("least"))
+    roots = least.join(placed, "fp").groupBy("component").agg(F.min("least").alias("component_id"))
     named = placed.join(roots, "component").select("fp", "component_id")
     return prints.join(named, "fp").select(F.col("id").alias(id_col),
                                            F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                        max_bits: int = MAX_BITS, blocks: int = BLOCKS) -> DataFrame:
+    """The row with the smallest id of every component, with the columns of ``docs``.
+
+    A row without an id stays only if its component has no other; of rows repeated under the
+    smallest id one stays.
+    """
+    prints = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    placed = linked_prints(prints, max_bits, blocks)
+    least = prints.groupBy("fp").agg(F.min(F.struct(F.isnull("id"), "id", "mark")).alias("least"))
+    kept = least.join(placed, "fp").groupBy("component").agg(F.min("least").alias("least"))
+    every = prints.select(F.col("id").alias("k0"), F.col("mark").alias("k1"))
+    chosen = stored(kept.select(F.col("least.id").alias("k0"), F.col("least.mark").alias("k1")), "simhash-kept")
+    keys = [F.col(id_col).cast("long"), F.xxhash64(F.col(text_col).cast("string"))]
+    return chosen_rows(docs, keys, every, chosen)

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.session import scratch_dir
 
@@ -47,3 +49,21 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def unused_name() -> str:
     """A column name that no input has."""
     return f"_{uuid.uuid4().hex}"
+
+
+def chosen_rows(docs: DataFrame, keys: list[Column], every: DataFrame, chosen: DataFrame) -> DataFrame:
+    """One row of ``docs``, with its columns, for each row of ``chosen``.
+
+    ``keys`` are the keys of a row, ``every`` holds the keys of all rows (columns k0, k1, ...)
+    and ``chosen`` distinct ones of them. Nulls are keys like others. Of rows with the same
+    key the smallest stays; only those rows are grouped.
+    """
+    names = [f"k{i}" for i in range(len(keys))]
+    here = [unused_name() for _ in names]
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    named = docs.select(row.alias("row"), *[key.alias(name) for key, name in zip(keys, here)])
+    same = reduce(lambda a, b: a & b, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(here, names)])
+    found = named.join(chosen.select(*names), same, "left_semi")
+    repeated = every.groupBy(*names).agg(F.count("*").alias("n")).where("n > 1").select(*names)
+    folded = found.join(repeated, same, "left_semi").groupBy(*here).agg(F.min("row").alias("row"))
+    return found.join(repeated, same, "left_anti").select("row.*").unionByName(folded.select("row.*"))

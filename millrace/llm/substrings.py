@@ -160,3 +160,19 @@ def repeats_removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     narrow = docs.select(F.col(id_col), F.col(text_col))
     return with_cut_texts(narrow, id_col, text_col, window) \
         .select(F.col("row").getField(id_col).alias(id_col), "cut.n_words", "cut.n_removed", "cut.kept")
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    window: int = WINDOW, length_col: str = "n_chars") -> DataFrame:
+    """``docs`` with the repeated passages cut out of the texts; texts without any stay as they are.
+
+    ``length_col``, where it is there, follows the new texts.
+    """
+    found = with_cut_texts(docs, id_col, text_col, window)
+    changed = F.col("cut.n_removed") > 0
+    columns = {name: F.col("row").getField(name) for name in docs.columns}
+    columns[text_col] = F.when(changed, F.col("cut.kept")).otherwise(columns[text_col])
+    if length_col in columns:
+        kind = docs.schema[length_col].dataType
+        columns[length_col] = F.when(changed, F.length("cut.kept").cast(kind)).otherwise(columns[length_col])
+    return found.select(*[column.alias(name) for name, column in columns.items()])
