@@ -71,6 +71,9 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        whole, *parts = (self.tokenizer.encode(text, add_special_tokens=False).ids for text in ("a b", "a", "b"))
+        if whole != sum(parts, []):
+            raise ValueError("tokens of this tokenizer reach over white space")
         self.cached_words, self.cached_bytes = cached_words, cached_bytes
         self.words: dict[bytes, bytes] = {}
         self.chunks: dict[bytes, bytes] = {}

@@ -75,16 +75,24 @@ class Complements:
 def packing_plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Pattern, int]]:
     """(lengths of a sequence, how many such sequences), using every available length up.
 
-    From the longest length down, gaps are filled exactly by one, two or three other lengths
-    as long as the counts allow it; what is left is packed by best fit decreasing.
+    Filling gaps with up to three lengths may spend short pieces that other gaps need more, so
+    plans with fillings of up to three, two and one lengths, and of none, are made; the first
+    with the fewest sequences counts.
     """
+    plans = [complement_plan(counts, capacity, most) for most in (3, 2, 1, 0)]
+    return min(plans, key=lambda plan: sum(times for _, times in plan))
+
+
+def complement_plan(counts: dict[int, int], capacity: int, most: int) -> list[tuple[Pattern, int]]:
+    """From the longest length down, gaps are filled exactly by one to ``most`` other lengths as long as
+    the counts allow it; what is left is packed by best fit decreasing."""
     index = Complements(counts, capacity)
     plan: list[tuple[Pattern, int]] = []
     for length in sorted(index.counts, reverse=True):
         if length == capacity:
             plan.append(((length,), index.counts[length]))
             index.take((length,), index.counts[length])
-        for size in (1, 2, 3):
+        for size in range(1, most + 1):
             while index.counts[length] > 0 and length < capacity:
                 found = index.find(length, capacity - length, size)
                 if found is None:

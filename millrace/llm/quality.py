@@ -104,7 +104,7 @@ def views(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
     own = {name: F.col(name) if name in docs.columns else F.lit(None) for name in ("source", "lang", "n_chars")}
     rows = docs.select(F.col(id_col).cast("long").alias("id"), held_out(id_col).alias("held_out"),
                        F.col(text_col).cast("string").alias("text"), own["source"].cast("string").alias("source"),
-                       own["lang"].cast("string").alias("lang"), own["n_chars"].cast("long").alias("n_chars"))
+                       own["lang"].cast("string").alias("lang"), own["n_chars"].try_cast("long").alias("n_chars"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -187,14 +187,14 @@ class ToxicityModel:
         places = [(i, found) for i, word in enumerate(words) if (found := match(word))]
         if not places:
             return []
-        spans = [m.start() for m in WORD.finditer(lowered)]
+        spans = [m.start() for m in WORD.finditer(lowered)] + [len(lowered)]
         marks = [m.start() for m in QUOTES.finditer(lowered)]
         return [(i, term, edits, self._quoted(i, words, spans, marks)) for i, (term, edits) in places]
 
     @staticmethod
     def _quoted(at: int, words: list[str], spans: list[int], marks: list[int]) -> bool:
         """Quotation marks on both sides within the window, or a reporting word before the place."""
-        low, high = spans[max(0, at - WINDOW)], spans[min(len(words) - 1, at + WINDOW)]
+        low, high = spans[at - WINDOW] if at >= WINDOW else 0, spans[min(len(words), at + WINDOW)]
         before = np.searchsorted(marks, spans[at]) - np.searchsorted(marks, low)
         after = np.searchsorted(marks, high, "right") - np.searchsorted(marks, spans[at])
         return bool(before and after) or any(w in REPORTING for w in words[max(0, at - WINDOW):at])

@@ -1,0 +1,130 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+from llm_helpers import documents, workers_find_the_package, SMALL  # noqa: F401
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from millrace.llm.bpe import ChunkEncoder, chunks, encoded, round_trip_digests
+from millrace.llm.packing import complement_plan, packed, packing_plan
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+EDGES = [None, "", " ", "á éx ́", "<|endoftext|> hi<|startoftext|>x < |endoftext|>", "İSTANBUL Σίσυφος ΣΑΣ",
+         "don't it's !'s 's'd we'll're", "日本語のテキスト 漢字", "x" * 3000, "ª º µ ß ÿ Ÿ À×÷", "1234 ½ ²", "\x1c\x1d a\x85b  c",
+         "\x00\x01 a\x7f", "😀👍🏽 a😀b", "a​b", "naïve—“quotes”", "\r\n\t\v\f x", "ａｂｃ Ⅷ ٣", "Word, word " * 20000]
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(PATH)
+
+
+def wanted_ids(tokenizer, text):
+    return tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def test_ids_and_texts_are_the_tokenizers(spark, tokenizer):
+    texts = EDGES + [row["text"] for row in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    coder = ChunkEncoder(PATH, cached_words=500, cached_bytes=1 << 14)
+    for text in texts:
+        ids = wanted_ids(tokenizer, text)
+        assert coder.ids(text) == ids
+        assert coder.decode(ids).decode() == tokenizer.decode(ids, skip_special_tokens=False)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json"])
+def test_a_tokenizer_that_keeps_white_space_is_refused(name):
+    with pytest.raises(ValueError):
+        ChunkEncoder(public_tokenizers.path(name))
+
+
+def test_equal_passages_give_equal_chunks():
+    rnd = random.Random(2)
+    passage = " ".join(f"w{rnd.randrange(10**6)}" for _ in range(2000))
+    first, second = chunks(("a b c " + passage).encode()), chunks(("x\n" + passage + " y").encode())
+    assert len(set(first) & set(second)) > 0.8 * len(first)
+    assert b"".join(first) == ("a b c " + passage).encode()
+
+
+def test_digests_and_ids(documents, tokenizer):
+    table = list(enumerate(EDGES)) + [(None, "a b"), (3, "again")]
+    digests = {(row["doc_id"], row["ids_sha256"]): row for row in round_trip_digests(documents(table), PATH).collect()}
+    for key, text in table:
+        ids = wanted_ids(tokenizer, text)
+        row = digests[key, hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()]
+        decoded = tokenizer.decode(ids, skip_special_tokens=False)
+        assert (row["n_tokens"], row["decoded_sha256"]) == (len(ids), hashlib.sha256(decoded.encode()).hexdigest())
+    rows = encoded(documents(list(enumerate(EDGES))), PATH).collect()
+    assert {row["doc_id"]: row["ids"] for row in rows} == {i: wanted_ids(tokenizer, t) for i, t in enumerate(EDGES)}
+    assert round_trip_digests(documents([]), PATH).count() == 0
+
+
+def check_packing(found: list, table: list[tuple], tokenizer, capacity: int) -> int:
+    wanted = Counter()
+    for key, text in table:
+        ids = np.array(wanted_ids(tokenizer, text) + [1], "<u4")
+        for piece, at in enumerate(range(0, len(ids), capacity)):
+            part = ids[at:at + capacity]
+            wanted[key, piece, at, len(part), zlib.crc32(part.tobytes())] += 1
+    assert wanted == Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in found)
+    places = defaultdict(list)
+    for row in found:
+        places[row["sequence_id"]].append((row["offset"], row["length"]))
+    for members in places.values():
+        end = 0
+        for offset, length in sorted(members):
+            assert offset == end
+            end += length
+        assert end <= capacity
+    return len(places)
+
+
+@pytest.mark.parametrize("capacity", [7, 64, 4096])
+def test_pieces_are_whole_and_sequences_gapless(documents, tokenizer, capacity):
+    table = list(enumerate(EDGES[:-1])) + [(None, "a b"), (3, "again"), (3, "again")] + [(50 + i, None) for i in range(40)] \
+        + [(200 + i, "one two three") for i in range(30)]
+    found = packed(documents(table), PATH, capacity=capacity).collect()
+    used = check_packing(found, table, tokenizer, capacity)
+    tokens = sum(len(wanted_ids(tokenizer, text)) + 1 for _, text in table)
+    assert used <= -(-tokens // capacity) * 1.1 + 1
+
+
+def test_an_empty_table(documents):
+    assert packed(documents([]), PATH).count() == 0
+
+
+def test_plans_use_every_piece_once_and_no_first_fit_beats_them():
+    rnd = random.Random(3)
+    for _ in range(300):
+        capacity = rnd.choice([8, 20, 64])
+        counts = {n: rnd.randint(1, 30) for n in rnd.sample(range(1, capacity + 1), rnd.randint(1, capacity // 2))}
+        plan = packing_plan(counts, capacity)
+        used = Counter()
+        for pattern, times in plan:
+            assert sum(pattern) <= capacity and times > 0
+            for length in pattern:
+                used[length] += times
+        assert used == Counter(counts)
+        bins: list[int] = []
+        for length in sorted((n for n, k in counts.items() for _ in range(k)), reverse=True):
+            place = next((i for i, room in enumerate(bins) if room >= length), None)
+            if place is None:
+                bins.append(capacity - length)
+            else:
+                bins[place] -= length
+        assert sum(times for _, times in plan) <= len(bins) * 1.03 + 1
+
+
+def test_exact_complements_of_one_two_and_three():
+    counts = {8: 2, 2: 2, 7: 1, 1: 4, 6: 1}
+    plan = complement_plan({9: 1, 1: 1, 7: 1, 2: 1, 6: 2, 5: 1, 3: 1}, 12, 3)
+    assert sorted(plan) == [((2, 1), 1), ((6, 6), 1), ((7, 5), 1), ((9, 3), 1)]
+    assert complement_plan({8: 1, 3: 1, 1: 1}, 12, 2)[0] == ((8, 3, 1), 1)
+    assert complement_plan({6: 1, 3: 1, 2: 1, 1: 1}, 12, 3) == [((6, 3, 2, 1), 1)]
+    assert sum(times for _, times in packing_plan(counts, 10)) == 4

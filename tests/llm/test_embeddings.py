@@ -1,0 +1,82 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from llm_helpers import collected, workers_find_the_package  # noqa: F401
+from millrace.llm.covertree import RADII, build, distances
+from millrace.llm.embeddings import near_duplicate_vectors
+
+
+def plain(table: list[tuple], least: float = 0.95) -> list[tuple]:
+    units = {}
+    for key, vector in table:
+        values = np.array([np.nan if v is None else v for v in vector or [0.0]], float)
+        norm = np.linalg.norm(values) if np.isfinite(values).all() else 0
+        units[key] = values / norm if norm else None
+    keys = sorted(units)
+    links = {a: [b for b in keys if b != a and units[a] is not None and units[b] is not None
+                 and float(units[a] @ units[b]) >= least] for a in keys}
+    root = {}
+    for key in keys:
+        todo, seen = [key], {key}
+        while todo:
+            for other in links[todo.pop()]:
+                if other not in seen:
+                    seen.add(other)
+                    todo.append(other)
+        root[key] = min(seen)
+    return sorted(((k, len(links[k]), root[k], root[k] == k) for k in keys), key=repr)
+
+
+def vectors(seed: int) -> list[tuple]:
+    rng = np.random.default_rng(seed)
+    loose = rng.normal(size=(120, 6))
+    groups = np.repeat(rng.normal(size=(8, 6)), 30, axis=0) + rng.normal(size=(240, 6)) * 0.2
+    hot = np.ones((150, 6)) + rng.normal(size=(150, 6)) * 0.1
+    every = np.concatenate([loose, groups, hot])
+    return [(int(i), [float(v) for v in x]) for i, x in enumerate(every)]
+
+
+@pytest.mark.parametrize("tile", [40, 200, 8192])
+def test_links_and_components_like_a_plain_version(spark, tile):
+    table = vectors(1)
+    df = spark.createDataFrame(table, "vec_id long, embedding array<float>").repartition(3)
+    exact = [(row["vec_id"], row["embedding"]) for row in df.collect()]
+    assert collected(near_duplicate_vectors(df, tile=tile)) == plain(exact)
+
+
+def test_vectors_that_cannot_link(spark):
+    table = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [None, 1.0]), (6, [float("nan"), 1.0]),
+             (7, [float("inf"), 1.0]), (8, []), (9, [1e-300, 0.0]), (10, [1e300, 1e299])]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<double>").selectExpr("*", "'x' AS id", "1 AS cell")
+    assert collected(near_duplicate_vectors(df)) == sorted(
+        [(1, 3, 1, True), (2, 3, 1, False), (9, 3, 1, False), (10, 3, 1, False)]
+        + [(k, 0, k, True) for k in (3, 4, 5, 6, 7, 8)], key=repr)
+
+
+def test_rows_repeated_under_one_id_are_one_vector(spark):
+    table = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.0, 2.0]), (None, [0.0, 1.0])]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<double>")
+    assert collected(near_duplicate_vectors(df)) == [(1, 1, 1, True), (2, 1, 1, False), (None, 0, None, True)]
+
+
+def test_an_empty_table(spark):
+    assert near_duplicate_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_the_tree_covers_separates_and_nests():
+    points = np.array([v for _, v in vectors(2)])
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    tree, order = build(points)
+    assert (points[order] == tree.points).all() and sorted(order.tolist()) == list(range(len(points)))
+    above = np.array([0])
+    for level, radius in enumerate(RADII):
+        starts = tree.starts[level]
+        assert np.isin(above, starts).all()
+        assert (tree.radii(level) <= radius + 1e-9).all()
+        for low, high in zip(above, np.append(above[1:], len(points))):
+            centres = tree.points[starts[(starts >= low) & (starts < high)]]
+            apart = distances(centres, centres)
+            assert (apart[np.triu_indices(len(centres), 1)] > radius - 1e-9).all()
+        above = starts

@@ -1,0 +1,60 @@
+from __future__ import annotations
+
+import sys
+from collections import Counter
+from pathlib import Path
+
+import public_tokenizers
+from llm_helpers import collected, workers_find_the_package, SMALL  # noqa: F401
+from pyspark.sql import functions as F
+from test_bpe_and_packing import check_packing
+from test_exact_dedup import plain as plain_exact
+from test_simhash import plain_components
+from test_substrings import plain as plain_cut
+from tokenizers import Tokenizer
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+
+import corpus_pipeline  # noqa: E402
+from __spark_entry__ import oracle_sql, queries  # noqa: E402
+
+
+
+def test_stages_like_a_plain_version(spark):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    docs = [(key, text) for key, text in docs if text and any(map(str.isalpha, text))]
+    stay = {row[0] for row in plain_exact(docs) if row[3]}
+    docs = [row for row in docs if row[0] in stay]
+    stay = {row[2] for row in plain_components(docs)}
+    docs = [row for row in docs if row[0] in stay]
+    cut = {row[0]: row for row in plain_cut(docs, 35)}
+    docs = [(key, cut[key][3] if cut[key][2] else text) for key, text in docs]
+    found = corpus_pipeline.run(spark, SMALL).collect()
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    check_packing(found, docs, tokenizer, 4096)
+
+
+def test_stages_keep_columns_and_take_clashing_ones(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").withColumns({"id": F.lit(1), "kept": F.lit("x")})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, SMALL)
+        assert after.columns == docs.columns and after.count() <= docs.count()
+    empty = docs.where("false")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SMALL).count() == 0
+
+
+def test_every_query_covers_its_table(spark):
+    named = queries()
+    counts = {name: spark.read.parquet(f"{SMALL}/{name}.parquet").count() for name in ("documents", "embeddings")}
+    for name, query in named.items():
+        if name.startswith("op") and not name.startswith("op7"):
+            table = "embeddings" if name.startswith("op5") else "documents"
+            assert query(spark, SMALL).count() == counts[table], name
+    assert Counter(name.split("_")[0] for name in named if name.startswith("op")) == Counter(f"op{n}" for n in range(1, 11))
+
+
+def test_sql_gives_the_same_groups(spark):
+    from tests.oracle_check import connect, sql_rows
+    names, want = sql_rows(connect(SMALL), oracle_sql()["op6_exact_dedup"])
+    assert collected(queries()["op6_exact_dedup"](spark, SMALL).select(names)) == want

@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from llm_helpers import collected, documents, workers_find_the_package  # noqa: F401
+from millrace.llm.recompression import anchored_windows, word_fingerprints
+from millrace.llm.substrings import repeats_removed, without_repeats
+
+
+def plain(table: list[tuple], window: int) -> list[tuple]:
+    split = [(text or "").encode().split() for _, text in table]
+    count = Counter(tuple(w[i:i + window]) for w in split for i in range(len(w) - window + 1))
+    found = []
+    for (key, _), words in zip(table, split):
+        gone = {j for i in range(len(words) - window + 1) if count[tuple(words[i:i + window])] > 1
+                for j in range(i, i + window)}
+        kept = b" ".join(w for i, w in enumerate(words) if i not in gone).decode()
+        found.append((key, len(words), len(gone), kept))
+    return sorted(found, key=repr)
+
+
+def made(window: int, alphabet: int, seed: int) -> list[tuple]:
+    rnd = random.Random(seed)
+    sizes = [0, 3, window - 1, window, window + 1, 3 * window, 300]
+    bases = [[f"w{rnd.randrange(alphabet)}" for _ in range(rnd.choice(sizes))] for _ in range(20)]
+    table = []
+    for i in range(50):
+        words, other = list(rnd.choice(bases)), rnd.choice(bases)
+        if other and rnd.random() < 0.6:
+            start = rnd.randrange(len(other))
+            at = rnd.randrange(len(words) + 1)
+            words[at:at] = other[start:start + rnd.randrange(1, 4 * window)]
+        text = rnd.choice(["  ", " ", "\n"]).join(words)
+        table.append((rnd.choice([i, i, i, None, 3]), text if rnd.random() < 0.95 else None))
+    return table
+
+
+@pytest.mark.parametrize("window,alphabet,seed", [(35, 3, 1), (8, 2, 2), (35, 50, 3), (35, 1, 4)])
+def test_removed_words_like_a_plain_version(documents, window, alphabet, seed):
+    table = made(window, alphabet, seed)
+    assert collected(repeats_removed(documents(table), window=window)) == plain(table, window)
+
+
+def test_a_repeat_within_a_very_long_text(documents):
+    rnd = random.Random(7)
+    words = [f"v{rnd.randrange(10**6)}" for _ in range(60000)]
+    words[50000:50000] = words[100:160]
+    table = [(1, " ".join(words)), (2, "é " + " ".join(words[100:134]))]
+    assert [row[:3] for row in collected(repeats_removed(documents(table)))] == [(1, 60060, 120), (2, 35, 0)]
+
+
+def test_every_window_hangs_on_one_anchor_that_its_words_decide():
+    rnd = random.Random(5)
+    for alphabet in (1, 2, 30):
+        text = " ".join(f"w{rnd.randrange(alphabet)}" for _ in range(400))
+        words = np.concatenate([word_fingerprints(t.encode()) for t in (text, "x y " + text, text[40:-30])])
+        apart = np.zeros(len(words), bool)
+        apart[[0, 400, 802]] = True
+        found = anchored_windows(words, apart, 35)
+        key = {}
+        for k, first, count in zip(found.keys.tolist(), found.first.tolist(), found.count.tolist()):
+            for window in range(first, first + count):
+                assert key.setdefault(words[window:window + 35].tobytes(), k) == k
+        ends = [400, 802, len(words)]
+        assert found.count.sum() == sum(end - start - 34 for start, end in zip([0, 400, 802], ends))
+
+
+def test_rows_keep_their_columns_and_unchanged_texts(documents):
+    passage = " ".join(f"p{i}" for i in range(40))
+    docs = documents([(1, f"a\n\nb {passage} c"), (2, passage), (3, "d\n e"), (4, None)])
+    cut = without_repeats(docs)
+    assert cut.columns == docs.columns
+    assert {row["doc_id"]: row["text"] for row in cut.collect()} == {1: "a b c", 2: "", 3: "d\n e", 4: None}
+
+
+def test_an_empty_table(documents):
+    assert repeats_removed(documents([])).count() == 0
