@@ -96,7 +96,8 @@ def repeated_stretches(docs: DataFrame, id_col: str, text_col: str, window: int)
     """
     rows = docs.select(*keyed(docs, id_col, text_col))
     every = stored(anchors(rows, window), "anchors")
-    shared = every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    # Written, so that the join shuffles both sides by itself and may split a hot key's rows.
+    shared = stored(every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared-keys")
     suspects = stored(every.join(shared, "key"), "shared-anchors")
 
     contents = stored(suspects.groupBy("key", "content").agg(
@@ -104,12 +105,13 @@ def repeated_stretches(docs: DataFrame, id_col: str, text_col: str, window: int)
     twice = contents.where("times > 1").select("key", "content")
     whole = suspects.join(twice, ["key", "content"], "left_semi").select("id", "mark", "first", "count")
 
-    unsettled = contents.where("times = 1").select("key").distinct()
+    unsettled = stored(contents.where("times = 1").select("key").distinct(), "unsettled-keys")
     wanted = contents.join(unsettled, "key", "left_semi") \
         .select("one.id", "one.mark", F.struct("key", "one.first", "one.count", "times").alias("stretch")) \
         .groupBy("id", "mark").agg(F.collect_list("stretch").alias("wanted"))
     windows = stored(single_windows(rows.join(wanted, ["id", "mark"]), window), "windows")
-    common = windows.groupBy("key", "print").agg(F.sum("times").alias("times")).where("times > 1").select("key", "print")
+    common = stored(windows.groupBy("key", "print").agg(F.sum("times").alias("times")).where("times > 1")
+                    .select("key", "print"), "repeated-windows")
     parts = windows.where("times = 1").join(common, ["key", "print"], "left_semi") \
         .select("id", "mark", "first", F.lit(1).alias("count"))
 
