@@ -13,8 +13,9 @@ MAX_ROUNDS = 64
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable from each node of ``edges`` (a, b: long).
 
-    Alternates the large-star and small-star steps, each a partial aggregate and a join,
-    until the edges no longer change; every component is then a star around its smallest
+    Alternates the large-star and small-star steps, each a partial aggregate and a join
+    (whose small side is written first, so that the join may split the rows of a node with
+    very many edges), until the edges no longer change; every component is then a star around its smallest
     node. Nodes without an edge to another one, and edges with a null end, do not appear.
     The rounds grow with the logarithm of the longest path; running out of them is an
     error, never a partial result. The driver sees two numbers a round.
@@ -39,12 +40,12 @@ def _fingerprint(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the smallest node around it."""
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
     return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every smaller neighbour of a node, and the node, are tied to the smallest of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = stored(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
     others = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return others.unionByName(least.select("a", F.col("m").alias("b"))).distinct()

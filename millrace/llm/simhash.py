@@ -78,8 +78,9 @@ def close_links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCK
     masks = [mask - (1 << 64) if mask >> 63 else mask for mask in block_masks(blocks, max_bits)]
     unions = F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(mask))) for i, mask in enumerate(masks)])
     keyed = prints.select("fp", F.explode(unions).alias("union"))
-    shared = keyed.groupBy("union").agg(F.count("*").alias("n")).where("n > 1") \
-        .select("union", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
+    # Written, so that the join shuffles both sides by itself and may split a hot union's rows.
+    shared = stored(keyed.groupBy("union").agg(F.count("*").alias("n")).where("n > 1")
+                    .select("union", F.ceil(F.col("n") / tile).cast("int").alias("tiles")), "shared-unions")
     own = F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1),
                         lambda t: F.struct(F.least(t, F.col("own")).alias("x"), F.greatest(t, F.col("own")).alias("y")))
