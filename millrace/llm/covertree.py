@@ -12,7 +12,9 @@ from dataclasses import dataclass
 
 import numpy as np
 
-RADII = (1.0, 0.5, 0.25)
+RADII = (0.5, 0.25)
+TIGHT = 0.1
+ROUNDING = 1e-9
 NET_BLOCK = 512
 MATRIX_ROWS = 1024
 FEW = 4096
@@ -24,6 +26,11 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (a @ b.T)))
 
 
+def cosine_at(distance: np.ndarray) -> np.ndarray:
+    """The cosine of unit vectors so far apart; below -1 where no two are."""
+    return 1.0 - distance * distance / 2.0
+
+
 def net(points: np.ndarray, radius: float) -> np.ndarray:
     """For each point the number of its centre: the first row, then every row farther than the radius from all centres."""
     centre = np.full(len(points), -1, np.int64)
@@ -32,17 +39,17 @@ def net(points: np.ndarray, radius: float) -> np.ndarray:
         block = points[start:start + NET_BLOCK]
         mine = np.full(len(block), -1, np.int64)
         if chosen:
-            apart = distances(block, points[chosen])
-            nearest = apart.argmin(axis=1)
-            near = apart[np.arange(len(block)), nearest] <= radius
+            cosine = block @ points[chosen].T
+            nearest = cosine.argmax(axis=1)
+            near = cosine[np.arange(len(block)), nearest] >= cosine_at(radius)
             mine[near] = np.array(chosen)[nearest[near]]
         open_rows = np.flatnonzero(mine < 0)
         if len(open_rows):
-            apart = distances(block[open_rows], block[open_rows])
+            close = block[open_rows] @ block[open_rows].T >= cosine_at(radius)
             for i, row in enumerate(open_rows.tolist()):
                 if mine[row] < 0:
                     chosen.append(start + row)
-                    reached = open_rows[(apart[i] <= radius) & (mine[open_rows] < 0)]
+                    reached = open_rows[close[i] & (mine[open_rows] < 0)]
                     mine[reached] = start + row
                     mine[row] = start + row
         centre[start:start + len(block)] = mine
@@ -152,13 +159,20 @@ def dual_traversal(a: Tree, b: Tree, links: Links, reach: float) -> None:
         n_a, n_b = below[1] - below[0], below[3] - below[2]
         large = n_a[pairs_a] * n_b[pairs_b] > FEW
         for x, y in zip(pairs_a[large].tolist(), pairs_b[large].tolist()):
-            children_b = np.arange(below[2][y], below[3][y])
-            centres_b = b.points[b.starts[level][children_b]]
-            for low in range(below[0][x], below[1][x], MATRIX_ROWS):
-                children_a = np.arange(low, min(low + MATRIX_ROWS, below[1][x]))
-                apart = distances(a.points[a.starts[level][children_a]], centres_b)
-                i, j = np.nonzero(apart <= radius_a[children_a][:, None] + radius_b[children_b][None, :] + reach)
-                kept.append((children_a[i], children_b[j]))
+            members = np.arange(below[2][y], below[3][y])
+            for children_b in (members[radius_b[members] <= TIGHT], members[radius_b[members] > TIGHT]):
+                if not len(children_b):
+                    continue
+                centres_b = b.points[b.starts[level][children_b]].T
+                for low in range(below[0][x], below[1][x], MATRIX_ROWS):
+                    children_a = np.arange(low, min(low + MATRIX_ROWS, below[1][x]))
+                    cosine = a.points[a.starts[level][children_a]] @ centres_b
+                    # First by the largest radius of these nodes, then by each one's own.
+                    most = radius_a[children_a] + radius_b[children_b].max() + reach
+                    i, j = np.nonzero(cosine >= cosine_at(most)[:, None] - ROUNDING)
+                    own = radius_a[children_a[i]] + radius_b[children_b[j]] + reach
+                    near = cosine[i, j] >= cosine_at(own) - ROUNDING
+                    kept.append((children_a[i[near]], children_b[j[near]]))
         for i, j in expanded(pairs_a[~large], pairs_b[~large], below[0], n_a, below[2], n_b):
             cosine = np.einsum("ij,ij->i", a.points[a.starts[level][i]], b.points[b.starts[level][j]])
             apart = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * cosine))
