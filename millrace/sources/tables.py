@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.streaming.changelog import last_per_key
+from millrace.streaming.changelog import all_batches, batch_numbers, drop_folder, last_per_key
 
 CASSANDRA = "org.apache.spark.sql.cassandra"
 
@@ -38,18 +37,35 @@ class CassandraTable:
             .mode("append").save()
 
 
+# Sub-folder of the changes that holds merged bases; Spark's readers pass over such names.
+BASES = "_bases"
+UPTO = "upto="
+
+
 @dataclass(frozen=True)
 class FileTable:
     """Rows of ``base`` overridden per key by the newest of ``changes``.
 
     ``changes`` has one folder per micro-batch of the one query that writes here; a
-    repeated batch replaces its folder, so replays do not double.
+    repeated batch replaces its folder, so replays do not double. Every ``merge_every``
+    batches the changes of finished batches are merged with the base into a new base, which
+    names the last batch it holds; later reads take that base and the batches behind it.
     """
 
     base: str
     changes: str
     key: str
     schema: T.StructType
+    merge_every: int = 100
+
+    def _merged(self, spark: SparkSession) -> int:
+        """The last batch that a merged base holds; -1 if there is none."""
+        done = batch_numbers(spark, f"{self.changes}/{BASES}", UPTO)
+        whole = [number for number in done if _finished(spark, self._base(number))]
+        return whole[-1] if whole else -1
+
+    def _base(self, upto: int) -> str:
+        return self.base if upto < 0 else f"{self.changes}/{BASES}/{UPTO}{upto}"
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The base rows as they are now. Build it anew per micro-batch to see appended rows."""
@@ -59,20 +75,45 @@ class FileTable:
         """Write one row per key; ``rows`` must hold each key once."""
         rows.select(self.schema.fieldNames()).write.mode("overwrite") \
             .parquet(f"{self.changes}/batch_id={batch_id}")
+        if batch_id and batch_id % self.merge_every == 0:
+            self.merge(rows.sparkSession, batch_id - 1)
+
+    def merge(self, spark: SparkSession, upto: int) -> None:
+        """Write a base with all batches up to ``upto``, which must be finished, and drop what it replaces.
+
+        Rows that were appended to the first base since are taken in as well.
+        """
+        merged = self._merged(spark)
+        if upto <= merged:
+            return
+        self._state(spark, merged, upto).write.mode("overwrite").parquet(self._base(upto))
+        for number in batch_numbers(spark, self.changes):
+            if number <= merged:
+                drop_folder(spark, f"{self.changes}/batch_id={number}")
+        for number in batch_numbers(spark, f"{self.changes}/{BASES}", UPTO):
+            if number < merged:
+                drop_folder(spark, self._base(number))
 
     def current(self, spark: SparkSession) -> DataFrame:
         """Base and changes merged: later batches win."""
-        base = self.read(spark)
-        versioned = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
-        try:
-            changes = spark.read.schema(versioned).parquet(self.changes)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return base
+        return self._state(spark, self._merged(spark), None)
+
+    def _state(self, spark: SparkSession, merged: int, upto: int | None) -> DataFrame:
+        base = spark.read.schema(self.schema).parquet(self._base(merged))
+        if merged >= 0:
+            later = self.read(spark).join(base.select(self.key), self.key, "left_anti")
+            base = base.unionByName(later.select(base.columns))
+        changes = all_batches(spark, self.changes, self.schema).where(F.col("batch_id") > merged)
+        if upto is not None:
+            changes = changes.where(F.col("batch_id") <= upto)
         # Reducing the changes alone spares the base, the larger part, an aggregation.
         newest = last_per_key(changes, [self.key]).withColumn("changed", F.lit(True))
-        merged = base.alias("base").join(newest.alias("newest"), self.key, "full")
-        return merged.select(self.key, *[
+        merged_rows = base.alias("base").join(newest.alias("newest"), self.key, "full")
+        return merged_rows.select(self.key, *[
             F.when(F.col("changed"), F.col(f"newest.{name}")).otherwise(F.col(f"base.{name}")).alias(name)
             for name in self.schema.fieldNames() if name != self.key])
+
+
+def _finished(spark: SparkSession, path: str) -> bool:
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)

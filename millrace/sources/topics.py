@@ -2,21 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from millrace.schemas import STORED_MESSAGE, TOPIC
-from millrace.streaming.changelog import batch_writer
+
+# Local property in which Spark hands a query's id to its micro-batches; restarts keep the id.
+QUERY_ID = "sql.streaming.queryId"
 
 
 @dataclass(frozen=True)
 class Topics:
-    """Where topics live. Dataflows see the same columns for both kinds."""
+    """Where topics live. Dataflows see the same columns for both kinds.
+
+    A topic's folder has a sub-folder per writer and in it one per batch, so writers never
+    meet. A stream writes as its query's id: a micro-batch that is repeated replaces its
+    folder, while a stream on a new checkpoint is a new writer.
+    """
 
     folder: str | None = None
     brokers: str | None = None
@@ -45,7 +53,7 @@ class Topics:
                 .load()
         if starting != "earliest":
             raise ValueError("a topic folder is read from its first file")
-        reader = spark.readStream.schema(STORED_MESSAGE)
+        reader = spark.readStream.schema(STORED_MESSAGE).option("recursiveFileLookup", "true")
         if files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", files_per_trigger)
         return _as_topic(reader.parquet(self.path(name)), name, positions)
@@ -58,43 +66,59 @@ class Topics:
                 .option("subscribe", name) \
                 .load()
         try:
-            files = spark.read.schema(STORED_MESSAGE).parquet(self.path(name))
+            files = spark.read.schema(STORED_MESSAGE).option("recursiveFileLookup", "true").parquet(self.path(name))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return spark.createDataFrame([], TOPIC)
         return _as_topic(files, name, positions)
 
-    def publish(self, messages: DataFrame, name: str, records_per_file: int = 0) -> None:
-        """Append (key, value) rows to a topic as one batch write."""
+    def publish(self, messages: DataFrame, name: str, records_per_file: int = 0,
+                writer: Column | None = None) -> None:
+        """Append (key, value) rows to a topic as one batch write.
+
+        In a folder they may be dealt to named writers, whose parts ``part`` reads.
+        """
         if self.brokers:
             messages.select("key", "value").write.format("kafka").options(**self.options) \
                 .option("kafka.bootstrap.servers", self.brokers) \
                 .option("topic", name) \
                 .save()
             return
-        _stored(messages).write.mode("append") \
+        if writer is None:
+            writer = F.lit(uuid.uuid4().hex)
+        _stored(messages, writer.alias("writer"), F.lit(0).alias("batch_id")).write.mode("append") \
             .option("maxRecordsPerFile", records_per_file) \
-            .parquet(self.path(name))
+            .partitionBy("writer", "batch_id").parquet(self.path(name))
 
-    def sink(self, messages: DataFrame, name: str, mode: str = "append") -> DataStreamWriter:
-        """Stream of (key, value) rows into a topic, to be started in the given output mode.
+    def part(self, spark: SparkSession, name: str, writer: str) -> DataFrame:
+        """(key, value) of what one named writer published."""
+        return spark.read.schema(STORED_MESSAGE).option("recursiveFileLookup", "true") \
+            .parquet(f"{self.path(name)}/writer={writer}").select("key", "value")
 
-        A folder takes other modes than append as one sub-folder per micro-batch, replaced
-        if the batch is repeated.
-        """
+    def sink(self, messages: DataFrame, name: str, mode: str = "append") -> DataStreamWriter:
+        """Stream of (key, value) rows into a topic, to be started in the given output mode."""
         if self.brokers:
             return messages.select("key", "value").writeStream.format("kafka").options(**self.options) \
                 .option("kafka.bootstrap.servers", self.brokers) \
                 .option("topic", name)
-        if mode != "append":
-            return _stored(messages).writeStream.foreachBatch(batch_writer(self.path(name)))
-        return _stored(messages).writeStream.format("parquet") \
-            .option("path", self.path(name))
+        return _stored(messages).writeStream.foreachBatch(_topic_writer(self.path(name)))
+
+
+def _topic_writer(path: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` callback that writes as the running query."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
+        if not query:
+            raise RuntimeError("a micro-batch without a query id")
+        batch.write.mode("overwrite").parquet(f"{path}/writer={query}/batch_id={batch_id}")
+
+    return write
 
 
-def _stored(messages: DataFrame) -> DataFrame:
-    return messages.select(F.col("key").cast("binary").alias("key"),
+def _stored(messages: DataFrame, *extra: Column) -> DataFrame:
+    return messages.select(*extra, F.col("key").cast("binary").alias("key"),
                            F.col("value").cast("binary").alias("value"),
                            F.current_timestamp().alias("timestamp"))
 

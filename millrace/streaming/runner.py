@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from millrace.streaming.changelog import batch_writer
+from millrace.streaming.changelog import batch_writer, snapshot_writer
 
 OUTPUT_MODES = ("append", "update", "complete")
 
@@ -54,5 +54,10 @@ def changelog_sink(rows: DataFrame, path: str) -> DataStreamWriter:
     return rows.writeStream.foreachBatch(batch_writer(path))
 
 
+def snapshot_sink(rows: DataFrame, path: str) -> DataStreamWriter:
+    """The newest results of the complete mode, a folder each."""
+    return rows.writeStream.foreachBatch(snapshot_writer(path))
+
+
 def console_sink(rows: DataFrame, show: int = 20, truncate: bool = True) -> DataStreamWriter:
     return rows.writeStream.format("console").option("numRows", show).option("truncate", truncate)

@@ -7,14 +7,16 @@ from unittest.mock import MagicMock
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import publish, rows
 from millrace import session
 from millrace.plans import apps
 from millrace.schemas import TOPIC, TOPIC_HEADER, flat_schema
 from millrace.sources.topics import Topics
-from millrace.streaming.changelog import all_batches, batch_writer, last_per_key
-from millrace.streaming.runner import changelog_sink, console_sink, drain, parquet_sink, start
+from millrace.streaming.changelog import all_batches, batch_writer, last_batch, last_per_key
+from millrace.streaming.runner import (changelog_sink, console_sink, drain, parquet_sink, snapshot_sink,
+                                       start)
 from test_invoices import invoice, item
 
 
@@ -163,6 +165,72 @@ def test_engine_session_is_apart_from_the_callers(spark):
     assert spark.conf.get("spark.sql.shuffle.partitions") != "77"
 
 
+def test_state_partitions_are_the_configured_ones():
+    conf = {"spark.sql.shuffle.partitions": "200"}
+    two_cores, inner = MagicMock(), MagicMock()
+    two_cores.sparkContext.defaultParallelism = 2
+    two_cores.conf.getAll = {}
+    two_cores.newSession.return_value = inner
+    inner.conf.get.side_effect = lambda key, default=None: conf.get(key, default)
+    inner.conf.set.side_effect = conf.__setitem__
+    session.engine_session(two_cores)
+    assert conf["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_large_batch_shuffles_have_no_cap():
+    conf = {"spark.sql.shuffle.partitions": "200"}
+    spark, inner = MagicMock(), MagicMock()
+    spark.conf.getAll = {}
+    spark.newSession.return_value = inner
+    inner.conf.get.side_effect = lambda key, default=None: conf.get(key, default)
+    inner.conf.set.side_effect = conf.__setitem__
+    session.engine_session(spark, input_bytes=10**6 * session.BYTES_PER_SHUFFLE_PARTITION)
+    assert conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == str(10**6)
+
+
+@pytest.mark.parametrize("mode", ["append", "update"])
+def test_writers_of_a_topic_never_meet(spark, topics, tmp_path, mode):
+    def copy(source, checkpoint):
+        messages = topics.stream(spark, source).select("key", "value")
+        if mode == "update":
+            messages = messages.groupBy("value").count().select(F.lit("k").alias("key"), "value")
+        drain(topics.sink(messages, "out", mode=mode), str(tmp_path / checkpoint), mode=mode)
+
+    def values():
+        return sorted(int(bytes(row.value)) for row in topics.table(spark, "out").collect())
+
+    publish(spark, topics, "a", [str(n) for n in range(10)])
+    publish(spark, topics, "b", [str(n) for n in range(10, 20)])
+    copy("a", "ca")
+    copy("b", "cb")
+    publish(spark, topics, "out", [str(n) for n in range(20, 30)])
+    assert values() == list(range(30))
+    publish(spark, topics, "a", ["30"])
+    copy("a", "ca")  # a restart
+    assert values() == list(range(31))
+    copy("b", "cc")  # a new checkpoint is a new writer, which sends everything once more
+    assert values() == sorted([*range(31), *range(10, 20)])
+    drain(parquet_sink(topics.stream(spark, "out").select("value"), str(tmp_path / "all")), str(tmp_path / "cd"))
+    assert spark.read.parquet(str(tmp_path / "all")).count() == 41
+
+
+def test_superseded_snapshots_go(spark, topics, tmp_path):
+    out = str(tmp_path / "out")
+    publish(spark, topics, "t", ["a"], ["b"], ["a"], ["c"])
+    lines = topics.stream(spark, "t", files_per_trigger=1).select(F.col("value").cast("string"))
+    drain(snapshot_sink(apps.counted_words(lines), out), str(tmp_path / "c"), mode="complete")
+    assert sorted(path.name for path in (tmp_path / "out").glob("batch_id=*")) == ["batch_id=2", "batch_id=3"]
+    assert rows(last_batch(spark, out)) == [("a", 2), ("b", 1), ("c", 1)]
+
+
+def test_results_of_an_input_without_a_batch_are_empty(spark, tmp_path):
+    schema = T.StructType([T.StructField("word", T.StringType()), T.StructField("count", T.LongType())])
+    for found in (all_batches(spark, str(tmp_path / "none"), schema), last_batch(spark, str(tmp_path / "none"), schema)):
+        assert found.count() == 0 and found.columns[:2] == ["word", "count"]
+    with pytest.raises(AnalysisException):
+        all_batches(spark, str(tmp_path / "none"))
+
+
 def test_scratch_space_is_the_configured_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     path = session.scratch_dir(spark, "x")
@@ -182,8 +250,9 @@ def test_scratch_space_of_a_cluster_must_be_named():
 
 
 def test_object_store_settings_reach_hadoop(spark):
-    session.use_object_store(spark, "store:9000", "me", "secret")
+    session.use_object_store(spark, "store:9000", "org.example.Provider")
     hadoop = spark._jsc.hadoopConfiguration()
     assert hadoop.get("fs.s3a.endpoint") == "store:9000"
+    assert hadoop.get("fs.s3a.aws.credentials.provider") == "org.example.Provider"
     assert hadoop.get("fs.s3a.path.style.access") == "true"
     assert hadoop.get("fs.s3a.connection.ssl.enabled") == "false"
