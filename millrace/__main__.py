@@ -11,15 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.avro import load_schema
-from millrace.operators.skew import frozen
+from millrace.operators.skew import HOT_KEYS, frozen
 from millrace.plans import apps
 from millrace.resources import INVOICE_ITEM_SCHEMA
 from millrace.schemas import USER
 from millrace.session import app_session, engine_session, use_object_store
-from millrace.sources.files import json_directory, socket_lines, text_directory
+from millrace.sources.files import json_directory, socket_lines, source_schema, text_directory
 from millrace.sources.tables import CassandraTable, FileTable, cassandra_settings
 from millrace.sources.topics import Topics
-from millrace.streaming.runner import changelog_sink, console_sink, parquet_sink, start
+from millrace.streaming.runner import changelog_sink, console_sink, parquet_sink, snapshot_sink, start
 
 # Output mode, and time between micro-batches if none is given; "" starts the next at once.
 APPS = {
@@ -54,8 +54,12 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--users", help="last-login: Parquet user table, instead of Cassandra")
     options.add_argument("--changes", help="last-login: folder of changes to the Parquet user table")
     options.add_argument("--show", action="store_true", help="last-login: print each batch")
-    options.add_argument("--hot-keys", help="impression-clicks: folder that keeps the ids to spread, "
-                                            "found in the topics at the first start")
+    options.add_argument("--hot-keys", help="impression-clicks: Parquet list of the ids to spread at the first "
+                                            "start, instead of those found in the topics; the checkpoint keeps it")
+    options.add_argument("--source-schema", help="invoice-files: file with the input's schema, as DDL or JSON; "
+                                                 "without it all files are read once to infer it")
+    options.add_argument("--item-format", choices=("avro", "json"), default="avro",
+                         help="publish-items, rewards: how line items are written (Avro needs spark-avro)")
     options.add_argument("--schema-file", help="Avro schema of line items, instead of the package's own")
     options.add_argument("--interval", help='time between micro-batches, such as "1 minute"')
     options.add_argument("--until-caught-up", action="store_true", help="end when the input is done")
@@ -65,8 +69,7 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--packages", help="connector packages to load")
     options.add_argument("--shuffle-partitions", type=int)
     options.add_argument("--s3-endpoint")
-    options.add_argument("--s3-access-key")
-    options.add_argument("--s3-secret-key")
+    options.add_argument("--s3-credentials-provider", help="class that knows the store's credentials")
     options.add_argument("--cassandra-host")
     options.add_argument("--cassandra-port", type=int, default=9042)
     return options
@@ -80,7 +83,9 @@ def launch(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
         further = dict(option.split("=", 1) for option in args.kafka_option)
         return Topics(folder=args.topic_folder, brokers=args.brokers, options=further)
 
-    def item_schema() -> str:
+    def item_schema() -> str | None:
+        if args.item_format == "json":
+            return None
         return load_schema(args.schema_file) if args.schema_file else INVOICE_ITEM_SCHEMA
 
     def read(name: str, positions: bool = False) -> DataFrame:
@@ -91,10 +96,12 @@ def launch(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
             rows.printSchema()
         if not args.target:
             return console_sink(rows)
-        return parquet_sink(rows, args.target) if mode == "append" else changelog_sink(rows, args.target)
+        sink = {"append": parquet_sink, "update": changelog_sink, "complete": snapshot_sink}[mode]
+        return sink(rows, args.target)
 
     if args.app == "invoice-files":
-        raw = json_directory(spark, args.source, args.files_per_trigger or 1)
+        schema = source_schema(args.source_schema) if args.source_schema else None
+        raw = json_directory(spark, args.source, args.files_per_trigger or 1, schema)
         if args.print_schema:
             raw.printSchema()
         writer = apps.flatten_files(raw, args.target)
@@ -111,10 +118,9 @@ def launch(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
             FileTable(args.users, args.changes, "login_id", USER)
         writer = apps.record_logins(read(apps.LOGINS), users, args.show)
     elif args.app == "impression-clicks":
-        hot = None
-        if args.hot_keys:
-            hot = frozen(spark, args.hot_keys, lambda: apps.hot_inventory(
-                topics().table(spark, apps.IMPRESSIONS), topics().table(spark, apps.CLICKS)))
+        given = spark.read.schema(HOT_KEYS).parquet(args.hot_keys) if args.hot_keys else None
+        hot = frozen(spark, f"{args.checkpoint}/hot-keys", lambda: apps.hot_inventory(
+            topics().table(spark, apps.IMPRESSIONS), topics().table(spark, apps.CLICKS)), given)
         writer = result(apps.matched_clicks(read(apps.IMPRESSIONS, True), read(apps.CLICKS, True), hot))
     elif args.app == "word-count":
         lines = socket_lines(spark, args.host, args.port) if args.host else \
@@ -136,7 +142,7 @@ def main(arguments: list[str] | None = None) -> None:
     spark = app_session(f"millrace {args.app}", args.shuffle_partitions, args.master, args.packages,
                         **settings)
     if args.s3_endpoint:
-        use_object_store(spark, args.s3_endpoint, args.s3_access_key, args.s3_secret_key)
+        use_object_store(spark, args.s3_endpoint, args.s3_credentials_provider)
     launch(engine_session(spark), args).awaitTermination()
 
 

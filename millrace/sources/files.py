@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -30,6 +32,13 @@ def json_directory(spark: SparkSession, path: str, files_per_trigger: int | None
             spark.conf.set(setting, before)
 
 
+def source_schema(path: str) -> T.StructType:
+    """Schema from a file on the driver: a column list as in DDL, or a schema's JSON."""
+    with open(path, encoding="utf-8") as file:
+        text = file.read().strip()
+    return T.StructType.fromJson(json.loads(text)) if text.startswith("{") else T.StructType.fromDDL(text)
+
+
 def text_directory(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
     """Stream of the lines in a directory of text files, column ``value``."""
     reader = spark.readStream.option("lineSep", "\n")

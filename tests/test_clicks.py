@@ -9,21 +9,18 @@ from pyspark.sql import functions as F
 
 from conftest import messages, publish, rows
 from millrace.functions.times import format_time
-from millrace.operators import skew
 from millrace.operators.clicks import clicks_from, impression_clicks, impressions_from
-from millrace.operators.skew import HOT_KEYS, frozen, hot_keys
+from millrace.operators.skew import HOT_KEYS, frozen, grid, hot_keys
 from millrace.plans import apps
 from millrace.streaming.runner import drain, parquet_sink
 
-# Sample impressions and clicks, one click twice.
 IMPRESSIONS = [
-    {"InventoryID": "100001", "CreatedTime": "2020-09-09 10:00:00", "Campaigner": "ABC Ltd"},
-    {"InventoryID": "100002", "CreatedTime": "2020-09-09 10:06:00", "Campaigner": "ABC Ltd"},
-    {"InventoryID": "100003", "CreatedTime": "2020-09-09 10:02:00", "Campaigner": "XYZ Ltd"},
-    {"InventoryID": "100004", "CreatedTime": "2020-09-09 10:09:00", "Campaigner": "XYZ Ltd"},
+    {"InventoryID": "a1", "CreatedTime": "2023-05-06 07:00:00", "Campaigner": "North"},
+    {"InventoryID": "a2", "CreatedTime": "2023-05-06 07:00:01", "Campaigner": "South"},
+    {"InventoryID": "b7", "CreatedTime": "2023-05-05 23:59:59", "Campaigner": "North"},
 ]
-CLICKS = [{"InventoryID": number, "CreatedTime": "2020-09-09 10:18:00"}
-          for number in ("100001", "100002", "100003", "100004", "100001")]
+CLICKS = [{"InventoryID": number, "CreatedTime": f"2023-05-06 08:00:{second:02}"}
+          for second, number in enumerate(["a1", "b7", "a1", "a1", "unknown", "b7"])]
 
 
 def joined(spark, topics, tmp_path, hot=None, files=1):
@@ -55,10 +52,10 @@ def test_sample_with_clicks_arriving_in_parts(spark, topics, tmp_path):
 
 def test_null_keys_and_bad_messages_never_match(spark, topics, tmp_path):
     publish(spark, topics, "impressions", [{"Campaigner": "x"}, "not json", IMPRESSIONS[0]])
-    publish(spark, topics, "clicks", [{"CreatedTime": "2020-09-09 10:18:00"}, None, "", CLICKS[0],
-                                      {"InventoryID": "100001", "CreatedTime": "late"}])
+    publish(spark, topics, "clicks", [{"CreatedTime": "2023-05-06 08:00:00"}, None, "", CLICKS[0],
+                                      {"InventoryID": "a1", "CreatedTime": "late"}])
     _, found = joined(spark, topics, tmp_path)
-    assert [row[3:] for row in as_text(found)] == [("100001", "2020-09-09 10:18:00"), ("100001", None)]
+    assert [row[3:] for row in as_text(found)] == [("a1", "2023-05-06 08:00:00"), ("a1", None)]
 
 
 def test_only_append_mode(spark, topics, tmp_path):
@@ -79,7 +76,7 @@ def skewed(count, share, seed):
 def test_spread_join_equals_brute_force(spark, cut):
     impressions = [{"InventoryID": key, "CreatedTime": str(n), "Campaigner": "c"}
                    for n, key in enumerate(skewed(60, 0.4, 1))]
-    clicks = [{"InventoryID": key, "CreatedTime": "2020-09-09 10:18:00"} for key in skewed(80, 0.4, 2)]
+    clicks = [{"InventoryID": key, "CreatedTime": "2023-05-06 08:00:00"} for key in skewed(80, 0.4, 2)]
 
     def numbered(values):
         return messages(spark, values).withColumns({"partition": F.lit(0), "offset": F.monotonically_increasing_id()})
@@ -91,7 +88,7 @@ def test_spread_join_equals_brute_force(spark, cut):
 
 def test_hot_key_of_a_stream_is_spread_over_state_partitions(spark, topics, tmp_path):
     impressions = [{"InventoryID": key, "CreatedTime": "t", "Campaigner": "c"} for key in ["hot", "k1", "k2"]]
-    clicks = [{"InventoryID": key, "CreatedTime": "2020-09-09 10:18:00"} for key in skewed(300, 0.9, 3)]
+    clicks = [{"InventoryID": key, "CreatedTime": "2023-05-06 08:00:00"} for key in skewed(300, 0.9, 3)]
     publish(spark, topics, "impressions", impressions)
     publish(spark, topics, "clicks", clicks[:150], clicks[150:])
     hot = frozen(spark, str(tmp_path / "hot"), lambda: spark.createDataFrame([("hot", 1, 16)], HOT_KEYS))
@@ -105,7 +102,7 @@ def test_hot_key_of_a_stream_is_spread_over_state_partitions(spark, topics, tmp_
 def test_spread_join_goes_on_after_a_restart(spark, topics, tmp_path):
     impressions = [{"InventoryID": key, "CreatedTime": str(n), "Campaigner": "c"}
                    for n, key in enumerate(skewed(40, 0.5, 5))]
-    clicks = [{"InventoryID": key, "CreatedTime": "2020-09-09 10:18:00"} for key in skewed(40, 0.5, 6)]
+    clicks = [{"InventoryID": key, "CreatedTime": "2023-05-06 08:00:00"} for key in skewed(40, 0.5, 6)]
     for half in (slice(0, 20), slice(20, 40)):
         publish(spark, topics, "clicks", clicks[half])
         publish(spark, topics, "impressions", impressions[half])
@@ -114,26 +111,46 @@ def test_spread_join_goes_on_after_a_restart(spark, topics, tmp_path):
     assert as_text(found) == expected(impressions, clicks)
 
 
-@pytest.mark.parametrize("sample", [1000, 40])
-def test_hot_keys_are_found(spark, monkeypatch, sample):
-    monkeypatch.setattr(skew, "SAMPLE_PER_PARTITION", sample)
-    keys = ["hot"] * 400 + [f"k{n}" for n in range(600)]
+def test_hot_keys_are_found(spark):
+    keys = ["hot"] * 600 + [f"k{n}" for n in range(400)]
     many = messages(spark, [{"InventoryID": key} for key in keys])
-    few = messages(spark, [{"InventoryID": f"k{n}"} for n in range(600)] + [{"InventoryID": None}] * 600)
+    few = messages(spark, [{"InventoryID": f"k{n}"} for n in range(400)] + [{"InventoryID": None}] * 600)
     key = F.get_json_object(F.col("value").cast("string"), "$.InventoryID")
-    [(found, left, right)] = rows(hot_keys(few, key, many, key, partitions=8))
-    assert (found, left) == ("hot", 1) and right in ([7] if sample == 1000 else range(5, 10))
-    [(found, left, right)] = rows(hot_keys(many, key, few, key, partitions=8))
-    assert (found, right) == ("hot", 1) and left > 4
+    # A load of 600 / 2000 * 8 fair shares, cut into about twice as many cells.
+    assert rows(hot_keys(few, key, many, key, partitions=8)) == [("hot", 1, 5)]
+    assert rows(hot_keys(many, key, few, key, partitions=8)) == [("hot", 5, 1)]
+    assert rows(hot_keys(many, key, many, key, partitions=8)) == [("hot", 3, 3)]
     assert hot_keys(few, key, few, key, partitions=8).isEmpty()
     assert hot_keys(few.limit(0), key, few.limit(0), key, partitions=8).isEmpty()
 
 
+@pytest.mark.parametrize("left,right", [(1, 1), (1, 1000), (1000, 1), (0, 5), (5, 0), (30, 1)])
+@pytest.mark.parametrize("load", [0.5, 20, 400])
+def test_a_grid_has_about_as_many_cells_as_asked_for(left, right, load):
+    left_parts, right_parts = grid(left, right, load)
+    assert left_parts * right_parts <= 1.5 * load + 2
+    if load >= 20:
+        assert left_parts * right_parts >= 0.6 * load
+        # The copies of both sides together stay near what evenly split rows need.
+        copies = left * right_parts + right * left_parts
+        assert copies <= 3 * (left + right) * max(1, load ** 0.5)
+
+
+def test_both_sides_hot_at_a_thousand_partitions(spark):
+    rows_now = spark.range(10000).select(F.when(F.col("id") < 2000, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    [(_, left, right)] = rows(hot_keys(rows_now, F.col("k"), rows_now, F.col("k"), 1000).where("key = 'hot'"))
+    assert left == right == 20
+
+
 def test_hot_key_list_stays_as_first_found(spark, tmp_path):
     path = str(tmp_path / "hot")
     first = frozen(spark, path, lambda: spark.createDataFrame([("a", 1, 2)], HOT_KEYS))
     later = frozen(spark, path, lambda: pytest.fail("found again"))
     assert rows(first) == rows(later) == [("a", 1, 2)]
+    given = spark.createDataFrame([("a", 1, 2)], HOT_KEYS)
+    assert rows(frozen(spark, path, lambda: pytest.fail("found again"), given)) == [("a", 1, 2)]
+    with pytest.raises(ValueError, match="hot keys"):
+        frozen(spark, path, lambda: pytest.fail("found again"), spark.createDataFrame([("b", 1, 2)], HOT_KEYS))
 
 
 def test_join_is_not_a_nested_loop(spark):

@@ -7,9 +7,11 @@ import pytest
 import __spark_entry__ as entry_module
 from conftest import TESTDATA, publish, rows
 from millrace.__main__ import APPS, launch, parser
+from millrace.operators.skew import HOT_KEYS
 from millrace.plans import apps
-from millrace.resources import INVOICE_ITEM_SCHEMA
-from millrace.schemas import TOPIC_HEADER, USER, flat_schema
+from millrace.plans.oracle import ORACLE
+from millrace.plans.queries import QUERIES
+from millrace.schemas import INVOICE, TOPIC_HEADER, USER, flat_schema
 from millrace.sources.tables import FileTable
 from oracle_check import connect, spark_rows, sql_rows
 from test_clicks import CLICKS, IMPRESSIONS
@@ -27,10 +29,12 @@ def tables():
 
 
 def test_every_query_has_sql():
-    assert entry_module.queries().keys() == entry_module.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.items() <= entry_module.queries().items()
+    assert ORACLE.items() <= entry_module.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", list(entry_module.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, tables, name):
     found, sql = entry_module.queries()[name](spark, TESTDATA), entry_module.oracle_sql()[name]
     types = tables.execute(f"DESCRIBE {sql}").fetchall()
@@ -67,11 +71,9 @@ def test_invoice_applications(spark, topics, run, tmp_path):
     assert spark.read.schema(flat_schema(TOPIC_HEADER)).json(out).count() == 2
     run("notifications")
     assert topics.table(spark, apps.NOTIFICATIONS).count() == 2
-    schema = tmp_path / "items.avsc"
-    schema.write_text(INVOICE_ITEM_SCHEMA)
-    run("publish-items", "--schema-file", str(schema))
+    run("publish-items", "--item-format", "json")
     assert topics.table(spark, apps.ITEMS).count() == 2
-    run("rewards")
+    run("rewards", "--item-format", "json")
     assert [bytes(row.value) for row in topics.table(spark, apps.REWARDS).collect()] == [
         b'{"TotalPurchase":30.0,"AggregatedRewards":5}']
 
@@ -81,16 +83,23 @@ def test_file_application(spark, run, tmp_path):
     spark.createDataFrame([(json.dumps(invoice("a", [item()])),)], "v string").write.text(str(tmp_path / "raw"))
     run("invoice-files", "--source", str(tmp_path / "raw"), "--target", str(tmp_path / "out"), "--print-schema")
     assert spark.read.json(str(tmp_path / "out")).count() == 1
+    for number, schema in enumerate((INVOICE.simpleString()[len("struct<"):-1].replace(":", " ", 0), INVOICE.json())):
+        path = tmp_path / f"schema{number}"
+        path.write_text(schema)
+        out = str(tmp_path / f"declared{number}")
+        run("invoice-files", "--source", str(tmp_path / "raw"), "--target", out, "--source-schema", str(path),
+            "--checkpoint", str(tmp_path / f"checkpoint{number}"))
+        assert spark.read.json(out).count() == 1
 
 
 def test_login_application(spark, topics, run, tmp_path):
-    publish(spark, topics, apps.LOGINS, [login("100001", "10:18")])
+    publish(spark, topics, apps.LOGINS, [login("u1", "10:18")])
     users, changes = str(tmp_path / "users"), str(tmp_path / "changes")
     spark.createDataFrame(USERS, USER).write.parquet(users)
     run("last-login", "--users", users, "--changes", changes, "--show")
     current = FileTable(users, changes, "login_id", USER).current(spark)
-    assert current.where("login_id = '100001'").first().last_login.year == 2019
-    assert current.count() == 4
+    assert current.where("login_id = 'u1'").first().last_login.year == 2023
+    assert current.count() == 5
 
 
 def test_console_applications(spark, topics, run, tmp_path):
@@ -99,9 +108,16 @@ def test_console_applications(spark, topics, run, tmp_path):
     publish(spark, topics, apps.TRADES, SAMPLE)
     run("impression-clicks")
     out = str(tmp_path / "pairs")
-    run("impression-clicks", "--checkpoint", str(tmp_path / "other"), "--target", out,
-        "--hot-keys", str(tmp_path / "hot"))
+    hot = str(tmp_path / "hot")
+    spark.createDataFrame([("a1", 2, 2)], HOT_KEYS).write.parquet(hot)
+    options = ["impression-clicks", "--checkpoint", str(tmp_path / "other"), "--target", out]
+    run(*options, "--hot-keys", hot)
     assert spark.read.parquet(out).count() == 5
+    run(*options)
+    assert rows(spark.read.parquet(str(tmp_path / "other" / "hot-keys"))) == [("a1", 2, 2)]
+    spark.createDataFrame([("a1", 3, 2)], HOT_KEYS).write.mode("overwrite").parquet(hot)
+    with pytest.raises(ValueError, match="hot keys"):
+        run(*options, "--hot-keys", hot)
     run("trade-windows", "--print-schema")
     spark.createDataFrame([("a b a",)], "v string").write.text(str(tmp_path / "lines"))
     run("word-count", "--source", str(tmp_path / "lines"), "--target", str(tmp_path / "words"))
