@@ -1,38 +1,11 @@
-"""Avro record values.
-
-The ``spark-avro`` package does the work where it is on the classpath. Without it,
-flat records whose fields are all ``[T, "null"]`` unions are coded per Arrow batch
-on the executors, in the same bytes.
-"""
+"""Avro record values, through Spark's own ``spark-avro`` package, which must be loaded."""
 
 from __future__ import annotations
 
-import json
-import sys
-from collections.abc import Iterable, Iterator
-
-import numpy as np
-import pyarrow as pa
-from pyspark import cloudpickle
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.avro.functions import from_avro, to_avro
 
-SPARK_TYPES = {"string": T.StringType(), "long": T.LongType(), "int": T.IntegerType(),
-               "double": T.DoubleType()}
-ARROW_TYPES = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "double": pa.float64()}
-
-# Branch numbers 0 and 1 of the union, as Avro writes them.
-VALUE_BRANCH, NULL_BRANCH = 0, 2
-
-# Rows coded together. Their bytes are addressed by 32-bit offsets.
-ROWS_AT_ONCE = 10_000
-
-# Ship this module's code with the tasks: executors need not have the package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 
 def load_schema(path: str) -> str:
     """Avro schema text from a file on the driver."""
@@ -40,216 +13,14 @@ def load_schema(path: str) -> str:
         return file.read()
 
 
-def record_fields(schema: str) -> list[tuple[str, str]]:
-    """(name, Avro type) of each field of a flat record of ``[T, "null"]`` unions."""
-    fields = []
-    for field in json.loads(schema)["fields"]:
-        union = field["type"]
-        if not (isinstance(union, list) and len(union) == 2 and union[1] == "null"
-                and union[0] in list(SPARK_TYPES)):
-            raise ValueError(f"field {field['name']}: only [T, \"null\"] of {sorted(SPARK_TYPES)}")
-        fields.append((field["name"], union[0]))
-    return fields
-
-
-def spark_schema(schema: str, only: Iterable[str] | None = None) -> T.StructType:
-    kept = None if only is None else set(only)
-    return T.StructType([T.StructField(name, SPARK_TYPES[kind]) for name, kind in record_fields(schema)
-                         if kept is None or name in kept])
-
-
-def connector_loaded(spark: SparkSession) -> bool:
-    try:
-        spark.range(0).select(to_avro(F.col("id"))).schema  # analysis only
-        return True
-    except (AnalysisException, TypeError):
-        return False
-
-
-def encode_avro(rows: DataFrame, schema: str, key: str) -> DataFrame:
+def encode_avro(rows: DataFrame, schema: str, key: str, names: list[str]) -> DataFrame:
     """(key, value) messages: the ``key`` column, and the row as an Avro record.
 
-    The record is positional, so the columns are taken in the order of the schema.
-    """
-    fields = record_fields(schema)
-    names = [name for name, _ in fields]
-    if connector_loaded(rows.sparkSession):
-        return rows.select(F.col(key).cast("binary").alias("key"),
-                           to_avro(F.struct(*names), schema).alias("value"))
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _pieces(batches):
-            columns = [(column, kind) for column, (_, kind) in zip(batch.column(1).flatten(), fields)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), _records(columns, batch.num_rows)], names=["key", "value"])
-
-    typed = [F.col(name).cast(SPARK_TYPES[kind]).alias(name) for name, kind in fields]
-    return rows.select(F.col(key).cast("binary").alias("key"), F.struct(*typed).alias("record")) \
-        .mapInArrow(encode, "key binary, value binary")
-
-
-def decode_avro(messages: DataFrame, schema: str, only: Iterable[str] | None = None) -> DataFrame:
-    """Struct column ``value`` from Avro messages, with the fields in ``only`` if given.
-
-    A null message gives a null struct, a truncated one fails the query.
+    The record is positional, so ``names`` are the columns in the order of the schema.
     """
-    layout = spark_schema(schema, only)
-    if connector_loaded(messages.sparkSession):
-        decoded = messages.select(from_avro(F.col("value"), schema).alias("value"))
-        if only is None:
-            return decoded
-        return decoded.select(F.when(F.col("value").isNotNull(), F.struct(
-            *[F.col(f"value.{name}") for name in layout.fieldNames()])).alias("value"))
-
-    fields = record_fields(schema)
-    kept = set(layout.fieldNames())
-
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _pieces(batches):
-            yield pa.RecordBatch.from_arrays([_structs(batch.column(0), fields, kept)], names=["value"])
-
-    return messages.select("value").mapInArrow(decode, T.StructType([T.StructField("value", layout)]))
-
-
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of bounded size, whatever size Spark is set to send."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
-            yield batch.slice(start, ROWS_AT_ONCE)
-
-
-def _records(columns: list[tuple[pa.Array, str]], rows: int) -> pa.Array:
-    """One Avro record per row, all rows of a batch at once, field by field."""
-    parts = []
-    sizes = np.zeros(rows, np.int64)
-    for column, kind in columns:
-        null = column.is_null().to_numpy(zero_copy_only=False)
-        if kind == "double":
-            plain = np.ascontiguousarray(_numbers(column, np.float64), "<f8")
-            head, head_size = plain.view(np.uint8).reshape(rows, 8), np.full(rows, 8)
-            body, starts, body_size = None, None, np.zeros(rows, np.int64)
-        elif kind == "string":
-            body, starts, body_size = _text(column)
-            head, head_size = _varints(body_size)
-        else:
-            head, head_size = _varints(_numbers(column, np.int64))
-            body, starts, body_size = None, None, np.zeros(rows, np.int64)
-        head_size = np.where(null, 0, head_size)
-        parts.append((null, head, head_size, body, starts, body_size))
-        sizes += 1 + head_size + body_size
-
-    offsets = np.concatenate(([0], np.cumsum(sizes)))
-    out = np.zeros(offsets[-1], np.uint8)
-    at = offsets[:-1].copy()
-    for null, head, head_size, body, starts, body_size in parts:
-        out[at] = np.where(null, NULL_BRANCH, VALUE_BRANCH)
-        at += 1
-        column = np.arange(head.shape[1])
-        used = column < head_size[:, None]
-        out[(at[:, None] + column)[used]] = head[used]
-        at += head_size
-        if body is not None:
-            out[_spans(at, body_size)] = body[_spans(starts, body_size)]
-            at += body_size
-    return pa.Array.from_buffers(pa.binary(), rows, [
-        None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(out)])
-
-
-def _structs(messages: pa.Array, fields: list[tuple[str, str]], kept: set[str]) -> pa.Array:
-    """Struct per record, walking the fields of all records of a batch in step."""
-    messages = messages.cast(pa.binary())
-    rows = len(messages)
-    data, starts, sizes = _text(messages)
-    live = ~messages.is_null().to_numpy(zero_copy_only=False)
-    at = starts.copy()
-    ends = starts + sizes
-    columns, names = [], []
-    for name, kind in fields:
-        if (at[live] >= ends[live]).any():
-            raise ValueError(f"Avro record ends before field {name}")
-        branch = np.full(rows, NULL_BRANCH, np.uint8)
-        branch[live] = data[at[live]]
-        if not np.isin(branch, (VALUE_BRANCH, NULL_BRANCH)).all():
-            raise ValueError(f"Avro field {name}: no such union branch")
-        at[live] += 1
-        valid = branch == VALUE_BRANCH
-        here = np.nonzero(valid)[0]
-        bitmap = pa.py_buffer(np.packbits(valid, bitorder="little"))
-        if kind == "double":
-            if (at + 8 > ends)[here].any():
-                raise ValueError(f"Avro record ends inside field {name}")
-            plain = np.zeros(rows, "<f8")
-            cells = data[at[here][:, None] + np.arange(8)]
-            plain[here] = np.ascontiguousarray(cells).view("<f8").ravel()
-            at[here] += 8
-            buffers = [bitmap, pa.py_buffer(plain)]
-        else:
-            numbers = np.zeros(rows, np.int64)
-            numbers[here] = _read_varints(data, at, here)
-            if kind == "string":
-                if (at + numbers > ends)[here].any():
-                    raise ValueError(f"Avro record ends inside field {name}")
-                offsets = np.concatenate(([0], np.cumsum(numbers))).astype(np.int32)
-                text = data[_spans(at, numbers)] if name in kept else np.zeros(0, np.uint8)
-                at += numbers
-                buffers = [bitmap, pa.py_buffer(offsets), pa.py_buffer(text)]
-            else:
-                width = np.int32 if kind == "int" else np.int64
-                buffers = [bitmap, pa.py_buffer(numbers.astype(width))]
-        if (at > ends)[live].any():
-            raise ValueError(f"Avro record ends inside field {name}")
-        if name in kept:
-            names.append(name)
-            columns.append(pa.Array.from_buffers(ARROW_TYPES[kind], rows, buffers))
-    return pa.StructArray.from_arrays(columns, names=names, mask=pa.array(~live))
-
-
-def _numbers(column: pa.Array, dtype: type) -> np.ndarray:
-    return column.fill_null(0).to_numpy(zero_copy_only=False).astype(dtype)
-
-
-def _text(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bytes, start of each row, size of each row); null rows have size 0."""
-    column = column.cast(pa.binary()).fill_null(b"")
-    rows = len(column)
-    _, offsets, data = column.buffers()
-    bounds = np.frombuffer(offsets, np.int32)[column.offset:column.offset + rows + 1].astype(np.int64)
-    content = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-    return content, bounds[:-1], np.diff(bounds)
-
-
-def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Positions start, start+1, ... of every row, one row after the other."""
-    ends = np.cumsum(sizes)
-    total = int(ends[-1]) if len(ends) else 0
-    return np.arange(total) + np.repeat(starts - (ends - sizes), sizes)
-
-
-def _varints(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Zigzag varints as a byte matrix and the count of bytes used per row."""
-    numbers = numbers.astype(np.int64)
-    zigzag = ((numbers << 1) ^ (numbers >> 63)).view(np.uint64)
-    size = np.ones(len(zigzag), np.int64)
-    rest = zigzag >> np.uint64(7)
-    while rest.any():
-        size += rest > 0
-        rest = rest >> np.uint64(7)
-    column = np.arange(int(size.max()) if len(size) else 1)
-    groups = (zigzag[:, None] >> (column * 7).astype(np.uint64)) & np.uint64(0x7F)
-    more = column < (size - 1)[:, None]
-    return (groups.astype(np.uint8) | (more * 0x80).astype(np.uint8)), size
+    return rows.select(F.col(key).cast("binary").alias("key"), to_avro(F.struct(*names), schema).alias("value"))
 
 
-def _read_varints(data: np.ndarray, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Read one zigzag varint at ``at`` for the given rows and move ``at`` past it."""
-    zigzag = np.zeros(len(at), np.uint64)
-    shift = 0
-    left = rows
-    while len(left):
-        byte = data[at[left]]
-        zigzag[left] |= (byte & 0x7F).astype(np.uint64) << np.uint64(shift)
-        at[left] += 1
-        left = left[byte >= 0x80]
-        shift += 7
-    zigzag = zigzag[rows]
-    return (zigzag >> np.uint64(1)).view(np.int64) ^ -(zigzag & np.uint64(1)).view(np.int64)
+def decode_avro(messages: DataFrame, schema: str) -> DataFrame:
+    """Struct column ``value`` from Avro messages. A broken record fails the query."""
+    return messages.select(from_avro(F.col("value"), schema).alias("value"))

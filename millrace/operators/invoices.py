@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.codecs import decode_json, encode_json, message
 from millrace.functions.money import loyalty_points
-from millrace.schemas import ADDRESS_COLUMNS, INVOICE, ITEM_COLUMNS, NOTIFICATION
+from millrace.schemas import ADDRESS_COLUMNS, INVOICE, ITEM_COLUMNS, NOTIFICATION, flat_schema
 
 
 def flatten(invoices: DataFrame, header: Sequence[str]) -> DataFrame:
@@ -56,3 +56,13 @@ def reward_messages(totals: DataFrame) -> DataFrame:
     """(key, value) messages of reward totals."""
     return totals.select(*message(F.col("CustomerCardNo"),
                                   encode_json("TotalPurchase", "AggregatedRewards")))
+
+
+def item_messages(items: DataFrame) -> DataFrame:
+    """Flat line items as JSON messages by invoice."""
+    return items.select(*message(F.col("InvoiceNumber"), encode_json(*items.columns)))
+
+
+def items_from(messages: DataFrame, header: Sequence[str]) -> DataFrame:
+    """Line items of JSON messages in the struct column ``value``, as ``rewards`` takes them."""
+    return decode_json(messages, flat_schema(header)).select(F.struct("*").alias("value"))

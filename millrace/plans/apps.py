@@ -8,13 +8,12 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from millrace.functions.avro import decode_avro, encode_avro
 from millrace.operators.clicks import clicks_from, impression_clicks, impressions_from
-from millrace.operators.invoices import (flatten, flatten_messages, notifications, reward_messages,
-                                         rewards)
+from millrace.operators.invoices import (flatten, flatten_messages, item_messages, items_from,
+                                         notifications, reward_messages, rewards)
 from millrace.operators.logins import logins_from, update_last_login
 from millrace.operators.skew import hot_keys
 from millrace.operators.trades import trades_from, window_totals
 from millrace.operators.words import word_counts
-from millrace.resources import INVOICE_ITEM_SCHEMA
 from millrace.schemas import AVRO_HEADER, FILE_HEADER, TOPIC_HEADER
 from millrace.sources.tables import CassandraTable, FileTable
 from millrace.sources.topics import Topics
@@ -46,22 +45,21 @@ def notify(messages: DataFrame, topics: Topics) -> DataStreamWriter:
     return topics.sink(notifications(messages), NOTIFICATIONS)
 
 
-def publish_items(messages: DataFrame, topics: Topics,
-                  schema: str = INVOICE_ITEM_SCHEMA) -> DataStreamWriter:
-    """Invoice messages to Avro line items. Append mode."""
+def publish_items(messages: DataFrame, topics: Topics, schema: str | None = None) -> DataStreamWriter:
+    """Invoice messages to line items: Avro records of a ``schema``, JSON without one. Append mode."""
     items = flatten_messages(messages, AVRO_HEADER)
-    return topics.sink(encode_avro(items, schema, key="InvoiceNumber"), ITEMS)
+    if schema is None:
+        return topics.sink(item_messages(items), ITEMS)
+    return topics.sink(encode_avro(items, schema, "InvoiceNumber", items.columns), ITEMS)
 
 
-def card_totals(messages: DataFrame, schema: str = INVOICE_ITEM_SCHEMA) -> DataFrame:
-    """Running totals per card from Avro line items, decoding the three fields in use."""
-    fields = ["CustomerType", "CustomerCardNo", "TotalValue"]
-    return rewards(decode_avro(messages, schema, only=fields))
+def card_totals(messages: DataFrame, schema: str | None = None) -> DataFrame:
+    """Running totals per card from the line items that ``publish_items`` writes."""
+    return rewards(items_from(messages, AVRO_HEADER) if schema is None else decode_avro(messages, schema))
 
 
-def reward_cards(messages: DataFrame, topics: Topics,
-                 schema: str = INVOICE_ITEM_SCHEMA) -> DataStreamWriter:
-    """Avro line items to reward messages. Update mode."""
+def reward_cards(messages: DataFrame, topics: Topics, schema: str | None = None) -> DataStreamWriter:
+    """Line items to reward messages. Update mode."""
     return topics.sink(reward_messages(card_totals(messages, schema)), REWARDS, mode="update")
 
 
@@ -79,6 +77,7 @@ def matched_clicks(impressions: DataFrame, clicks: DataFrame, hot: DataFrame | N
 def hot_inventory(impressions: DataFrame, clicks: DataFrame) -> DataFrame:
     """Inventory ids that need spreading, judged by the messages present as bounded tables."""
     key = F.get_json_object(F.col("value").cast("string"), "$.InventoryID")
+    # As many as the state will have.
     partitions = int(impressions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return hot_keys(impressions, key, clicks, key, partitions)
 

@@ -8,23 +8,24 @@ from __future__ import annotations
 
 import threading
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.codecs import encode_json, message
 from millrace.functions.times import format_time
+from millrace.plans import apps
 from millrace.schemas import INVOICE, USER
-from millrace.session import engine_session, folder_size, scratch_dir
+from millrace.session import content_identity, engine_session, folder_size, scratch_dir
 from millrace.sources.tables import FileTable
 from millrace.sources.topics import Topics
+from millrace.streaming.runner import drain
 
-# An order with more line items goes out as several messages, so that no array, row or
-# task holds an unbounded group.
-MAX_ITEMS = 1000
-
-# Up to this many such orders are broadcast (a few MB); a longer list is joined by shuffle.
-MAX_BROADCAST_ORDERS = 100_000
+# Orders before this day are one writer's messages, the others another's.
+FIRST_PART_ENDS = "1998-01-01"
+EARLY, LATE = "early", "late"
+SALES, OTHERS = "sales", "others"
 
 _published: dict[tuple, str] = {}
 _publishing = threading.RLock()
@@ -45,11 +46,14 @@ class Tables:
     def __getitem__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    @cached_property
+    def identity(self) -> str:
+        """Changes with any of the tables' files, so that tables changed in place are published again."""
+        return content_identity(self.spark, self.folder)
+
     def feed(self, name: str) -> str:
         """Folder of a published feed."""
-        # With the size in the key, tables that changed in place are published again.
-        size = folder_size(self.spark, self.folder)
-        key = (self.spark.sparkContext.applicationId, self.folder, size, name)
+        key = (self.spark.sparkContext.applicationId, self.folder, self.identity, name)
         with _publishing:
             if key not in _published:
                 path = scratch_dir(self.spark, f"feed-{name}")
@@ -108,79 +112,39 @@ def order_headers(tables: Tables) -> DataFrame:
         address.alias("DeliveryAddress"))
 
 
-def invoices(tables: Tables, max_items: int = MAX_ITEMS) -> DataFrame:
-    """An invoice per order with its line items; very long orders in several parts."""
-    lines = tables["lineitem"].select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice",
-                                      F.monotonically_increasing_id().alias("line_id"))
+def invoices(tables: Tables) -> DataFrame:
+    """An invoice per order with all its line items."""
     part = tables["part"].select("p_partkey", "p_name", "p_retailprice")
-    headers = order_headers(tables)
-
-    # One pass over one column finds the long orders; mostly there are none.
-    long_orders = scratch_dir(tables.spark, "long-orders")
-    tables["lineitem"].groupBy(F.col("l_orderkey").alias("o_orderkey")) \
-        .agg(F.count(F.lit(1)).alias("total_items")) \
-        .where(F.col("total_items") > max_items).write.parquet(long_orders)
-    split = tables.spark.read.parquet(long_orders) \
-        .withColumn("parts", F.ceil(F.col("total_items") / max_items))
-    found = split.count()
-
+    lines = tables["lineitem"].select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
     item = F.struct(text("l_partkey").alias("ItemCode"), F.col("p_name").alias("ItemDescription"),
                     F.col("p_retailprice").alias("ItemPrice"),
                     F.col("l_quantity").cast("int").alias("ItemQty"),
                     F.col("l_extendedprice").alias("TotalValue"))
-    lines = lines.join(part, lines.l_partkey == part.p_partkey, "left") \
-        .select(F.col("l_orderkey").alias("o_orderkey"), "line_id", item.alias("item"))
-
-    keys = ["o_orderkey"]
-    if found:
-        keys.append("part_no")
-        few = found <= MAX_BROADCAST_ORDERS
-        listed = F.broadcast(split) if few else split
-        lines = lines.join(listed, "o_orderkey", "left").withColumn(
-            "part_no", F.coalesce(F.pmod(F.xxhash64("line_id"), "parts"), F.lit(0)))
-        if not few:
-            # The grouping below would reuse the join's layout and keep a long order in one task.
-            lines = lines.repartition(*keys)
-        headers = _numbered(headers.join(listed, "o_orderkey", "left"))
-    else:
-        headers = headers.withColumn("total_items", F.lit(None).cast("bigint"))
-    items = lines.groupBy(*keys).agg(F.collect_list("item").alias("InvoiceLineItems"))
-
-    whole = headers.join(items, keys, "left")
-    count = F.coalesce("total_items", F.size("InvoiceLineItems"), F.lit(0)).try_cast("int")
-    return whole.withColumns({
-        "InvoiceLineItems": F.coalesce("InvoiceLineItems", F.array()),
-        "NumberOfItems": F.when(F.col("InvoiceLineItems").isNull(), 0).otherwise(count),
-    }).select(INVOICE.fieldNames())
-
-
-def _numbered(headers: DataFrame, block: int = 10_000) -> DataFrame:
-    """A copy of each header per part; in two steps, as one array of all numbers could be huge."""
-    parts = F.coalesce("parts", F.lit(1))
-    blocks = F.sequence(F.lit(0).cast("bigint"), F.floor((parts - 1) / block))
-    first = F.col("block") * block
-    numbers = F.sequence(first, F.least(first + block, parts) - 1)
-    return headers.withColumn("block", F.explode(blocks)) \
-        .withColumn("part_no", F.explode(numbers)).drop("block")
-
-
-def _messages(rows: DataFrame, key: str) -> DataFrame:
-    return rows.select(*message(F.col(key), encode_json(*rows.columns)))
+    items = lines.join(part, lines.l_partkey == part.p_partkey, "left") \
+        .groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(item).alias("InvoiceLineItems"))
+    whole = order_headers(tables).join(items, "o_orderkey", "left") \
+        .withColumn("InvoiceLineItems", F.coalesce("InvoiceLineItems", F.array()))
+    return whole.withColumn("NumberOfItems", F.size("InvoiceLineItems")).select(INVOICE.fieldNames())
 
 
-def publish_invoices(tables: Tables, path: str) -> None:
-    Topics(folder=path).publish(_messages(invoices(tables), "InvoiceNumber"), "invoices",
-                                tables.file_records(tables["orders"].count()))
+def _messages(rows: DataFrame, key: str, *extra: Column) -> DataFrame:
+    return rows.select(*message(F.col(key), encode_json(*rows.columns)), *extra)
+
 
+def publish_invoices(tables: Tables, path: str) -> None:
+    """Early and late orders are two writers' messages."""
+    day = F.unix_millis(F.to_timestamp(F.lit(FIRST_PART_ENDS)))
+    writer = F.when(F.col("CreatedTime") < day, EARLY).otherwise(LATE)
+    Topics(folder=path).publish(_messages(invoices(tables), "InvoiceNumber", writer.alias("by")), "invoices",
+                                tables.file_records(tables["orders"].count()), F.col("by"))
 
-def publish_invoice_headers(tables: Tables, path: str) -> None:
-    """Invoices without items, one message per order however long it is.
 
-    For consumers of header fields, which need no join with the line items.
-    """
-    headers = order_headers(tables).drop("o_orderkey")
-    Topics(folder=path).publish(_messages(headers, "InvoiceNumber"), "invoices",
-                                tables.file_records(tables["orders"].count()))
+def publish_invoice_items(tables: Tables, path: str) -> None:
+    """The line items that the publishing application makes of the invoices."""
+    source = tables.topics("invoices")
+    messages = source.stream(tables.spark, "invoices",
+                             files_per_trigger=tables.files_per_batch(source.path("invoices")))
+    drain(apps.publish_items(messages, Topics(folder=path)), scratch_dir(tables.spark, "publisher"))
 
 
 def publish_invoice_files(tables: Tables, path: str) -> None:
@@ -191,11 +155,15 @@ def publish_invoice_files(tables: Tables, path: str) -> None:
 
 
 def publish_logins(tables: Tables, path: str) -> None:
-    """Every event is a login of its user."""
-    logins = tables["events"].select(format_time("ts").alias("created_time"),
-                                     text("user_id").alias("login_id"))
-    Topics(folder=path).publish(_messages(logins, "login_id"), "logins",
-                                tables.file_records(tables["events"].count()))
+    """Every event is a login of its user; those before and after the mean time are two writers' messages."""
+    events = tables["events"]
+    second = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    rows, middle = events.agg(F.count(F.lit(1)), F.avg(second)).first()
+    early = F.coalesce(second < F.lit(middle), F.lit(True))
+    logins = events.select(format_time("ts").alias("created_time"), text("user_id").alias("login_id"),
+                           F.when(early, EARLY).otherwise(LATE).alias("by"))
+    messages = logins.select(*message(F.col("login_id"), encode_json("created_time", "login_id")), "by")
+    Topics(folder=path).publish(messages, "logins", tables.file_records(rows), F.col("by"))
 
 
 def publish_impressions(tables: Tables, path: str) -> None:
@@ -216,14 +184,15 @@ def publish_clicks(tables: Tables, path: str) -> None:
 
 
 def publish_trades(tables: Tables, path: str) -> None:
-    """Every event is a trade; types other than buying and selling count for nothing."""
+    """Every event is a trade; types other than buying and selling count for nothing. Sales have a writer of their own."""
     kind = F.when(F.col("event_type") == "purchase", "BUY") \
         .when(F.col("event_type") == "click", "SELL").otherwise(F.upper("event_type"))
     rows = tables["events"].select(format_time("ts").alias("CreatedTime"), kind.alias("Type"),
                                    F.floor("value").cast("int").alias("Amount"),
                                    F.concat(F.lit("B"), F.col("user_id") % 5).alias("BrokerCode"))
-    Topics(folder=path).publish(_messages(rows, "BrokerCode"), "stock-trades",
-                                tables.file_records(tables["events"].count()))
+    by = F.when(F.col("Type") == "SELL", SALES).otherwise(OTHERS).alias("by")
+    Topics(folder=path).publish(_messages(rows, "BrokerCode", by), "stock-trades",
+                                tables.file_records(tables["events"].count()), F.col("by"))
 
 
 def publish_lines(tables: Tables, path: str, where: Column | None = None) -> None:
@@ -249,7 +218,7 @@ def users_table(tables: Tables, changes: str) -> FileTable:
 
 FEEDS = {
     "invoices": publish_invoices,
-    "invoice-headers": publish_invoice_headers,
+    "invoice-items": publish_invoice_items,
     "invoice-files": publish_invoice_files,
     "logins": publish_logins,
     "impressions": publish_impressions,

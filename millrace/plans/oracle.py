@@ -36,17 +36,23 @@ def flat(*header: str, quantity: str = "INTEGER") -> str:
     return f"SELECT {columns}, {ADDRESS_AND_ITEM.format(quantity=quantity)} FROM ({ITEMS})"
 
 
+def points(amount: str) -> str:
+    """Whole points, cut toward zero and held within an int."""
+    held = f"greatest(least(trunc({amount} * 0.2), 2147483647), -2147483648)"
+    return f"CAST(CASE WHEN isnan({amount}) THEN 0 WHEN {amount} IS NOT NULL THEN {held} END AS INTEGER)"
+
+
 # Rewards cut each item's points to a whole number before adding them up.
 REWARDS = """
     SELECT {batch} CAST(o_custkey AS VARCHAR) AS CustomerCardNo,
            round(sum(l_extendedprice), 2) AS TotalPurchase,
-           CAST(sum(CAST(trunc(l_extendedprice * 0.2) AS INTEGER)) AS BIGINT) AS AggregatedRewards
+           CAST(sum(%s) AS BIGINT) AS AggregatedRewards
     FROM lineitem
     JOIN orders ON l_orderkey = o_orderkey
     JOIN customer ON o_custkey = c_custkey
     WHERE c_mktsegment = 'BUILDING' {where}
     GROUP BY o_custkey
-"""
+""" % points("l_extendedprice")
 
 FIRST_PART = "o_orderdate < TIMESTAMP '1998-01-01'"
 
@@ -102,15 +108,15 @@ ORACLE = {
                                   "PaymentMethod", "DeliveryType"),
     "restart_exactly_once": flat("InvoiceNumber", "CreatedTime", "PosID", "CustomerType",
                                  "PaymentMethod", "DeliveryType"),
-    "avro_items_roundtrip": flat("InvoiceNumber", "CreatedTime", "StoreID", "PosID", "CustomerType",
+    "items_roundtrip": flat("InvoiceNumber", "CreatedTime", "StoreID", "PosID", "CustomerType",
                                  "CustomerCardNo", "DeliveryType"),
-    "loyalty_notifications": """
+    "loyalty_notifications": f"""
         SELECT CAST(o_orderkey AS VARCHAR) AS InvoiceNumber,
                CAST(o_custkey AS VARCHAR) AS CustomerCardNo, o_totalprice AS TotalAmount,
-               CAST(trunc(o_totalprice * 0.2) AS INTEGER) AS EarnedLoyaltyPoints
+               {points("o_totalprice")} AS EarnedLoyaltyPoints
         FROM orders""",
     "customer_rewards": REWARDS.format(batch="", where=""),
-    "rewards_from_avro_topic": REWARDS.format(batch="", where=""),
+    "rewards_from_items_topic": REWARDS.format(batch="", where=""),
     "rewards_messages": REWARDS.format(batch="", where=""),
     "rewards_changelog": REWARDS_CHANGELOG,
     "last_login_join": """

@@ -11,27 +11,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.avro import decode_avro
 from millrace.functions.codecs import decode_json
 from millrace.functions.times import format_time, parse_time
-from millrace.operators.invoices import rewards
+from millrace.operators.invoices import items_from, rewards
 from millrace.operators.logins import logins_from, matched_logins
 from millrace.operators.skew import frozen
 from millrace.operators.trades import buy_sell
 from millrace.operators.words import word_counts
 from millrace.plans import apps
-from millrace.plans.feeds import Tables, publish_lines, users_table
-from millrace.resources import INVOICE_ITEM_SCHEMA
-from millrace.schemas import (FILE_HEADER, INVOICE, LONG, NOTIFICATION, REWARD, TOPIC_HEADER, TRADE,
-                              flat_schema)
+from millrace.plans.feeds import EARLY, LATE, OTHERS, SALES, Tables, publish_lines, users_table
+from millrace.schemas import (AVRO_HEADER, FILE_HEADER, INVOICE, LONG, NOTIFICATION, REWARD, TOPIC_HEADER,
+                              TRADE, flat_schema)
 from millrace.session import scratch_dir
 from millrace.sources.files import json_directory, text_directory
 from millrace.sources.topics import Topics
 from millrace.streaming.changelog import all_batches, batch_writer, last_batch, last_per_key
-from millrace.streaming.runner import changelog_sink, drain, parquet_sink
-
-# Orders before this day are published first, where a query is run in two steps.
-FIRST_PART_ENDS = "1998-01-01"
+from millrace.streaming.runner import changelog_sink, drain, parquet_sink, snapshot_sink
 
 
 def cents(total: str) -> Column:
@@ -68,7 +63,7 @@ def loyalty_notifications(spark: SparkSession, folder: str) -> DataFrame:
     tables = Tables.of(spark, folder)
     work = scratch_dir(tables.spark, "notifications")
     out = Topics(folder=f"{work}/topics")
-    drain(apps.notify(_stream(tables, "invoice-headers", "invoices"), out), f"{work}/checkpoint")
+    drain(apps.notify(_stream(tables, "invoices"), out), f"{work}/checkpoint")
     return _decoded(out.table(tables.spark, apps.NOTIFICATIONS), NOTIFICATION, "InvoiceNumber")
 
 
@@ -77,19 +72,13 @@ def _decoded(messages: DataFrame, schema: T.StructType, key: str) -> DataFrame:
         .select(F.col("key").cast("string").alias(key), *schema.fieldNames())
 
 
-def _publish_items(tables: Tables, work: str) -> Topics:
-    """Run the Avro publisher into a topic of its own."""
-    out = Topics(folder=f"{work}/topics")
-    drain(apps.publish_items(_stream(tables, "invoices"), out), f"{work}/publisher")
-    return out
-
-
-def avro_items_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """Invoice topic to a topic of Avro line items, decoded again."""
+def items_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Invoice topic to a topic of line items, decoded again."""
     tables = Tables.of(spark, folder)
-    out = _publish_items(tables, scratch_dir(tables.spark, "avro-items"))
-    messages = out.table(tables.spark, apps.ITEMS)
-    return decode_avro(messages, INVOICE_ITEM_SCHEMA).select("value.*")
+    work = scratch_dir(tables.spark, "items")
+    out = Topics(folder=f"{work}/topics")
+    drain(apps.publish_items(_stream(tables, "invoices"), out), f"{work}/checkpoint")
+    return items_from(out.table(tables.spark, apps.ITEMS), AVRO_HEADER).select("value.*")
 
 
 def _item_values(messages: DataFrame) -> DataFrame:
@@ -109,17 +98,12 @@ def customer_rewards(spark: SparkSession, folder: str) -> DataFrame:
     return last.select("CustomerCardNo", cents("TotalPurchase"), "AggregatedRewards")
 
 
-def _item_stream(tables: Tables, topics: Topics) -> DataFrame:
-    files = tables.files_per_batch(topics.path(apps.ITEMS))
-    return topics.stream(tables.spark, apps.ITEMS, files_per_trigger=files)
-
-
-def rewards_from_avro_topic(spark: SparkSession, folder: str) -> DataFrame:
-    """Publisher and rewards chained through the topic of Avro line items."""
+def rewards_from_items_topic(spark: SparkSession, folder: str) -> DataFrame:
+    """Rewards chained behind the publisher, through its topic of line items."""
     tables = Tables.of(spark, folder)
-    work = scratch_dir(tables.spark, "avro-rewards")
-    totals = apps.card_totals(_item_stream(tables, _publish_items(tables, work)))
-    drain(changelog_sink(totals, f"{work}/out"), f"{work}/rewards", mode="update")
+    work = scratch_dir(tables.spark, "item-rewards")
+    totals = apps.card_totals(_stream(tables, "invoice-items"))
+    drain(changelog_sink(totals, f"{work}/out"), f"{work}/checkpoint", mode="update")
     last = last_per_key(all_batches(tables.spark, f"{work}/out"), ["CustomerCardNo"])
     return last.select("CustomerCardNo", cents("TotalPurchase"), "AggregatedRewards")
 
@@ -128,33 +112,25 @@ def rewards_messages(spark: SparkSession, folder: str) -> DataFrame:
     """The same chain up to its topic: the message a consumer holds last for each key, decoded."""
     tables = Tables.of(spark, folder)
     work = scratch_dir(tables.spark, "reward-messages")
-    topics = _publish_items(tables, work)
-    drain(apps.reward_cards(_item_stream(tables, topics), topics), f"{work}/rewards", mode="update")
-    emitted = all_batches(tables.spark, topics.path(apps.REWARDS))
+    topics = Topics(folder=f"{work}/topics")
+    drain(apps.reward_cards(_stream(tables, "invoice-items"), topics), f"{work}/checkpoint", mode="update")
+    emitted = all_batches(tables.spark, topics.path(apps.REWARDS)).drop("writer")
     return _decoded(last_per_key(emitted, ["key"]), REWARD, "CustomerCardNo") \
         .select("CustomerCardNo", cents("TotalPurchase"), "AggregatedRewards")
 
 
-def _in_two_parts(tables: Tables, work: str) -> tuple[Topics, list[Column]]:
-    """An empty invoice topic, and the conditions of the parts to publish into it."""
-    day = F.unix_millis(F.to_timestamp(F.lit(FIRST_PART_ENDS)))
-    created = F.get_json_object(F.col("value").cast("string"), "$.CreatedTime").cast("bigint")
-    early = F.coalesce(created < day, F.lit(False))
-    return Topics(folder=f"{work}/topics"), [early, ~early]
-
-
-def _publish_part(tables: Tables, topics: Topics, part: Column) -> None:
-    messages = tables.topics("invoices").table(tables.spark, "invoices")
-    topics.publish(messages.where(part).select("key", "value"), "invoices")
+def _publish_part(tables: Tables, topics: Topics, topic: str, writer: str) -> None:
+    """One writer's messages of a feed, into a topic of the query's own."""
+    topics.publish(tables.topics(topic).part(tables.spark, topic, writer), topic)
 
 
 def rewards_changelog(spark: SparkSession, folder: str) -> DataFrame:
     """Every total emitted in update mode, over two parts of the orders that arrive in turn."""
     tables = Tables.of(spark, folder)
     work = scratch_dir(tables.spark, "reward-changes")
-    topics, parts = _in_two_parts(tables, work)
-    for part in parts:
-        _publish_part(tables, topics, part)
+    topics = Topics(folder=f"{work}/topics")
+    for writer in (EARLY, LATE):
+        _publish_part(tables, topics, apps.INVOICES, writer)
         totals = rewards(_item_values(topics.stream(tables.spark, "invoices")))
         drain(changelog_sink(totals, f"{work}/out"), f"{work}/checkpoint", mode="update")
     return all_batches(tables.spark, f"{work}/out") \
@@ -165,10 +141,10 @@ def restart_exactly_once(spark: SparkSession, folder: str) -> DataFrame:
     """The flattener stopped and restarted on its checkpoint: after each part, and with no news."""
     tables = Tables.of(spark, folder)
     work = scratch_dir(tables.spark, "restart")
-    topics, parts = _in_two_parts(tables, work)
-    for part in [*parts, None]:
-        if part is not None:
-            _publish_part(tables, topics, part)
+    topics = Topics(folder=f"{work}/topics")
+    for writer in (EARLY, LATE, None):
+        if writer:
+            _publish_part(tables, topics, apps.INVOICES, writer)
         messages = topics.stream(tables.spark, "invoices")
         drain(apps.flatten_topic(messages, f"{work}/out"), f"{work}/checkpoint")
     return tables.spark.read.schema(flat_schema(TOPIC_HEADER)).json(f"{work}/out")
@@ -190,25 +166,15 @@ def last_login_upsert(spark: SparkSession, folder: str) -> DataFrame:
     tables = Tables.of(spark, folder)
     work = scratch_dir(tables.spark, "login-upsert")
     topics = Topics(folder=f"{work}/topics")
-    messages = tables.topics("logins").table(tables.spark, "logins")
     users = users_table(tables, f"{work}/changes")
-
-    moment = _login_second()
-    middle = messages.agg(F.avg(moment)).first()[0]
-    early = F.coalesce(moment < F.lit(middle), F.lit(True))
-    for part in (early, ~early):
-        topics.publish(messages.where(part).select("key", "value"), "logins")
-        messages_now = topics.stream(tables.spark, "logins")
-        drain(apps.record_logins(messages_now, users), f"{work}/checkpoint", mode="update")
+    for writer in (EARLY, LATE):
+        _publish_part(tables, topics, apps.LOGINS, writer)
+        messages = topics.stream(tables.spark, apps.LOGINS)
+        drain(apps.record_logins(messages, users), f"{work}/checkpoint", mode="update")
     return users.current(tables.spark) \
         .select("login_id", "user_name", format_time("last_login").alias("last_login"))
 
 
-def _login_second() -> Column:
-    """Login time of a raw message, in seconds since the epoch."""
-    return F.unix_timestamp(parse_time(F.get_json_object(F.col("value").cast("string"), "$.created_time")))
-
-
 def impression_click_join(spark: SparkSession, folder: str) -> DataFrame:
     """Impression topic joined with click topic, hot keys spread."""
     tables = Tables.of(spark, folder)
@@ -220,7 +186,7 @@ def impression_click_join(spark: SparkSession, folder: str) -> DataFrame:
 
     joined = apps.matched_clicks(_stream(tables, "impressions", positions=True),
                                  _stream(tables, "clicks", positions=True),
-                                 frozen(tables.spark, f"{work}/hot-keys", find))
+                                 frozen(tables.spark, f"{work}/checkpoint/hot-keys", find))
     drain(parquet_sink(joined, f"{work}/out"), f"{work}/checkpoint")
     return tables.spark.read.parquet(f"{work}/out") \
         .withColumn("ClickTime", format_time("ClickTime"))
@@ -232,7 +198,7 @@ def word_count(spark: SparkSession, folder: str) -> DataFrame:
     source = tables.feed("lines")
     work = scratch_dir(tables.spark, "words")
     lines = text_directory(tables.spark, source, tables.files_per_batch(source))
-    drain(changelog_sink(word_counts(lines), f"{work}/out"), f"{work}/checkpoint", mode="complete")
+    drain(snapshot_sink(word_counts(lines), f"{work}/out"), f"{work}/checkpoint", mode="complete")
     return last_batch(tables.spark, f"{work}/out")
 
 
@@ -267,11 +233,8 @@ def trade_windows_changelog(spark: SparkSession, folder: str) -> DataFrame:
     tables = Tables.of(spark, folder)
     work = scratch_dir(tables.spark, "trade-changes")
     topics = Topics(folder=f"{work}/topics")
-    messages = tables.topics("stock-trades").table(tables.spark, "stock-trades")
-    kind = F.get_json_object(F.col("value").cast("string"), "$.Type")
-    sales = F.coalesce(kind == "SELL", F.lit(False))
-    for part in (~sales, sales):
-        topics.publish(messages.where(part), apps.TRADES)
+    for writer in (OTHERS, SALES):
+        _publish_part(tables, topics, apps.TRADES, writer)
         totals = apps.trade_totals(topics.stream(tables.spark, apps.TRADES))
         drain(changelog_sink(totals, f"{work}/out"), f"{work}/checkpoint", mode="update")
     return all_batches(tables.spark, f"{work}/out").select(
@@ -303,13 +266,13 @@ def conditional_columns(spark: SparkSession, folder: str) -> DataFrame:
 def prime_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Invoices of prime customers."""
     tables = Tables.of(spark, folder)
-    messages = tables.topics("invoice-headers").table(tables.spark, "invoices")
+    messages = tables.topics("invoices").table(tables.spark, "invoices")
     return decode_json(messages, INVOICE).filter("CustomerType == 'PRIME'") \
         .select("InvoiceNumber", "CustomerType", "CustomerCardNo")
 
 
 QUERIES = {query.__name__: query for query in (
-    file_invoice_flatten, topic_invoice_flatten, loyalty_notifications, avro_items_roundtrip,
-    customer_rewards, rewards_from_avro_topic, rewards_messages, rewards_changelog,
+    file_invoice_flatten, topic_invoice_flatten, loyalty_notifications, items_roundtrip,
+    customer_rewards, rewards_from_items_topic, rewards_messages, rewards_changelog,
     restart_exactly_once, last_login_join, last_login_upsert, impression_click_join, word_count,
     word_count_snapshots, trade_windows, trade_windows_changelog, json_decode, parse_timestamp, conditional_columns, prime_filter)}

@@ -89,9 +89,9 @@ def test_json_leaves_nulls_out(spark):
 
 
 @pytest.mark.parametrize("amount,points", [
-    (9.99, 1), (-9.99, -1), (0.0, 0), (4.99, 0), (5.0, 1), (None, None), (1e11, None),
-    (10737418235.0, 2147483647)])
-def test_points_are_cut_toward_zero_and_null_beyond_int(spark, amount, points):
+    (9.99, 1), (-9.99, -1), (0.0, 0), (4.99, 0), (5.0, 1), (None, None), (2e10, 2147483647), (-2e10, -2147483648),
+    (10737418235.0, 2147483647), (float("nan"), 0), (float("inf"), 2147483647), (float("-inf"), -2147483648)])
+def test_points_are_cut_toward_zero_and_held_within_an_int(spark, amount, points):
     df = spark.createDataFrame([(amount,)], "amount double").select(loyalty_points("amount"))
     assert df.first()[0] == points
     assert df.schema[0].dataType == T.IntegerType()

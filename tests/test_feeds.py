@@ -59,28 +59,40 @@ def test_an_invoice_per_order(small):
                             ("4", created, "NONPRIME", 1, None, None)]
 
 
-@pytest.mark.parametrize("broadcast_orders", [100_000, 0])
-def test_long_orders_go_out_in_parts(small, monkeypatch, broadcast_orders):
-    monkeypatch.setattr(feeds, "MAX_BROADCAST_ORDERS", broadcast_orders)
-    found = invoices(small, max_items=4).cache()
-    assert rows(found.groupBy("InvoiceNumber").count()) == [("1", 13), ("2", 1), ("3", 1), ("4", 1)]
-    assert found.agg(F.max(F.size("InvoiceLineItems"))).first()[0] < 50
-    assert rows(found.select("InvoiceNumber", "NumberOfItems").distinct()) == [
-        ("1", 50), ("2", 3), ("3", 0), ("4", 1)]
-    flat = flatten(found, TOPIC_HEADER)
+def test_flattening_gives_the_lines_back(small):
+    flat = flatten(invoices(small), TOPIC_HEADER)
     assert rows(flat.select("InvoiceNumber", "TotalValue")) == [row for row in WHOLE if row[1] is not None]
 
 
-def test_parts_are_numbered_in_blocks(spark):
-    headers = spark.createDataFrame([("a", 25), ("b", None), ("c", 10), ("d", 11)], "k string, parts bigint")
-    found = feeds._numbered(headers, block=10).groupBy("k").agg(F.sort_array(F.collect_list("part_no")))
-    assert rows(found) == [("a", list(range(25))), ("b", [0]), ("c", list(range(10))), ("d", list(range(11)))]
-
-
 def test_common_case_groups_and_joins_on_one_layout(small):
     plan = invoices(small)._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
-    assert "part_no" not in plan
+
+
+def test_a_table_rewritten_to_the_same_size_is_published_anew(spark, tmp_path):
+    tables = tmp_path / "tables"
+    schema = "user_id long, ts timestamp_ntz, event_type string, value double"
+
+    def write(user):
+        spark.createDataFrame([(user, DAY, "click", 1.0)], schema).coalesce(1) \
+            .write.mode("overwrite").parquet(str(tables / "events.parquet"))
+        found = Tables.of(spark, str(tables))
+        return [bytes(row.key) for row in found.topics("logins").table(spark, "logins").collect()]
+
+    assert write(1) == [b"1"]
+    size = sum(f.stat().st_size for f in tables.rglob("*.parquet") if f.is_file())
+    assert write(2) == [b"2"]
+    assert size == sum(f.stat().st_size for f in tables.rglob("*.parquet") if f.is_file())
+
+
+def test_parts_are_split_by_the_tables_columns(spark):
+    tables = Tables.of(spark, TESTDATA)
+    for feed, topic, writers in (("invoices", "invoices", (feeds.EARLY, feeds.LATE)),
+                                 ("logins", "logins", (feeds.EARLY, feeds.LATE)),
+                                 ("stock-trades", "stock-trades", (feeds.SALES, feeds.OTHERS))):
+        topics = tables.topics(feed)
+        counts = [topics.part(spark, topic, writer).count() for writer in writers]
+        assert all(counts) and sum(counts) == topics.table(spark, topic).count()
 
 
 def test_feeds_are_published_once_in_several_files(spark):

@@ -66,7 +66,7 @@ def test_notifications_keep_malformed_messages(spark):
         (None, {}), (None, {}), (None, {}),
         ("a", {"CustomerCardNo": "c1", "TotalAmount": 9.99, "EarnedLoyaltyPoints": 1}),
         ("b", {"CustomerCardNo": "c1", "TotalAmount": -9.99, "EarnedLoyaltyPoints": -1}),
-        ("c", {"CustomerCardNo": "c1", "TotalAmount": 1e12}),
+        ("c", {"CustomerCardNo": "c1", "TotalAmount": 1e12, "EarnedLoyaltyPoints": 2147483647}),
         ("d", {"TotalAmount": 100.0, "EarnedLoyaltyPoints": 20}),
         (None, {})]
 
@@ -84,10 +84,10 @@ def test_points_are_cut_per_item_and_then_added(spark):
     assert rewards(df).columns == ["CustomerCardNo", "TotalPurchase", "AggregatedRewards"]
 
 
-def test_null_card_is_a_group_and_overflowing_points_count_nothing(spark):
+def test_null_card_is_a_group_and_points_beyond_an_int_are_its_end(spark):
     df = items_as_values(spark, ("PRIME", None, 5.0), ("PRIME", None, 5.0), ("PRIME", "c", 1e11),
                          ("PRIME", "c", 5.0), ("PRIME", "d", None))
-    assert rows(rewards(df)) == sorted([(None, 10.0, 2), ("c", 1e11 + 5, 1), ("d", None, None)], key=repr)
+    assert rows(rewards(df)) == sorted([(None, 10.0, 2), ("c", 1e11 + 5, 2147483647 + 1), ("d", None, None)], key=repr)
 
 
 def test_reward_messages(spark):

@@ -5,10 +5,13 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators.logins import newest_login, with_user
-from millrace.plans import feeds
+from millrace.operators.logins import logins_from, newest_login, with_user
 from millrace.plans.feeds import Tables, invoices
+from millrace.schemas import USER
 from millrace.session import engine_session
+from millrace.sources.tables import FileTable
+from millrace.sources.topics import Topics
+from millrace.streaming.runner import drain
 
 
 @pytest.fixture
@@ -52,9 +55,29 @@ def test_every_login_of_a_hot_user(skew_session, tmp_path):
     assert reduced.count() == 40001
 
 
-def test_hot_part_and_long_order(skew_session, tmp_path, monkeypatch):
-    monkeypatch.setattr(feeds, "MAX_BROADCAST_ORDERS", 0)
+def test_every_login_of_a_hot_user_in_a_micro_batch(skew_session, tmp_path):
+    messages = skew_session.range(60000).selectExpr(
+        "cast(null as binary) as key",
+        """cast(to_json(named_struct('created_time', date_format(timestamp_seconds(id * 7919), 'yyyy-MM-dd HH:mm:ss'), 'login_id',
+             if(id % 3 = 0, 'hot', cast(id as string)))) as binary) as value""")
+    topics = Topics(folder=str(tmp_path / "topics"))
+    topics.publish(messages.repartition(8), "logins")
+    users = skew_session.range(60000).selectExpr("cast(id as string) as login_id", "'name' as user_name",
+                                                 "cast(null as timestamp) as last_login") \
+        .union(skew_session.sql("select 'hot', 'busy', cast(null as timestamp)"))
+    users.write.parquet(str(tmp_path / "users"))
+    table = FileTable(str(tmp_path / "users"), str(tmp_path / "changes"), "login_id", USER)
+    plans = []
+
+    def step(batch, batch_id):
+        plans.append(final_plan(with_user(batch, table.read(batch.sparkSession).select("login_id", "user_name"))))
+
+    logins = logins_from(topics.stream(skew_session, "logins"))
+    drain(logins.writeStream.foreachBatch(step), str(tmp_path / "c"), mode="update")
+    assert any("SortMergeJoin(skew=true)" in plan for plan in plans)
+
 
+def test_hot_part_and_long_order(skew_session, tmp_path):
     def write(name, df):
         df.repartition(4).write.parquet(str(tmp_path / f"{name}.parquet"))
 
@@ -69,14 +92,13 @@ def test_hot_part_and_long_order(skew_session, tmp_path, monkeypatch):
     write("customer", ids.selectExpr("id as c_custkey", "'c' as c_name", "0 as c_nationkey", "'X' as c_mktsegment"))
     write("nation", skew_session.sql("select 0 as n_nationkey, 'n' as n_name, 0 as n_regionkey"))
     write("region", skew_session.sql("select 0 as r_regionkey, 'r' as r_name"))
-    found = invoices(Tables(skew_session, str(tmp_path)), max_items=100)
+    found = invoices(Tables(skew_session, str(tmp_path)))
     plan = final_plan(found)
     assert "SortMergeJoin(skew=true)" in plan
     assert "Cartesian" not in plan and "NestedLoop" not in plan
     items = found.selectExpr("InvoiceNumber", "explode(InvoiceLineItems) as item")
     assert items.agg(F.sum("item.TotalValue"), F.count("item.ItemDescription")).first() == (
         sum(range(30000)), 30000)
-    assert found.agg(F.max(F.size("InvoiceLineItems"))).first()[0] < 200
-    hot = found.where("InvoiceNumber = '7'")
-    # 10,000 hot lines in 100 parts, together with line 7 itself.
-    assert hot.count() == 101 and {row[0] for row in hot.select("NumberOfItems").collect()} == {10001}
+    # 10,000 hot lines are one invoice, together with line 7 itself.
+    hot = found.where("InvoiceNumber = '7'").select("NumberOfItems", F.size("InvoiceLineItems")).collect()
+    assert [tuple(row) for row in hot] == [(10001, 10001)]

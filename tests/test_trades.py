@@ -14,17 +14,16 @@ from millrace.plans import apps
 from millrace.streaming.changelog import all_batches, last_per_key
 from millrace.streaming.runner import changelog_sink, drain
 
-# Sample trades, out of time order.
-SAMPLE = [
-    {"CreatedTime": "2024-02-05 10:05:00", "Type": "BUY", "Amount": 500, "BrokerCode": "ABX"},
-    {"CreatedTime": "2024-02-05 10:12:00", "Type": "BUY", "Amount": 300, "BrokerCode": "ABX"},
-    {"CreatedTime": "2024-02-05 10:20:00", "Type": "BUY", "Amount": 800, "BrokerCode": "ABX"},
-    {"CreatedTime": "2024-02-05 10:40:00", "Type": "BUY", "Amount": 900, "BrokerCode": "ABX"},
-    {"CreatedTime": "2024-02-05 10:25:00", "Type": "SELL", "Amount": 400, "BrokerCode": "ABX"},
-    {"CreatedTime": "2024-02-05 10:48:00", "Type": "SELL", "Amount": 600, "BrokerCode": "ABX"},
-]
-TOTALS = [("10:00", "10:15", 800, 0), ("10:15", "10:30", 800, 400), ("10:30", "10:45", 900, 0),
-          ("10:45", "11:00", 0, 600)]
+
+def trade(time, kind, amount):
+    return {"CreatedTime": f"2023-05-06 {time}", "Type": kind, "Amount": amount, "BrokerCode": "B1"}
+
+
+# The fifth is older than the fourth.
+SAMPLE = [trade("09:00:00", "BUY", 70), trade("09:14:59", "BUY", 5), trade("09:20:00", "SELL", 11),
+          trade("09:31:00", "BUY", 2), trade("09:16:00", "SELL", 30), trade("09:59:59", "SELL", 1)]
+TOTALS = [("09:00", "09:15", 75, 0), ("09:15", "09:30", 0, 41), ("09:30", "09:45", 2, 0),
+          ("09:45", "10:00", 0, 1)]
 
 
 def hours(df):
@@ -41,10 +40,10 @@ def test_sample_batch_by_batch(spark, topics, tmp_path):
     totals = apps.trade_totals(topics.stream(spark, "stock-trades", files_per_trigger=1))
     drain(changelog_sink(totals, str(tmp_path / "out")), str(tmp_path / "c"), mode="update")
     emitted = all_batches(spark, str(tmp_path / "out"))
-    # Update mode: only the windows a batch touched. The late 10:25 trade changes its window.
-    assert rows(hours(emitted.where("batch_id = 0"))) == [("10:00", "10:15", 800, 0), ("10:15", "10:30", 800, 0)]
-    assert rows(hours(emitted.where("batch_id = 1"))) == [("10:15", "10:30", 800, 400), ("10:30", "10:45", 900, 0)]
-    assert rows(hours(emitted.where("batch_id = 2"))) == [("10:45", "11:00", 0, 600)]
+    # Update mode: only the windows a batch touched. The late trade of 09:16 changes its window.
+    assert rows(hours(emitted.where("batch_id = 0"))) == [("09:00", "09:15", 75, 0), ("09:15", "09:30", 0, 11)]
+    assert rows(hours(emitted.where("batch_id = 1"))) == [("09:15", "09:30", 0, 41), ("09:30", "09:45", 2, 0)]
+    assert rows(hours(emitted.where("batch_id = 2"))) == [("09:45", "10:00", 0, 1)]
     assert rows(hours(last_per_key(emitted, ["start", "end"]))) == TOTALS
 
 
