@@ -18,6 +18,7 @@ GRAMS = (1, 2, 3)
 PROFILE_SIZE = 400
 DOCS_PER_LANGUAGE = 2000
 LEAST_DOCS = 3
+MAX_LANGUAGES = 1000
 HELD_OUT = 2
 CODE_BITS = 21
 EDGE = 0x20
@@ -105,15 +106,20 @@ def learn_profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Counts come from about ``docs_per_language`` documents of each language, the documented
     bound of the sample, chosen by a hash of the id. Languages with fewer than ``least_docs``
-    documents are not learnt. Returns ``size`` numbers a language to the driver.
+    documents, and all but the ``MAX_LANGUAGES`` most common, are not learnt. Returns ``size``
+    numbers a language to the driver.
     """
     rows = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()) \
         .select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                 F.col(lang_col).cast("string").alias("lang"))
-    shares = rows.groupBy("lang").agg(F.count("*").alias("docs")).where(F.col("docs") >= least_docs) \
-        .select("lang", (docs_per_language / F.col("docs")).alias("share"))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("docs")).where(F.col("docs") >= least_docs) \
+        .orderBy(F.desc("docs"), "lang").limit(MAX_LANGUAGES).collect()
+    if not sizes:
+        return Profiles({}, size)
+    # A look-up instead of a join, which would move every text to its language's task.
+    share = F.create_map(*[F.lit(x) for row in sizes for x in (row["lang"], docs_per_language / row["docs"])])
     chance = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / (1 << 20)
-    sample = rows.join(shares, "lang").where(chance < F.col("share")).select("lang", "text")
+    sample = rows.where(chance < F.coalesce(F.try_element_at(share, F.col("lang")), F.lit(0.0))).select("lang", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
