@@ -264,9 +264,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     share = F.when(F.col("toxic") == 1, docs_per_class / toxic).otherwise(docs_per_class / clean)
     chosen = marked.where(F.col("toxic").isin(0, 1) & (chance < share))
     # About two times docs_per_class ids, however many documents and labels there are.
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))\
-        .join(F.broadcast(chosen), "id").groupBy("toxic", F.xxhash64("text").alias("same")).agg(F.min("text").alias("text")).select("toxic", "text")
-    sample = stored(sample, "labelled-texts")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    once = texts.join(F.broadcast(chosen), "id").groupBy("toxic", F.xxhash64("text").alias("same"))
+    sample = stored(once.agg(F.min("text").alias("text")).select("toxic", "text"), "labelled-texts")
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
