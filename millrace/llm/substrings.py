@@ -15,6 +15,7 @@ from millrace.llm.storage import stored
 
 WINDOW = 35
 GROUP_BYTES = 1 << 21
+WINDOWS_AT_ONCE = 1 << 16
 # A stretch of windows as one number: the first window times STRETCH plus how many.
 STRETCH = 1 << 16
 ANCHOR_FIELDS = "key long, content long, id long, mark int, first int, count int"
@@ -67,20 +68,31 @@ def anchors(rows: DataFrame, window: int) -> DataFrame:
 def single_windows(texts: DataFrame, window: int) -> DataFrame:
     """(key, print, id, mark, first, times): every window of the wanted stretches of each text."""
 
+    names = ["key", "print", "id", "mark", "first", "times"]
+
+    def windows(key: int, mark: int, text: str, wanted: pa.StructArray) -> tuple[np.ndarray, ...]:
+        words = word_fingerprints(text.encode())
+        anchor, first, count, times = (np.asarray(wanted.field(name)) for name in ("key", "first", "count", "times"))
+        at = np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        prints = window_fingerprints(words, at, window).view(np.int64)
+        return (np.repeat(anchor, count), prints, np.full(len(at), key, np.int64), np.full(len(at), mark, np.int32),
+                at.astype(np.int32), np.repeat(times, count))
+
+    def joined(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(column)) for column in zip(*parts)], names)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            parts, size = [], 0
             for row in range(batch.num_rows):
-                words = word_fingerprints(batch.column("text")[row].as_py().encode())
-                wanted = batch.column("wanted")[row].values
-                key, first, count, times = (np.asarray(wanted.field(name)) for name in ("key", "first", "count", "times"))
-                at = np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                prints = window_fingerprints(words, at, window).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(key, count)), pa.array(prints),
-                     pa.array(np.full(len(at), batch.column("id")[row].as_py(), np.int64)),
-                     pa.array(np.full(len(at), batch.column("mark")[row].as_py(), np.int32)),
-                     pa.array(at.astype(np.int32)), pa.array(np.repeat(times, count))],
-                    ["key", "print", "id", "mark", "first", "times"])
+                key, mark, text = (batch.column(name)[row].as_py() for name in ("id", "mark", "text"))
+                parts.append(windows(key, mark, text, batch.column("wanted")[row].values))
+                size += len(parts[-1][0])
+                if size >= WINDOWS_AT_ONCE:
+                    yield joined(parts)
+                    parts, size = [], 0
+            if parts:
+                yield joined(parts)
 
     return texts.select("id", "mark", "text", "wanted") \
         .mapInArrow(work, "key long, print long, id long, mark int, first int, times long")
