@@ -13,12 +13,12 @@ MAX_ROUNDS = 64
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable from each node of ``edges`` (a, b: long).
 
-    Alternates the large-star and small-star steps, each a partial aggregate and a join
-    (whose small side is written first, so that the join may split the rows of a node with
-    very many edges), until the edges no longer change; every component is then a star around its smallest
-    node. Nodes without an edge to another one, and edges with a null end, do not appear.
-    The rounds grow with the logarithm of the longest path; running out of them is an
-    error, never a partial result. The driver sees two numbers a round.
+    Alternates the large-star and small-star steps until the edges no longer change; every
+    component is then a star around its smallest node. A step is a partial aggregate and a
+    join, whose small side is written first, so that the join may split the rows of a node
+    with very many edges. Nodes without an edge to another one, and edges with a null end, do
+    not appear. The rounds grow with the logarithm of the longest path; running out of them
+    is an error, never a partial result. The driver sees two numbers a round.
     """
     current = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                      .distinct(), "edges")

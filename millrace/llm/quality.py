@@ -117,7 +117,7 @@ def views(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
 
     found = rows.mapInArrow(work, "id long, held_out boolean, text_x array<double>, meta_x array<double>")
     return found.join(marked, "id", "left") \
-        .withColumn("label", F.when(~F.col("held_out"), F.col("label"))).select("id", "held_out", "label", "text_x", "meta_x")
+        .select("id", "held_out", F.when(~F.col("held_out"), F.col("label")).alias("label"), "text_x", "meta_x")
 
 
 def _taught(table: DataFrame, teacher: View, column: str, used: set, count: int) -> list:

@@ -283,8 +283,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     used = {row["toxic"]: row["count"] for row in sample.groupBy("toxic").count().collect()}
     bad_docs, good_docs = used.get(1, 0), used.get(0, 0)
     ratio = ((F.col("bad") + 0.5) / (bad_docs + 1)) / ((F.col("good") + 0.5) / (good_docs + 1))
-    terms = met.where((F.col("bad") >= max(LEAST_DOCS, LEAST_SHARE * bad_docs)) & (ratio >= LEAST_RATIO)).orderBy(F.desc("bad"), "word") \
-        .limit(MAX_TERMS)
+    often = F.col("bad") >= max(LEAST_DOCS, LEAST_SHARE * bad_docs)
+    terms = met.where(often & (ratio >= LEAST_RATIO)).orderBy(F.desc("bad"), "word").limit(MAX_TERMS)
     model = ToxicityModel(sorted(row["word"] for row in terms.select("word").collect()))
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
