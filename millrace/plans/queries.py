@@ -275,4 +275,5 @@ QUERIES = {query.__name__: query for query in (
     file_invoice_flatten, topic_invoice_flatten, loyalty_notifications, items_roundtrip,
     customer_rewards, rewards_from_items_topic, rewards_messages, rewards_changelog,
     restart_exactly_once, last_login_join, last_login_upsert, impression_click_join, word_count,
-    word_count_snapshots, trade_windows, trade_windows_changelog, json_decode, parse_timestamp, conditional_columns, prime_filter)}
+    word_count_snapshots, trade_windows, trade_windows_changelog, json_decode, parse_timestamp,
+    conditional_columns, prime_filter)}

@@ -58,8 +58,9 @@ def test_every_login_of_a_hot_user(skew_session, tmp_path):
 def test_every_login_of_a_hot_user_in_a_micro_batch(skew_session, tmp_path):
     messages = skew_session.range(60000).selectExpr(
         "cast(null as binary) as key",
-        """cast(to_json(named_struct('created_time', date_format(timestamp_seconds(id * 7919), 'yyyy-MM-dd HH:mm:ss'), 'login_id',
-             if(id % 3 = 0, 'hot', cast(id as string)))) as binary) as value""")
+        """cast(to_json(named_struct(
+             'created_time', date_format(timestamp_seconds(id * 7919), 'yyyy-MM-dd HH:mm:ss'),
+             'login_id', if(id % 3 = 0, 'hot', cast(id as string)))) as binary) as value""")
     topics = Topics(folder=str(tmp_path / "topics"))
     topics.publish(messages.repartition(8), "logins")
     users = skew_session.range(60000).selectExpr("cast(id as string) as login_id", "'name' as user_name",
