@@ -27,7 +27,7 @@ PIECE = 1 << 20
 
 def _letters() -> np.ndarray:
     table = np.zeros(0x110000, bool)
-    for code in range(0x30000):
+    for code in range(0x32400):
         table[code] = unicodedata.category(chr(code))[0] == "L"
     return table
 
