@@ -24,43 +24,53 @@ TOKENIZER = "word_bpe_49k.json"
 
 
 def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of every document: four-word shingles, at most four differing bits."""
     return simhash_groups(table(spark, folder, "documents"))
 
 
 def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document."""
     return quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
 def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words of every document lie in repeated windows of 35, and a digest of the others."""
     return repeats_removed(table(spark, folder, "documents")) \
         .select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
 def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases and labels of every document."""
     return license_scan(table(spark, folder, "documents")).drop("spans")
 
 
 def op5_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and component of every vector at a cosine of 0.95."""
     return near_duplicate_vectors(table(spark, folder, "embeddings"))
 
 
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The row that stays for every document."""
     return exact_groups(table(spark, folder, "documents"))
 
 
 def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """The place of every document's tokens in sequences of 4096."""
     return packed(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
 
 
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document."""
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels")).drop("hits")
 
 
 def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of every document's ids and of the text they decode to."""
     return round_trip_digests(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
 
 
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Predicted language of every document."""
     return languages(table(spark, folder, "documents"))
 
 

@@ -6,6 +6,7 @@ from pathlib import Path
 
 import public_tokenizers
 from llm_helpers import collected, workers_find_the_package, SMALL  # noqa: F401
+from oracle_check import connect, sql_rows
 from pyspark.sql import functions as F
 from test_bpe_and_packing import check_packing
 from test_exact_dedup import plain as plain_exact
@@ -55,6 +56,5 @@ def test_every_query_covers_its_table(spark):
 
 
 def test_sql_gives_the_same_groups(spark):
-    from tests.oracle_check import connect, sql_rows
     names, want = sql_rows(connect(SMALL), oracle_sql()["op6_exact_dedup"])
     assert collected(queries()["op6_exact_dedup"](spark, SMALL).select(names)) == want
