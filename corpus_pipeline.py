@@ -9,7 +9,7 @@ from millrace.llm.exact_dedup import without_copies
 from millrace.llm.langid import identified
 from millrace.llm.packing import packed
 from millrace.llm.simhash import without_near_copies
-from millrace.llm.storage import stored, table
+from millrace.llm.storage import dropped, stored, table
 from millrace.llm.substrings import without_repeats
 
 TOKENIZER = "word_bpe_49k.json"
@@ -53,8 +53,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order, each but the last written and read again."""
+    """All stages in order, each but the last written and read again; a table goes once the next one is there."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), "pipeline")
+    for number, (_, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, stored(stage(spark, docs, sf_dir), "pipeline")
+        if number:
+            dropped(before)
     return STAGES[-1][1](spark, docs, sf_dir)

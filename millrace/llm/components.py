@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.storage import stored
+from millrace.llm.storage import dropped, stored
 
 MAX_ROUNDS = 64
 
@@ -24,7 +24,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
                      .distinct(), "edges")
     seen = _fingerprint(current)
     for _ in range(MAX_ROUNDS):
-        current = stored(_small_star(_large_star(current)), "edges")
+        large, least_of_all = _large_star(current)
+        small, least_of_smaller = _small_star(large)
+        before, current = current, stored(small, "edges")
+        dropped(before, least_of_all, least_of_smaller)
         now = _fingerprint(current)
         if now == seen:
             stars = current.select(F.col("a").alias("node"), F.col("b").alias("component"))
@@ -37,15 +40,16 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node is tied to the smallest node around it."""
+def _large_star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every larger neighbour of a node is tied to the smallest node around it; and the table of those."""
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    tied = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return tied.distinct(), least
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    """Every smaller neighbour of a node, and the node, are tied to the smallest of them."""
+def _small_star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every smaller neighbour of a node, and the node, are tied to the smallest of them; and the table of those."""
     least = stored(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
     others = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return others.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+    return others.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), least

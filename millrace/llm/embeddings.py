@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from millrace.llm.components import connected_components
 from millrace.llm.covertree import (MATRIX_ROWS, Links, Tree, build, distances, dual_traversal,
                                     roots)
-from millrace.llm.storage import stored
+from millrace.llm.storage import dropped, stored
 
 LEAST_COSINE = 0.95
 TILE = 8192
@@ -215,6 +215,7 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
         pairs = pairs.join(grown.withColumnsRenamed(names), [side, f"tile_{side}"])
     met = pairs.repartition("a", "tile_a", "b", "tile_b")
     found = stored(links_of_pairs(met, least_cosine, reach), "vector-links")
+    dropped(placed, grown)
 
     counted = found.groupBy("id").agg(F.sum("n_links").alias("n_links"))
     stars = connected_components(found.select(F.col("id").alias("a"), F.col("other").alias("b")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 from pathlib import Path
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +33,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
             spark.conf.unset(SHUFFLE_CLEANUP)
         else:
             spark.conf.set(SHUFFLE_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _paths[table] = path
+    return table
+
+
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables made by ``stored`` that nothing reads any more, as what came of them is stored itself."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(_paths.pop(table))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

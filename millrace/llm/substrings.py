@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.recompression import anchored_windows, window_fingerprints, word_fingerprints
-from millrace.llm.storage import stored
+from millrace.llm.storage import dropped, stored
 
 WINDOW = 35
 GROUP_BYTES = 1 << 21
@@ -111,6 +111,7 @@ def repeated_stretches(docs: DataFrame, id_col: str, text_col: str, window: int)
     # Written, so that the join shuffles both sides by itself and may split a hot key's rows.
     shared = stored(every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared-keys")
     suspects = stored(every.join(shared, "key"), "shared-anchors")
+    dropped(every, shared)
 
     contents = stored(suspects.groupBy("key", "content").agg(
         F.count("*").alias("times"), F.min(F.struct("id", "mark", "first", "count")).alias("one")), "contents")
@@ -128,8 +129,10 @@ def repeated_stretches(docs: DataFrame, id_col: str, text_col: str, window: int)
         .select("id", "mark", "first", F.lit(1).alias("count"))
 
     stretch = F.col("first").cast("long") * STRETCH + F.col("count")
-    return stored(whole.unionByName(parts).groupBy("id", "mark").agg(F.collect_list(stretch).alias("stretches")),
-                  "stretches")
+    found = stored(whole.unionByName(parts).groupBy("id", "mark").agg(F.collect_list(stretch).alias("stretches")),
+                   "stretches")
+    dropped(suspects, contents, unsettled, windows, common)
+    return found
 
 
 def cut(text: str | None, stretches: np.ndarray | None, window: int) -> tuple[str, int, int]:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.langid import held_out
-from millrace.llm.storage import stored
+from millrace.llm.storage import dropped, stored
 
 WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 QUOTES = re.compile("[\"“”„«»]")
@@ -307,6 +307,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if rows:
         features = np.repeat(np.array([row["features"] for row in rows]), [row["n"] for row in rows], axis=0)
         model.weights = fit_weights(features, np.repeat([row["toxic"] for row in rows], [row["n"] for row in rows]))
+    dropped(sample)
     return model
 
 
