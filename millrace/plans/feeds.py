@@ -17,7 +17,8 @@ from millrace.functions.codecs import encode_json, message
 from millrace.functions.times import format_time
 from millrace.plans import apps
 from millrace.schemas import INVOICE, USER
-from millrace.session import content_identity, engine_session, folder_size, scratch_dir
+from millrace.session import (BYTES_PER_SHUFFLE_PARTITION, content_identity, engine_session, folder_size,
+                              scratch_dir)
 from millrace.sources.tables import FileTable
 from millrace.sources.topics import Topics
 from millrace.streaming.runner import drain
@@ -25,6 +26,7 @@ from millrace.streaming.runner import drain
 # Orders before this day are one writer's messages, the others another's.
 FIRST_PART_ENDS = "1998-01-01"
 EARLY, LATE = "early", "late"
+LEAST_PARTITIONS = 8
 SALES, OTHERS = "sales", "others"
 
 _published: dict[tuple, str] = {}
@@ -41,7 +43,9 @@ class Tables:
     @classmethod
     def of(cls, spark: SparkSession, folder: str) -> Tables:
         size, _ = folder_size(spark, folder)
-        return cls(engine_session(spark, input_bytes=size), folder)
+        # The checkpoints of these queries end with them, so the tables' size may set their partitions.
+        partitions = max(LEAST_PARTITIONS, -(-size // BYTES_PER_SHUFFLE_PARTITION))
+        return cls(engine_session(spark, input_bytes=size, state_partitions=partitions), folder)
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")

@@ -32,9 +32,12 @@ def app_session(name: str, shuffle_partitions: int | None = None, master: str |
     return builder.getOrCreate()
 
 
-def engine_session(spark: SparkSession, input_bytes: int = 0, **settings: str) -> SparkSession:
+def engine_session(spark: SparkSession, input_bytes: int = 0, state_partitions: int | None = None,
+                   **settings: str) -> SparkSession:
     """A session on the same cluster, with the caller's settings and the engine's own.
 
+    ``state_partitions`` counts where the caller has configured none.
+
     Kept apart from the caller's session because the time zone and the state settings
     must hold for these dataflows and for nothing else.
     """
@@ -50,7 +53,9 @@ def engine_session(spark: SparkSession, input_bytes: int = 0, **settings: str) -
     # Counting the rows of a store costs a lookup per write.
     _default(session, "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "false")
 
-    # State partitions are Spark's configured number, as a checkpoint fixes them for good.
+    # State partitions are the configured number, as a checkpoint fixes them for good.
+    if state_partitions:
+        _default(session, "spark.sql.shuffle.partitions", str(state_partitions))
     # Batch shuffles start from the input size and are coalesced at run time.
     wanted = -(-input_bytes // BYTES_PER_SHUFFLE_PARTITION)
     partitions = max(int(session.conf.get("spark.sql.shuffle.partitions")), wanted)
