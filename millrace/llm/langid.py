@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.storage import unused_name
+from millrace.llm.storage import small_batches, unused_name
 
 UNKNOWN = "und"
 GRAMS = (1, 2, 3)
@@ -109,6 +109,7 @@ def learn_profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     documents, and all but the ``MAX_LANGUAGES`` most common, are not learnt. Returns ``size``
     numbers a language to the driver.
     """
+    small_batches(docs.sparkSession)
     rows = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()) \
         .select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                 F.col(lang_col).cast("string").alias("lang"))

@@ -16,6 +16,16 @@ from millrace.session import scratch_dir
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ROWS_PER_BATCH = "1000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python in batches of a few MB, unless the session says how many rows to send."""
+    if spark.conf.get(ARROW_ROWS, None) is None:
+        spark.conf.set(ARROW_ROWS, ROWS_PER_BATCH)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet in the cluster's shared folder and read again.
 
@@ -23,6 +33,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     shuffle files of the write are dropped with its end.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = scratch_dir(spark, f"llm-{label}")
     before = spark.conf.get(SHUFFLE_CLEANUP, None)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
@@ -50,6 +61,7 @@ def dropped(*tables: DataFrame) -> None:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    small_batches(spark)
     if spark.sparkContext.master.startswith("local"):
         # Local workers find this package where the driver did; a cluster ships it with --py-files.
         spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
