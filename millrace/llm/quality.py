@@ -13,14 +13,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.langid import held_out
-from millrace.llm.storage import stored
+from millrace.llm.storage import dropped, stored
 
 THRESHOLD = 0.5
 SEED_DOCS = 20_000
 ROUNDS = 3
-TAUGHT = 200
+CONFIDENCE = 0.95
 TAUGHT_WEIGHT = 0.3
 PULL = 1.0
+EXCHANGE = (("text_x", "meta_x"), ("meta_x", "text_x"))
 BUCKETS = 32
 SYMBOLS = re.compile(r"[^\w\s.,;:'’\"()\-]")
 
@@ -71,21 +72,29 @@ class View:
     weights: np.ndarray
 
     @classmethod
-    def fit(cls, x: np.ndarray, y: np.ndarray, sure: np.ndarray, steps: int = 30) -> View:
+    def fit(cls, x: np.ndarray, y: np.ndarray, steps: int = 30) -> View:
         mean, scale = x.mean(axis=0), x.std(axis=0)
-        scale = np.where(scale > 1e-9, scale, 1.0)
-        design = np.column_stack([np.ones(len(x)), (x - mean) / scale])
-        pull = np.full(design.shape[1], PULL)
-        pull[0] = 1e-3
-        w = np.zeros(design.shape[1])
+        view = cls(mean, np.where(scale > 1e-9, scale, 1.0), np.zeros(x.shape[1] + 1))
         for _ in range(steps):
-            p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-            gradient = design.T @ (sure * (p - y)) + pull * w
-            step = np.linalg.solve((design.T * (sure * p * (1 - p))) @ design + np.diag(pull), gradient)
-            w -= np.clip(step, -4, 4)
-            if np.abs(step).max() < 1e-7:
+            if view.step(view.newton(x, y)) < 1e-7:
                 break
-        return cls(mean, scale, w)
+        return view
+
+    def newton(self, x: np.ndarray, y: np.ndarray | int) -> np.ndarray:
+        """How many rows, and the gradient and Hessian of their loss: one array, to be added up over rows."""
+        design = np.column_stack([np.ones(len(x)), (x - self.mean) / self.scale])
+        p = 1 / (1 + np.exp(-np.clip(design @ self.weights, -30, 30)))
+        return np.concatenate([[len(x)], design.T @ (p - y), ((design.T * (p * (1 - p))) @ design).ravel()])
+
+    def step(self, sums: np.ndarray) -> float:
+        """Moves the weights by one Newton step from the sums over all rows; the step's largest part."""
+        width = len(self.weights)
+        pull = np.full(width, PULL)
+        pull[0] = 1e-3
+        gradient = sums[1:width + 1] + pull * self.weights
+        step = np.linalg.solve(sums[width + 1:].reshape(width, width) + np.diag(pull), gradient)
+        self.weights = self.weights - np.clip(step, -4, 4)
+        return float(np.abs(step).max())
 
     def logits(self, x: np.ndarray) -> np.ndarray:
         return np.clip(self.weights[0] + (x - self.mean) / self.scale @ self.weights[1:], -30, 30)
@@ -98,13 +107,14 @@ def matrix(column: pa.Array) -> np.ndarray:
 
 
 def views(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """(id, held_out, label, text_x, meta_x); the label only where it may be learnt from."""
+    """(id, held_out, label, same, text_x, meta_x); the label only where it may be learnt from, same for equal texts."""
     marked = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()) \
         .groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
     own = {name: F.col(name) if name in docs.columns else F.lit(None) for name in ("source", "lang", "n_chars")}
     rows = docs.select(F.col(id_col).cast("long").alias("id"), held_out(id_col).alias("held_out"),
                        F.col(text_col).cast("string").alias("text"), own["source"].cast("string").alias("source"),
-                       own["lang"].cast("string").alias("lang"), own["n_chars"].try_cast("long").alias("n_chars"))
+                       own["lang"].cast("string").alias("lang"), own["n_chars"].try_cast("long").alias("n_chars")) \
+        .withColumn("same", F.xxhash64("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,40 +122,68 @@ def views(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
             meta = zip(*(batch.column(c).to_pylist() for c in ("source", "lang", "n_chars")))
             kind = pa.list_(pa.float64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("held_out"), pa.array(text_x, kind),
-                 pa.array([metadata_features(*m) for m in meta], kind)], ["id", "held_out", "text_x", "meta_x"])
+                [batch.column("id"), batch.column("held_out"), batch.column("same"), pa.array(text_x, kind),
+                 pa.array([metadata_features(*m) for m in meta], kind)],
+                ["id", "held_out", "same", "text_x", "meta_x"])
 
-    found = rows.mapInArrow(work, "id long, held_out boolean, text_x array<double>, meta_x array<double>")
+    found = rows.mapInArrow(work, "id long, held_out boolean, same long, text_x array<double>, meta_x array<double>")
     return found.join(marked, "id", "left") \
-        .select("id", "held_out", F.when(~F.col("held_out"), F.col("label")).alias("label"), "text_x", "meta_x")
+        .select("id", "held_out", F.when(~F.col("held_out"), F.col("label")).alias("label"), "same", "text_x", "meta_x")
 
 
-def _taught(table: DataFrame, teacher: View, column: str, used: set, count: int) -> list:
-    """The ``count`` unlabelled rows that the teacher is surest of, for either label."""
+def _taught(pool: DataFrame, teachers: dict[str, View], sureness: dict[str, View],
+            train: dict[str, tuple[np.ndarray, np.ndarray]], confidence: float, steps: int = 30) -> dict[str, View]:
+    """Each view fitted to its seed rows and to all rows of the pool that the other view is sure of.
+
+    Newton's method: tasks sum gradients and Hessians over the pool, a row a task comes back.
+    The taught rows of a label weigh ``TAUGHT_WEIGHT`` each, all of them at most what the seed
+    rows of the label do, so that a large pool does not drown the given labels.
+    """
+    pupils = {c: View(view.mean, view.scale, view.weights.copy()) for c, view in teachers.items()}
+    bar = float(np.log(confidence / (1 - confidence)))
+    sizes = {c: 1 + len(view.weights) * (1 + len(view.weights)) for c, view in pupils.items()}
+    shift = sum(sizes.values())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = {c: np.zeros((2, size)) for c, size in sizes.items()}
         for batch in batches:
-            logits = pa.array(teacher.logits(matrix(batch.column(column))) if batch.num_rows else [], pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), logits], ["id", "logit"])
-
-    pool = table.where(F.col("label").isNull() & ~F.col("held_out") & F.col("id").isNotNull())
-    scored = pool.select("id", column).mapInArrow(work, "id long, logit double")
-    sure = []
-    for label, order in ((1, F.desc("logit")), (0, F.asc("logit"))):
-        found = scored.orderBy(order, "id").limit(count + len(used)).collect()
-        right = [row["id"] for row in found if row["id"] not in used and (row["logit"] > 0) == bool(label)]
-        sure += [(key, label) for key in dict.fromkeys(right)][:count]
-    return sure
+            if not batch.num_rows:
+                continue
+            x = {c: matrix(batch.column(c)) for c in pupils}
+            for teacher, pupil in EXCHANGE:
+                logits = sureness[teacher].logits(teachers[teacher].logits(x[teacher])[:, None])
+                for label, sure in enumerate((logits <= -bar, logits >= bar)):
+                    if sure.any():
+                        total[pupil][label] += pupils[pupil].newton(x[pupil][sure], label)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([np.concatenate([total[c] for c in sizes], axis=1).tobytes()], pa.binary())], ["sums"])
+
+    for _ in range(steps):
+        found = np.zeros((2, shift))
+        for row in pool.select(*pupils).mapInArrow(work, "sums binary").collect():
+            found += np.frombuffer(row["sums"], float).reshape(2, shift)
+        largest, at = 0.0, 0
+        for c, view in pupils.items():
+            x, y = train[c]
+            sums = view.newton(x, y)
+            for label, taught in enumerate(found[:, at:at + sizes[c]]):
+                sums += min(TAUGHT_WEIGHT, (y == label).sum() / max(1.0, taught[0])) * taught
+            at += sizes[c]
+            largest = max(largest, view.step(sums))
+        if largest < 1e-5:
+            break
+    return pupils
 
 
 def co_train(table: DataFrame, rounds: int = ROUNDS, seed_docs: int = SEED_DOCS,
-             taught: int = TAUGHT) -> tuple[View, View, np.ndarray] | None:
+             confidence: float = CONFIDENCE) -> tuple[View, View, View] | None:
     """Both views and the weights that combine their logits; None unless both labels are known.
 
     The seed is bounded: about ``seed_docs`` labelled rows chosen by a hash of the id; every
     fifth calibrates and combines the views, the others train them. In each round either view
-    scores all unlabelled rows and hands the ``taught`` it is surest of, for each label, to the
-    other view's training rows, where they weigh less than given labels.
+    scores all unlabelled rows, those with equal text and metadata once, and hands every one whose
+    calibrated probability of a label is at least ``confidence`` to the other view, which is
+    fitted anew to its seed rows and these. A view that is sure of nothing hands nothing over.
     """
     known = table.where("label is not null")
     size = known.count()
@@ -158,25 +196,18 @@ def co_train(table: DataFrame, rounds: int = ROUNDS, seed_docs: int = SEED_DOCS,
     kept = np.array([zlib.crc32(str(row["id"]).encode()) // 4 % 5 == 0 for row in seed])
     if any(len(set(labels[part].tolist())) < 2 for part in (kept, ~kept)):
         kept[:] = False
-    train = {c: [data[c][~kept], labels[~kept], np.ones(int((~kept).sum()))] for c in data}
-    used: dict[str, set] = {"text_x": set(), "meta_x": set()}
-    for turn in range(rounds + 1):
-        fitted = {c: View.fit(*train[c]) for c in train}
-        if turn == rounds:
-            break
-        for teacher, pupil in (("text_x", "meta_x"), ("meta_x", "text_x")):
-            handed = dict(_taught(table, fitted[teacher], teacher, used[pupil], taught))
-            if not handed:
-                continue
-            used[pupil] |= set(handed)
-            rows = table.where(F.col("id").isin(*handed)).select("id", pupil).dropDuplicates(["id"]).orderBy("id").collect()
-            x, y, sure = train[pupil]
-            train[pupil] = [np.concatenate([x, [row[pupil] for row in rows]]),
-                            np.concatenate([y, [handed[row["id"]] for row in rows]]),
-                            np.concatenate([sure, np.full(len(rows), TAUGHT_WEIGHT)])]
     part = kept if kept.any() else ~kept
+    train = {c: (data[c][~kept], labels[~kept]) for c in data}
+    fitted = {c: View.fit(*train[c]) for c in train}
+    # Copies tell no more than one of them, however many there are.
+    unlabelled = table.where(F.col("label").isNull() & ~F.col("held_out") & F.col("id").isNotNull())
+    pool = stored(unlabelled.select("same", "text_x", "meta_x").distinct(), "quality-pool")
+    for _ in range(rounds):
+        sureness = {c: View.fit(view.logits(data[c][part])[:, None], labels[part]) for c, view in fitted.items()}
+        fitted = _taught(pool, fitted, sureness, train, confidence)
+    dropped(pool)
     logits = np.column_stack([fitted[c].logits(data[c][part]) for c in ("text_x", "meta_x")])
-    return fitted["text_x"], fitted["meta_x"], View.fit(logits, labels[part], np.ones(len(logits)))
+    return fitted["text_x"], fitted["meta_x"], View.fit(logits, labels[part])
 
 
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
