@@ -13,10 +13,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.langid import held_out
+from millrace.llm.simhash import simhash_groups
 from millrace.llm.storage import dropped, stored
 
 WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
@@ -29,10 +30,10 @@ WINDOW = 6
 FEATURES = 5
 THRESHOLD = 0.3
 DOCS_PER_CLASS = 10_000
-LEAST_DOCS = 4
-LEAST_SHARE = 0.01
+LEAST_DOCS = 3
+# Chance gives a word this log-likelihood once in ten thousand times.
+LEAST_LIKELIHOOD = 15.13
 LEAST_RATIO = 20.0
-MAX_TERMS = 5_000
 MAX_STATES = 200_000
 MAX_WORDS = 400_000
 LONGEST_WORD = 64
@@ -234,15 +235,13 @@ def fit_weights(features: np.ndarray, labels: np.ndarray, pull: float = 1.0, ste
     return w
 
 
-def first_places(text: str) -> dict[str, str]:
-    """Each word of a text with the words around its first place."""
-    words = WORD.findall(text)
-    around = ["", *words, ""]
-    found: dict[str, str] = {}
-    for i, word in enumerate(words):
-        if word not in found and len(word) <= LONGEST_WORD:
-            found[word] = f"{around[i]} {around[i + 2]}"
-    return found
+def log_likelihood(bad: Column, good: Column, bad_docs: int, good_docs: int) -> Column:
+    """G squared of a word's documents by label against no connection of the two (one degree of freedom)."""
+    every, met = float(bad_docs + good_docs), bad + good
+    cells = ((bad, met * bad_docs), (good, met * good_docs),
+             (bad_docs - bad, (every - met) * bad_docs), (good_docs - good, (every - met) * good_docs))
+    return 2 * sum(F.when(seen > 0, seen * F.log(seen * every / F.nullif(expected, F.lit(0.0)))).otherwise(0.0)
+                   for seen, expected in cells)
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -250,9 +249,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """A model from the labelled rows that are not held out.
 
     The sample is bounded: about ``docs_per_class`` documents of each label, chosen by a hash
-    of the id, equal texts once. The lexicon holds the words that are found in at least
-    ``LEAST_DOCS`` and ``LEAST_SHARE`` of the toxic documents and ``LEAST_RATIO`` times as
-    often as in others, in contexts of their own, at most ``MAX_TERMS`` of them.
+    of the id, equal texts once. The lexicon holds all words that are found in at least
+    ``LEAST_DOCS`` toxic documents, ``LEAST_RATIO`` times as often as in others, where chance
+    would hardly do that (``LEAST_LIKELIHOOD``). Documents count on both sides, near copies as one.
     """
     marked = labels.where(F.col(label_col).isNotNull() & ~held_out(id_col)) \
         .groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("toxic"))
@@ -266,25 +265,30 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # About two times docs_per_class ids, however many documents and labels there are.
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     once = texts.join(F.broadcast(chosen), "id").groupBy("toxic", F.xxhash64("text").alias("same"))
-    sample = stored(once.agg(F.min("text").alias("text")).select("toxic", "text"), "labelled-texts")
+    sample = stored(once.agg(F.min("text").alias("text")), "labelled-texts")
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for label, text in zip(batch.column("toxic").to_pylist(), batch.column("text")):
-                found = first_places((text.as_py() or "").lower())
+            columns = (batch.column(name).to_pylist() for name in ("toxic", "family"))
+            for label, family, text in zip(*columns, batch.column("text")):
+                found = {w for w in WORD.findall((text.as_py() or "").lower()) if len(w) <= LONGEST_WORD}
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.string()),
-                     pa.array([label] * len(found), pa.int32())], ["word", "context", "toxic"])
+                    [pa.array(found, pa.string()), pa.array([family] * len(found), pa.int64()),
+                     pa.array([label] * len(found), pa.int32())], ["word", "family", "toxic"])
 
-    # Copies share a word's context, which thus counts once for all of them.
-    met = sample.mapInArrow(words, "word string, context string, toxic int") \
-        .groupBy("word", F.xxhash64("context").alias("context")).agg(F.max("toxic").alias("toxic")) \
+    # Near copies, as op1 finds them, count once a label.
+    distinct = sample.select("same", "text").dropDuplicates(["same"])
+    families = simhash_groups(distinct, "same").select("same", F.col("component_id").alias("family"))
+    grouped = stored(sample.join(families, "same").select("toxic", "family", "text"), "labelled-families")
+    dropped(sample)
+    sample = grouped
+    met = sample.mapInArrow(words, "word string, family long, toxic int").distinct() \
         .groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
-    used = {row["toxic"]: row["count"] for row in sample.groupBy("toxic").count().collect()}
+    used = {row["toxic"]: row["n"] for row in sample.groupBy("toxic").agg(F.countDistinct("family").alias("n")).collect()}
     bad_docs, good_docs = used.get(1, 0), used.get(0, 0)
     ratio = ((F.col("bad") + 0.5) / (bad_docs + 1)) / ((F.col("good") + 0.5) / (good_docs + 1))
-    often = F.col("bad") >= max(LEAST_DOCS, LEAST_SHARE * bad_docs)
-    terms = met.where(often & (ratio >= LEAST_RATIO)).orderBy(F.desc("bad"), "word").limit(MAX_TERMS)
+    sure = log_likelihood(F.col("bad"), F.col("good"), bad_docs, good_docs) >= LEAST_LIKELIHOOD
+    terms = met.where((F.col("bad") >= LEAST_DOCS) & (ratio >= LEAST_RATIO) & sure)
     model = ToxicityModel(sorted(row["word"] for row in terms.select("word").collect()))
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

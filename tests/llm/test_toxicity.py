@@ -6,7 +6,7 @@ import pytest
 from llm_helpers import documents, workers_find_the_package, SMALL  # noqa: F401
 from pyspark.sql import functions as F
 
-from millrace.llm.toxicity import LexiconAutomaton, ToxicityModel, allowed_edits, fit_weights, toxicity
+from millrace.llm.toxicity import LexiconAutomaton, ToxicityModel, allowed_edits, fit_weights, learn, toxicity
 
 TERMS = ["idiot", "stupid", "worthless", "scum", "stupidity", "idol"]
 
@@ -86,3 +86,26 @@ def test_edges(spark, documents):
     one_kind = labels.withColumn("toxic", F.lit(0))
     assert all(row["predicted"] == 0 for row in toxicity(documents(table), one_kind).collect())
     assert toxicity(documents([]), labels).count() == 0
+
+
+def test_rare_terms_of_a_large_sample_are_learnt(spark):
+    """Nine of 1200 toxic texts, always in one phrase; near copies of one text teach nothing."""
+    rnd = random.Random(3)
+    plain = ["".join(rnd.choices("abcdefghij", k=6)) for _ in range(400)]
+    rows, marks = [], []
+    for i in range(3600):
+        words = rnd.choices(plain, k=40)
+        if i % 3 == 0:
+            words.insert(20, "moron")
+        if i % 400 == 0:
+            words[5:5] = ["what", "a", "zorkulon", "here"]
+        rows.append((i, " ".join(words)))
+        marks.append((i, int(i % 3 == 0 or i % 400 == 0)))
+    long = rnd.choices(plain, k=300) + ["copiedword"]
+    for i in range(5000, 5012):
+        rows.append((i, " ".join([*long, f"end{i}"])))
+        marks.append((i, 1))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    terms = learn(docs, labels).terms
+    assert "moron" in terms and "zorkulon" in terms and "copiedword" not in terms
