@@ -164,9 +164,16 @@ def languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
 
 def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` in which a language was found; texts that are null or have no letter go."""
+    """The rows of ``docs`` that a language can be told of; texts that are null or have no letter go, learnt language or not."""
     profiles = learn_profiles(docs, id_col, text_col, lang_col)
     found, row = unused_name(), unused_name()
     whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+
+    @F.pandas_udf("boolean")
+    def lettered(texts: pd.Series) -> pd.Series:
+        return pd.Series([t is not None and bool((letter_codes(t) != EDGE).any()) for t in texts], dtype=bool)
+
+    if not profiles.languages:
+        return docs.where(lettered(F.col(text_col).cast("string")))
     return docs.select(whole.alias(row), language(profiles, F.col(text_col)).alias(found)) \
         .where(F.col(found).getField("lang_pred") != UNKNOWN).select(f"{row}.*")

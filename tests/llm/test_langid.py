@@ -57,3 +57,9 @@ def test_edges(spark, documents):
     none = documents(table).withColumn("lang", F.lit(None).cast("string"))
     assert {row["lang_pred"] for row in languages(none).collect()} == {UNKNOWN}
     assert languages(documents([]).withColumn("lang", F.lit("en"))).count() == 0
+
+
+def test_texts_with_letters_stay_where_no_language_is_learnt(spark, documents):
+    docs = documents([(1, None), (2, ""), (3, "123 !?"), (4, "the"), (5, "日本語")]).withColumn("lang", F.lit(None).cast("string"))
+    kept = identified(docs)
+    assert kept.columns == docs.columns and sorted(row["doc_id"] for row in kept.collect()) == [4, 5]
