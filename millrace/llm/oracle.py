@@ -9,4 +9,63 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM digested WINDOW same AS (PARTITION BY text_sha256)
 """
 
-ORACLE = {"op6_exact_dedup": OP6}
+SQUARED = "list_sum(list_transform(list_zip(k.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+
+
+def _round(number: int) -> str:
+    """Assignment to the centroids of one round, and the centroids of the next."""
+    return f"""
+a{number} AS (
+    SELECT k.n, min(struct_pack(distance := CAST({SQUARED} AS BIGINT), cluster := c.cluster)) AS best
+    FROM kept k, c{number} c GROUP BY k.n),
+m{number} AS (
+    SELECT cluster, list(x ORDER BY d) AS v
+    FROM (SELECT cluster, d, CAST(floor(CAST(sum(x) AS DOUBLE) / count(*)) AS BIGINT) AS x
+          FROM (SELECT best.cluster AS cluster, unnest(v) AS x, generate_subscripts(v, 1) AS d
+                FROM a{number} JOIN kept USING (n))
+          GROUP BY cluster, d)
+    GROUP BY cluster),
+c{number + 1} AS (
+    SELECT cluster, coalesce(m{number}.v, c{number}.v) AS v FROM c{number} LEFT JOIN m{number} USING (cluster))"""
+
+
+OP12 = f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS n, vec_id,
+           list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+c0 AS (
+    SELECT CAST(row_number() OVER (ORDER BY h, v) - 1 AS INTEGER) AS cluster, v
+    FROM (SELECT sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, v FROM kept ORDER BY h, v LIMIT 16)),
+{",".join(_round(number) for number in range(3))},
+a3 AS (
+    SELECT k.n, min(struct_pack(distance := CAST({SQUARED} AS BIGINT), cluster := c.cluster)) AS best
+    FROM kept k, c3 c GROUP BY k.n)
+SELECT vec_id, best.cluster AS cluster, best.distance AS distance,
+       CAST(sum(best.distance) OVER (PARTITION BY best.cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(best.distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c3.v, ',')) AS centroid_sha256
+FROM a3 JOIN kept USING (n) JOIN c3 ON c3.cluster = best.cluster
+"""
+
+OP13 = """
+WITH rules(verdict, host, path) AS (VALUES
+    ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+    ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+cut AS (
+    SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+    FROM pages),
+parts AS (
+    SELECT page_id, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+           translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
+    FROM cut),
+judged AS (
+    SELECT page_id, host, path,
+           (SELECT max(struct_pack(size := length(r.host || r.path), rule := r.host || r.path, verdict := r.verdict))
+            FROM rules r
+            WHERE (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)) AS best
+    FROM parts p)
+SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict FROM judged
+"""
+
+ORACLE = {"op6_exact_dedup": OP6, "op12_centroid_clusters": OP12, "op13_url_filter": OP13}

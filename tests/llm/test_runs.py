@@ -1,0 +1,121 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from fractions import Fraction
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from llm_helpers import SMALL, documents, workers_find_the_package  # noqa: F401
+from millrace.llm.queries import op11_periodic_runs, planted_words
+from millrace.llm.runs import collapsed, numbered, periodic_runs, runs_of, words_of
+
+
+def smallest_period(words: list) -> int:
+    return next(p for p in range(1, len(words) + 1) if words[p:] == words[:len(words) - p])
+
+
+def plain(words: list, least_length: int = 24, least_exponent: int = 3) -> list[tuple[int, int, int]]:
+    """Every distance on its own: stretches of words that agree with the word so far ahead."""
+    found = []
+    for period in range(1, len(words) // least_exponent + 1):
+        i = 0
+        while i + period < len(words):
+            start = i
+            while i + period < len(words) and words[i] == words[i + period]:
+                i += 1
+            length = i - start + period
+            if length >= max(least_length, least_exponent * period) \
+                    and smallest_period(words[start:start + length]) == period:
+                found.append((start, length, period))
+            i += 1
+    return sorted(found, key=lambda run: (run[0], run[2]))
+
+
+def digests(key: int | None, text: str | None) -> tuple:
+    words = planted_words(key, text)
+    runs = plain(words)
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=(None, None, None))
+    drop = {i for start, length, period in runs for i in range(start + period, start + length)}
+    kept = " ".join(word for i, word in enumerate(words) if i not in drop)
+    lines = "".join(f"{start},{length},{period}\n" for start, length, period in runs)
+    return (key, len(runs), *best, 1000 * best[1] // best[2] if runs else None,
+            hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(kept.encode()).hexdigest())
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from("abc"), max_size=12), st.integers(0, 12), st.lists(st.sampled_from("ab"), max_size=30))
+def test_runs_of_short_texts(unit, times, tail):
+    words = unit * times + tail + unit * 3
+    for least_length, least_exponent in ((24, 3), (5, 2), (1, 3), (40, 4)):
+        assert runs_of(numbered(words), least_length, least_exponent) == plain(words, least_length, least_exponent)
+
+
+def test_runs_in_noise_and_runs_of_runs():
+    for seed in range(30):
+        chance = random.Random(seed)
+        unit = [chance.choice("ab") for _ in range(chance.randint(1, 9))] * chance.randint(3, 8)
+        words = [chance.choice("abcdefgh") for _ in range(50)] + (unit + ["x"] * chance.randint(0, 30)) * 4 + unit
+        assert runs_of(numbered(words)) == plain(words)
+
+
+def test_one_passage_at_many_places_with_different_words_before():
+    passage = [f"w{i}" for i in range(20)]
+    words = [word for i in range(300) for word in [f"before{i}", *passage]]
+    assert runs_of(numbered(words)) == plain(words) == []
+
+
+def test_long_texts():
+    words = ["a", "b", "c"] * 100_000
+    assert runs_of(numbered(words)) == [(0, 300_000, 3)]
+    assert collapsed(words, [(0, 300_000, 3)]) == ["a", "b", "c"]
+    assert runs_of(np.zeros(200_000, np.int64)) == [(0, 200_000, 1)]
+    assert runs_of(np.random.default_rng(0).integers(0, 30, 400_000)) == []
+
+
+def test_collapsing_keeps_the_first_period_unless_another_run_drops_it():
+    assert collapsed(list("abababxyxyx"), [(0, 6, 2), (4, 3, 1)]) == ["a", "b", "x", "y", "x", "y", "x"][:2] + list("xyxyx")[1:]
+
+
+def test_texts_of_all_kinds(documents):
+    table = [(1, None), (2, ""), (3, " \t\n"), (4, "a " * 24), (5, "a " * 23), (6, "a\u00a0b " * 30), (6, "a\u00a0b " * 30),
+             (None, "x y\n" * 15), (7, "word " * 5000 + "end"), (8, "k\x00 " * 40)]
+    found = periodic_runs(documents(table)).collect()
+    assert len(found) == len(table)
+    by_id = {row["doc_id"]: row for row in found}
+    assert [tuple(run) for run in by_id[4]["runs"]] == [(0, 24, 1)] and by_id[4]["collapsed"] == "a"
+    assert by_id[5]["runs"] == [] and by_id[5]["collapsed"] == " ".join(["a"] * 23)
+    assert by_id[7]["collapsed"] == "word end" and by_id[None]["collapsed"] == "x y"
+    assert by_id[1]["collapsed"] == by_id[2]["collapsed"] == by_id[3]["collapsed"] == ""
+    assert periodic_runs(documents([])).count() == 0
+
+
+def test_planted_words_repeat_the_original():
+    key = next(i for i in range(1000) if zlib.crc32(str(i).encode()) % 10 == 0)
+    words = [f"w{i}" for i in range(200)]
+    planted = planted_words(key, " ".join(words))
+    seed = zlib.crc32(str(key).encode()) // 10
+    begin = seed % 200
+    period = 1 + (200 - begin) // (3 + seed % 8)
+    assert planted == [words[i] if i < begin else words[begin + (i - begin) % period] for i in range(200)]
+    assert planted_words(None, "a b") == words_of(None, "a b") and planted_words(key, None) == []
+
+
+def test_the_query_equals_a_plain_version(spark):
+    texts = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    short = {key: text for key, text in texts if text is None or len(text) < 8000}
+    found = [tuple(row) for row in op11_periodic_runs(spark, SMALL).collect()]
+    assert len(found) == len(texts) and len(short) > 100
+    mine = sorted(row for row in found if row[0] in short)
+    assert mine == sorted(digests(key, text) for key, text in short.items())
+    assert sum(row[1] > 0 for row in mine) > 5
+
+
+def test_no_shuffle(spark):
+    plan = op11_periodic_runs(spark, SMALL)._jdf.queryExecution().toString()
+    assert "Exchange" not in plan
+
+
