@@ -11,18 +11,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.storage import small_batches, unused_name
+from millrace.llm.storage import small_batches, stored, unused_name
 
 UNKNOWN = "und"
 GRAMS = (1, 2, 3)
 PROFILE_SIZE = 400
 DOCS_PER_LANGUAGE = 2000
-LEAST_DOCS = 3
-MAX_LANGUAGES = 1000
+# So many rows of two short columns may go to every task.
+BROADCAST_LANGUAGES = 10_000
 HELD_OUT = 2
 CODE_BITS = 21
 EDGE = 0x20
-PIECE = 1 << 20
 
 
 def _letters() -> np.ndarray:
@@ -68,30 +67,33 @@ def most_frequent(names: np.ndarray, counts: np.ndarray, size: int) -> np.ndarra
 
 
 class Profiles:
-    """Ranked n-grams of each language."""
+    """Ranked n-grams of each language, as one list in order of the n-grams."""
 
     def __init__(self, ranked: dict[str, list[int]], size: int = PROFILE_SIZE):
         self.languages = sorted(ranked)
         self.size = size
-        self.names = np.unique(np.array([g for grams in ranked.values() for g in grams], np.uint64))
-        self.ranks = np.full((len(self.names), len(self.languages)), size, np.int64)
-        for column, language in enumerate(self.languages):
-            rows = np.searchsorted(self.names, np.array(ranked[language], np.uint64))
-            self.ranks[rows, column] = np.arange(len(rows))
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """(language, 1 - its distance as a share of the largest one possible)."""
+        names = np.array([gram for name in self.languages for gram in ranked[name]], np.uint64)
+        order = np.argsort(names, kind="stable")
+        self.language = np.repeat(np.arange(len(self.languages)), [len(ranked[name]) for name in self.languages])[order]
+        self.rank = np.array([rank for name in self.languages for rank in range(len(ranked[name]))], np.int64)[order]
+        self.names, self.starts = np.unique(names[order], return_index=True)
+        self.ends = np.append(self.starts[1:], len(names))
+
+    def predict(self, text: str | None) -> tuple[str, float, bool]:
+        """(language, 1 - its distance as a share of the largest one possible, whether the text has a letter)."""
         names, counts = gram_counts(text)
         if not self.languages or not len(names):
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, bool(len(names))
         top = most_frequent(names, counts, self.size)
-        at = np.minimum(np.searchsorted(self.names, top), len(self.names) - 1)
-        known = self.names[at] == top
-        here = self.ranks[at[known]]
-        out_of_place = np.where(here < self.size, np.abs(here - np.flatnonzero(known)[:, None]), self.size)
-        distance = out_of_place.sum(axis=0) + self.size * int((~known).sum())
+        at = np.minimum(np.searchsorted(self.names, top), max(0, len(self.names) - 1))
+        mine = np.flatnonzero(self.names[at] == top) if len(self.names) else np.zeros(0, np.int64)
+        begin, many = self.starts[at[mine]], self.ends[at[mine]] - self.starts[at[mine]]
+        entry = np.repeat(begin - np.cumsum(many) + many, many) + np.arange(many.sum())
+        # An n-gram that both have is out of place by less than the size, one that a profile lacks by the size.
+        nearer = self.size - np.abs(self.rank[entry] - np.repeat(mine, many))
+        distance = self.size * len(top) - np.bincount(self.language[entry], nearer, len(self.languages)).astype(np.int64)
         best = int(distance.argmin())
-        return self.languages[best], float(1 - distance[best] / (self.size * len(top)))
+        return self.languages[best], float(1 - distance[best] / (self.size * len(top))), True
 
 
 def held_out(id_col: str) -> Column:
@@ -100,27 +102,24 @@ def held_out(id_col: str) -> Column:
 
 
 def learn_profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                   size: int = PROFILE_SIZE, docs_per_language: int = DOCS_PER_LANGUAGE,
-                   least_docs: int = LEAST_DOCS) -> Profiles:
+                   size: int = PROFILE_SIZE, docs_per_language: int = DOCS_PER_LANGUAGE) -> Profiles:
     """The ``size`` most frequent n-grams of every language in the rows not held out.
 
-    Counts come from about ``docs_per_language`` documents of each language, the documented
-    bound of the sample, chosen by a hash of the id. Languages with fewer than ``least_docs``
-    documents, and all but the ``MAX_LANGUAGES`` most common, are not learnt. Returns ``size``
-    numbers a language to the driver.
+    Every non-null value of ``lang`` with a lettered text is a language, however few documents it has. Counts come from
+    about ``docs_per_language`` documents of each, the documented bound of the sample, chosen
+    by a hash of the id. Returns ``size`` numbers a language to the driver.
     """
     small_batches(docs.sparkSession)
     rows = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()) \
         .select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                 F.col(lang_col).cast("string").alias("lang"))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("docs")).where(F.col("docs") >= least_docs) \
-        .orderBy(F.desc("docs"), "lang").limit(MAX_LANGUAGES).collect()
-    if not sizes:
-        return Profiles({}, size)
-    # A look-up instead of a join, which would move every text to its language's task.
-    share = F.create_map(*[F.lit(x) for row in sizes for x in (row["lang"], docs_per_language / row["docs"])])
+    sizes = stored(rows.groupBy("lang").agg(F.count("*").alias("docs")), "languages")
+    shares = sizes.select("lang", (F.lit(docs_per_language) / F.col("docs")).alias("share"))
+    if sizes.count() <= BROADCAST_LANGUAGES:
+        # Else every text would move to its language's task.
+        shares = F.broadcast(shares)
     chance = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / (1 << 20)
-    sample = rows.where(chance < F.coalesce(F.try_element_at(share, F.col("lang")), F.lit(0.0))).select("lang", "text")
+    sample = rows.join(shares, "lang").where(chance < F.col("share")).select("lang", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,11 +139,11 @@ def learn_profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def language(profiles: Profiles, text: Column) -> Column:
-    """A struct (lang_pred, score) of the whole text."""
+    """A struct (lang_pred, score, lettered) of the whole text."""
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, lettered boolean")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([profiles.predict(t) for t in texts], columns=["lang_pred", "score"])
+        return pd.DataFrame([profiles.predict(t) for t in texts], columns=["lang_pred", "score", "lettered"])
 
     return predict(text.cast("string"))
 
@@ -164,16 +163,17 @@ def languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
 
 def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that a language can be told of; texts that are null or have no letter go, learnt language or not."""
+    """The rows of ``docs`` whose text has a letter, their language filled in where ``lang_col`` has none.
+
+    Rows stay by their letters, whatever language is predicted: ``und`` may be a learnt label, and nothing may be
+    learnt at all (then null languages stay null).
+    """
     profiles = learn_profiles(docs, id_col, text_col, lang_col)
     found, row = unused_name(), unused_name()
     whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
-
-    @F.pandas_udf("boolean")
-    def lettered(texts: pd.Series) -> pd.Series:
-        return pd.Series([t is not None and bool((letter_codes(t) != EDGE).any()) for t in texts], dtype=bool)
-
-    if not profiles.languages:
-        return docs.where(lettered(F.col(text_col).cast("string")))
-    return docs.select(whole.alias(row), language(profiles, F.col(text_col)).alias(found)) \
-        .where(F.col(found).getField("lang_pred") != UNKNOWN).select(f"{row}.*")
+    kept = docs.select(whole.alias(row), language(profiles, F.col(text_col)).alias(found)).where(F.col(found)["lettered"])
+    columns = {name: F.col(row).getField(name) for name in docs.columns}
+    if profiles.languages:
+        kind = docs.schema[lang_col].dataType
+        columns[lang_col] = F.coalesce(columns[lang_col], F.col(found)["lang_pred"].try_cast(kind))
+    return kept.select(*[column.alias(name) for name, column in columns.items()])

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 
+import numpy as np
 from llm_helpers import documents, workers_find_the_package  # noqa: F401
 from pyspark.sql import functions as F
 
@@ -25,15 +27,16 @@ def test_distances_like_a_plain_version(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     profiles = learn_profiles(docs)
     ranked = {}
+    names = np.repeat(profiles.names, profiles.ends - profiles.starts)
     for column, name in enumerate(profiles.languages):
-        ranks = profiles.ranks[:, column]
-        ranked[name] = {int(g): int(r) for g, r in zip(profiles.names, ranks) if r < profiles.size}
+        own = profiles.language == column
+        ranked[name] = {int(g): int(r) for g, r in zip(names[own], profiles.rank[own])}
     for row in docs.limit(40).collect():
         top = plain_rank(row["text"], profiles.size)
         apart = {name: sum(abs(ranks[g] - i) if g in ranks else profiles.size for i, g in enumerate(top))
                  for name, ranks in ranked.items()}
         best = min(sorted(apart), key=apart.get)
-        assert profiles.predict(row["text"]) == (best, 1 - apart[best] / (profiles.size * len(top)))
+        assert profiles.predict(row["text"]) == (best, 1 - apart[best] / (profiles.size * len(top)), True)
 
 
 def test_held_out_documents(spark):
@@ -63,3 +66,28 @@ def test_texts_with_letters_stay_where_no_language_is_learnt(spark, documents):
     docs = documents([(1, None), (2, ""), (3, "123 !?"), (4, "the"), (5, "日本語")]).withColumn("lang", F.lit(None).cast("string"))
     kept = identified(docs)
     assert kept.columns == docs.columns and sorted(row["doc_id"] for row in kept.collect()) == [4, 5]
+
+
+def test_a_label_that_is_called_unknown_loses_no_rows(documents):
+    table = [(i, "una lengua" if i % 2 else "der und die") for i in range(82)]
+    docs = documents(table).withColumn("lang", F.when(F.col("doc_id") % 2 == 0, UNKNOWN).when(F.col("doc_id") < 60, "es"))
+    kept = identified(docs)
+    assert kept.count() == 82 and kept.columns == docs.columns
+    assert {row["lang"] for row in kept.where("doc_id >= 60 and doc_id % 2 = 1").collect()} == {"es"}
+
+
+def test_rare_languages_are_learnt(documents):
+    words = "uno dos tres cuatro cinco seis siete ocho nueve diez".split()
+    table = [(i, " ".join(words[i % 7:] + words)) for i in range(40)]
+    learnable = next(i for i in range(100, 200) if zlib.crc32(str(i).encode()) % 4 != 2)
+    docs = documents([*table, (learnable, "the weather is rather wet"), (500, "whether the rather wet weather")]) \
+        .withColumn("lang", F.when(F.col("doc_id") < 40, "es").when(F.col("doc_id") == learnable, "en"))
+    found = {row["doc_id"]: row["lang_pred"] for row in languages(docs).collect()}
+    assert found[500] == "en" and found[3] == "es"
+
+
+def test_very_many_languages(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("l"), "id").alias("lang"),
+                                    F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij").alias("text"))
+    found = languages(docs)
+    assert found.join(docs, "doc_id").where("lang_pred = lang and not held_out").count() >= 2000
