@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -92,6 +93,23 @@ DECLARED = ((r"licen[cs]ed under (?:the )?(?:terms of )?(?:the )?", 0.95),
             (r"licen[cs]e ", 0.8),
             (r"", 0.7))
 
+# SPDX identifiers, in words: (label, identifier).
+IDENTIFIERS = (
+    ("mit", "mit"), ("isc", "isc"), ("zlib", "zlib"), ("unlicense", "unlicense"), ("wtfpl", "wtfpl"), ("bsd", "0bsd"),
+    ("apache-2.0", "apache 2 0"), ("apache-1.1", "apache 1 1"), ("bsd-2-clause", "bsd 2 clause"),
+    ("bsd-3-clause", "bsd 3 clause"), ("gpl-1", "gpl 1 0"), ("gpl-2", "gpl 2 0"), ("gpl-3", "gpl 3 0"),
+    ("lgpl-2", "lgpl 2 0"), ("lgpl-2.1", "lgpl 2 1"), ("lgpl-3", "lgpl 3 0"), ("agpl-3", "agpl 3 0"),
+    ("mpl-1.1", "mpl 1 1"), ("mpl-2.0", "mpl 2 0"), ("epl-1.0", "epl 1 0"), ("epl-2.0", "epl 2 0"),
+    ("cc0-1.0", "cc0 1 0"), ("cc-by-3.0", "cc by 3 0"), ("cc-by-4.0", "cc by 4 0"), ("cc-by-sa-3.0", "cc by sa 3 0"),
+    ("cc-by-sa-4.0", "cc by sa 4 0"), ("artistic-2.0", "artistic 2 0"), ("bsl-1.0", "bsl 1 0"), ("ofl-1.1", "ofl 1 1"))
+# What may follow an identifier in an expression.
+TAIL = r"(?: only| or later)?(?: with (?:\S+ ){1,4}exception(?: \d+){0,2})?"
+ANY_IDENTIFIER = "(?:" + "|".join(name for _, name in IDENTIFIERS) + ")" + TAIL
+EXPRESSION = re.compile(rf"(?<= )(spdx licen[cs]e identifier )?{ANY_IDENTIFIER}(?: (?:or|and) {ANY_IDENTIFIER})*(?= )")
+IDENTIFIER = re.compile(rf"(?<= )(?:{'|'.join(f'({name})' for _, name in IDENTIFIERS)}){TAIL}(?= )")
+# Words without which no text holds an expression that counts.
+EXPRESSION_GATE = tuple({f" {name.split()[0]} " for _, name in IDENTIFIERS if " " in name} | {" identifier "})
+
 ASCII_FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
                    for b in range(256))
 
@@ -160,6 +178,8 @@ def rules() -> tuple[Rule, ...]:
             full = f"{label}-{version.replace(' ', '.')}" if version else label
             found.append(Rule(full, before + name + behind, _keyword(name), 2 * (len(DECLARED) - rank) + bool(version),
                               certainty))
+    for label in ("bsd", "mit", "isc", "apache", "gpl", "lgpl", "mpl"):
+        found.append(Rule(label, f"licen[cs]e {label}", label, 1, 0.6))
     return tuple(found)
 
 
@@ -172,13 +192,45 @@ def compiled() -> dict[str, tuple[tuple[Rule, re.Pattern], ...]]:
     return {keyword: tuple(group) for keyword, group in by_keyword.items()}
 
 
+def identifiers(joined: str) -> Iterator[tuple[int, int, Rule]]:
+    """The identifiers of SPDX expressions, each on its own.
+
+    Outside of a tag an expression counts only with an identifier that cannot be a word of a sentence,
+    as ``mit`` can.
+    """
+    if not any(word in joined for word in EXPRESSION_GATE):
+        return
+    for match in EXPRESSION.finditer(joined):
+        names = list(IDENTIFIER.finditer(joined, match.end(1) if match[1] else match.start(), match.end() + 1))
+        if match[1] or any(" " in IDENTIFIERS[name.lastindex - 1][1] for name in names):
+            priority, certainty = (50, 0.99) if match[1] else (1, 0.7)
+            for name in names:
+                label, pattern = IDENTIFIERS[name.lastindex - 1]
+                yield name.start(), name.end(), Rule(label, pattern, pattern, priority, certainty)
+
+
 def resolved(spans: list[tuple[int, int, Rule]]) -> list[tuple[int, int, Rule]]:
-    """Without the spans that lie within one of a larger priority, or within a longer or earlier one of the same."""
+    """Without the spans that lie within one of a larger priority, or within a longer or earlier one of the same.
+
+    Spans come in that order, and each asks for the farthest end of those before it that start no later:
+    maxima over beginnings of the sorted starts, kept in a tree of prefix maxima.
+    """
+    starts = {start: rank for rank, start in enumerate(sorted({span[0] for span in spans}), 1)}
+    farthest = [0] * (len(starts) + 1)
     kept: list[tuple[int, int, Rule]] = []
     best = sorted(range(len(spans)), key=lambda i: (-spans[i][2].priority, spans[i][0] - spans[i][1], i))
     for start, end, rule in (spans[i] for i in best):
-        if not any(s <= start and end <= e for s, e, _ in kept):
-            kept.append((start, end, rule))
+        at, held = starts[start], 0
+        while at:
+            held = max(held, farthest[at])
+            at &= at - 1
+        if held >= end:
+            continue
+        kept.append((start, end, rule))
+        at = starts[start]
+        while at < len(farthest):
+            farthest[at] = max(farthest[at], end)
+            at += at & -at
     return sorted(kept, key=lambda span: span[:2])
 
 
@@ -187,16 +239,24 @@ def scan(text: str | None) -> Scan:
     words = words_of(text)
     joined = (b" " + b" ".join(words) + b" ").decode()
     found = Scan(len(words))
+    phrases = []
     for phrase, label in BASE_PHRASES.items():
         at = joined.find(f" {phrase} ")
         while at >= 0:
-            found.base.append((joined.count(" ", 0, at), label))
+            phrases.append((at, label))
             at = joined.find(f" {phrase} ", at + 1)
-    spans = [(match.start(), match.end(), rule) for keyword, group in compiled().items() if f" {keyword}" in joined
-             for rule, pattern in group for match in pattern.finditer(joined)]
-    for start, end, rule in resolved(spans):
-        first = joined.count(" ", 0, start) - 1
-        found.spans.append((first, first + joined.count(" ", start, end) + 1, rule.label, rule.certainty))
+    spans = resolved([*identifiers(joined), *(
+        (match.start(), match.end(), rule) for keyword, group in compiled().items() if f" {keyword}" in joined
+        for rule, pattern in group for match in pattern.finditer(joined))])
+    if phrases or spans:
+        spaces = np.flatnonzero(np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4") == 0x20)
+
+        def spaces_before(places: list[int]) -> list[int]:
+            return np.searchsorted(spaces, places).tolist()
+
+        found.base = list(zip(spaces_before([at for at, _ in phrases]), [label for _, label in phrases]))
+        found.spans = [(first - 1, behind, rule.label, rule.certainty) for (_, _, rule), first, behind in
+                       zip(spans, spaces_before([s[0] for s in spans]), spaces_before([s[1] for s in spans]))]
     return found
 
 
