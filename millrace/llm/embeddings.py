@@ -23,13 +23,12 @@ SLACK = 1e-6
 
 
 def unit_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, unit): one unit vector in double precision per id, null where there is none to link.
+    """(id, name, unit): one row per row, numbered by ``id``, with a unit vector in double precision, null where there is none to link.
 
-    Of rows repeated under one id the smallest array counts. Shorter vectors end in zeros.
+    ``name`` is the row's own id, which others may share. Numbers hold once the rows are stored. Shorter vectors end in zeros.
     """
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"),
-                          F.col(vector_col).cast("array<double>").alias("vector")) \
-        .groupBy("id").agg(F.min("vector").alias("vector"))
+    rows = vectors.select(F.monotonically_increasing_id().alias("id"), F.col(id_col).cast("long").alias("name"),
+                          F.col(vector_col).cast("array<double>").alias("vector"))
     width = rows.agg(F.max(F.size("vector"))).first()[0] or 0
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -38,7 +37,7 @@ def unit_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
             found: list[bytes | None] = []
             for row in range(batch.num_rows):
                 unit = None
-                if column[row].is_valid and batch.column("id")[row].is_valid and not column[row].values.null_count:
+                if column[row].is_valid and not column[row].values.null_count:
                     values = np.asarray(column[row].values, float)
                     scale = np.abs(values).max(initial=0.0)
                     if np.isfinite(values).all() and scale > 0:
@@ -46,9 +45,10 @@ def unit_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
                         padded[:len(values)] = values / scale
                         unit = (padded / np.sqrt(padded @ padded)).tobytes()
                 found.append(unit)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.binary())], ["id", "unit"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("name"), pa.array(found, pa.binary())],
+                                             ["id", "name", "unit"])
 
-    return rows.mapInArrow(work, "id long, unit binary")
+    return rows.mapInArrow(work, "id long, name long, unit binary")
 
 
 def matrix(units: pa.Array) -> np.ndarray:
@@ -171,12 +171,12 @@ def links_of_pairs(pairs: DataFrame, least_cosine: float, reach: float) -> DataF
 
 def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                            least_cosine: float = LEAST_COSINE, tile: int = TILE) -> DataFrame:
-    """One row per id: ``id_col``, n_links, component_id, kept.
+    """One row per row of ``vectors``: ``id_col``, n_links, component_id, kept.
 
     Vectors link where their cosine, in double precision, is at least ``least_cosine``.
-    Vectors that are null, empty, zero or hold null or non-finite components link with nothing,
-    nor does a null id. Of rows repeated under one id one counts (see ``unit_vectors``); an
-    empty table gives an empty result; other columns are not read.
+    Vectors that are null, empty, zero or hold null or non-finite components link with nothing. Rows
+    repeated under one id are vectors of their own, which link like others. component_id is the smallest id of the
+    component, null ids aside (null if it has no other); an empty table gives an empty result; other columns are not read.
 
     The tree's upper level are cells around pivots, a net of a bounded sample (at most
     ``SAMPLE_PER_CELL`` * ``MAX_CELLS`` vectors), so pivots and cell radii are small enough to
@@ -219,9 +219,10 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
 
     counted = found.groupBy("id").agg(F.sum("n_links").alias("n_links"))
     stars = connected_components(found.select(F.col("id").alias("a"), F.col("other").alias("b")))
-    result = units.select("id").join(counted, "id", "left") \
-        .join(stars.withColumnRenamed("node", "id"), "id", "left") \
-        .select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                F.coalesce("component", "id").alias("component_id"))
-    return result.select(F.col("id").alias(id_col), "n_links", "component_id",
-                         F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    placed = stored(units.select("id", "name").join(counted, "id", "left")
+                    .join(stars.withColumnRenamed("node", "id"), "id", "left")
+                    .select("name", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+                            F.coalesce("component", "id").alias("component")), "vector-components")
+    least = stored(placed.groupBy("component").agg(F.min("name").alias("component_id")), "component-names")
+    return placed.join(least, "component").select(F.col("name").alias(id_col), "n_links", "component_id",
+                                                  F.col("name").eqNullSafe(F.col("component_id")).alias("kept"))
