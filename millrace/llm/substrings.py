@@ -18,13 +18,17 @@ GROUP_BYTES = 1 << 21
 WINDOWS_AT_ONCE = 1 << 16
 # A stretch of windows as one number: the first window times STRETCH plus how many.
 STRETCH = 1 << 16
-ANCHOR_FIELDS = "key long, content long, id long, mark int, first int, count int"
+ANCHOR_FIELDS = "key long, content long, id long, mark long, first int, count int"
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
-    """What tells documents apart: the id, and a hash of the text for rows repeated under one id."""
+    """What tells documents apart: the id, and a hash of the text for rows repeated under one id.
+
+    Null ids are told apart by 128 bits: another hash of the text stands in for the id.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return [F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), F.hash(text).alias("mark"),
+    other = F.xxhash64(F.lit("no id"), text)
+    return [F.coalesce(F.col(id_col).cast("long"), other).alias("id"), F.xxhash64(text).alias("mark"),
             text.alias("text")]
 
 
@@ -41,7 +45,7 @@ def anchors(rows: DataFrame, window: int) -> DataFrame:
         doc = np.searchsorted(starts, found.first, "right") - 1
         return pa.RecordBatch.from_arrays(
             [pa.array(found.keys.view(np.int64)), pa.array(found.content.view(np.int64)),
-             pa.array(np.array(ids, np.int64)[doc]), pa.array(np.array(marks, np.int32)[doc]),
+             pa.array(np.array(ids, np.int64)[doc]), pa.array(np.array(marks, np.int64)[doc]),
              pa.array((found.first - starts[doc]).astype(np.int32)), pa.array(found.count.astype(np.int32))],
             ["key", "content", "id", "mark", "first", "count"])
 
@@ -75,7 +79,7 @@ def single_windows(texts: DataFrame, window: int) -> DataFrame:
         anchor, first, count, times = (np.asarray(wanted.field(name)) for name in ("key", "first", "count", "times"))
         at = np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         prints = window_fingerprints(words, at, window).view(np.int64)
-        return (np.repeat(anchor, count), prints, np.full(len(at), key, np.int64), np.full(len(at), mark, np.int32),
+        return (np.repeat(anchor, count), prints, np.full(len(at), key, np.int64), np.full(len(at), mark, np.int64),
                 at.astype(np.int32), np.repeat(times, count))
 
     def joined(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
@@ -95,7 +99,7 @@ def single_windows(texts: DataFrame, window: int) -> DataFrame:
                 yield joined(parts)
 
     return texts.select("id", "mark", "text", "wanted") \
-        .mapInArrow(work, "key long, print long, id long, mark int, first int, times long")
+        .mapInArrow(work, "key long, print long, id long, mark long, first int, times long")
 
 
 def repeated_stretches(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
@@ -129,7 +133,8 @@ def repeated_stretches(docs: DataFrame, id_col: str, text_col: str, window: int)
         .select("id", "mark", "first", F.lit(1).alias("count"))
 
     stretch = F.col("first").cast("long") * STRETCH + F.col("count")
-    found = stored(whole.unionByName(parts).groupBy("id", "mark").agg(F.collect_list(stretch).alias("stretches")),
+    # A set: rows that are equal throughout name the same stretches.
+    found = stored(whole.unionByName(parts).groupBy("id", "mark").agg(F.collect_set(stretch).alias("stretches")),
                    "stretches")
     dropped(suspects, contents, unsettled, windows, common)
     return found

@@ -5,10 +5,11 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm_helpers import collected, documents, workers_find_the_package  # noqa: F401
 from millrace.llm.recompression import anchored_windows, word_fingerprints
-from millrace.llm.substrings import repeats_removed, without_repeats
+from millrace.llm.substrings import repeated_stretches, repeats_removed, without_repeats
 
 
 def plain(table: list[tuple], window: int) -> list[tuple]:
@@ -79,3 +80,22 @@ def test_rows_keep_their_columns_and_unchanged_texts(documents):
 
 def test_an_empty_table(documents):
     assert repeats_removed(documents([])).count() == 0
+
+
+def test_texts_without_ids_whose_short_hashes_clash(spark):
+    def short_hash(numbers):
+        return spark.createDataFrame([(n, f"lone{n} " + " ".join(f"x{n}y{i}" for i in range(40))) for n in numbers], "n int, text string") \
+            .select("text", F.expr("hash(text) & 8191").alias("h"))
+
+    clashing = short_hash(range(400)).groupBy("h").agg(F.collect_list("text").alias("texts")).where("size(texts) > 1").first()["texts"]
+    table = [(None, clashing[0]), (None, clashing[1] + " " + " ".join(f"p{i}" for i in range(40))),
+             (None, " ".join(f"p{i}" for i in range(40)) + " end")]
+    df = spark.createDataFrame(table, "doc_id long, text string")
+    assert collected(repeats_removed(df)) == plain(table, 35)
+
+
+def test_many_equal_rows_under_one_id_gather_each_stretch_once(spark):
+    text = " ".join(f"w{i}" for i in range(80))
+    df = spark.range(10_000).select(F.lit(5).cast("long").alias("doc_id"), F.lit(text).alias("text")).repartition(8)
+    assert repeated_stretches(df, "doc_id", "text", 35).agg(F.max(F.size("stretches"))).first()[0] < 80
+    assert repeats_removed(df).agg(F.min("n_removed"), F.count("*")).first() == (80, 10_000)
