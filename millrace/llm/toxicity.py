@@ -36,7 +36,6 @@ LEAST_LIKELIHOOD = 15.13
 LEAST_RATIO = 20.0
 MAX_STATES = 200_000
 MAX_WORDS = 400_000
-LONGEST_WORD = 64
 
 
 def allowed_edits(term: str) -> int:
@@ -67,6 +66,8 @@ class LexiconAutomaton:
             self.edits[node] = max(self.edits[node], allowed)
             self.term[node] = term
         self.max_states = max_states
+        # Longer words are more edits away from every term than any allows.
+        self.longest = max((len(term) + allowed_edits(term) for term in terms), default=0)
         self._reset()
 
     def _reset(self) -> None:
@@ -169,7 +170,7 @@ class ToxicityModel:
         self._prepare()
 
     def match(self, word: str) -> tuple[str, int] | None:
-        if len(word) > LONGEST_WORD:
+        if len(word) > self.automaton.longest:
             return None
         if word not in self.known:
             found = self.automaton.match(word)
@@ -271,7 +272,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         for batch in batches:
             columns = (batch.column(name).to_pylist() for name in ("toxic", "family"))
             for label, family, text in zip(*columns, batch.column("text")):
-                found = {w for w in WORD.findall((text.as_py() or "").lower()) if len(w) <= LONGEST_WORD}
+                found = set(WORD.findall((text.as_py() or "").lower()))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found, pa.string()), pa.array([family] * len(found), pa.int64()),
                      pa.array([label] * len(found), pa.int32())], ["word", "family", "toxic"])
