@@ -153,7 +153,9 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     prints = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     placed = linked_prints(prints, max_bits, blocks)
     least = prints.groupBy("fp").agg(F.min("id").alias("least"))
-    roots = least.join(placed, "fp").groupBy("component").agg(F.min("least").alias("component_id"))
+    # Written, so that the join shuffles both sides by itself and may split a hot component's fingerprints.
+    placed = stored(placed, "placed-prints")
+    roots = stored(least.join(placed, "fp").groupBy("component").agg(F.min("least").alias("component_id")), "roots")
     named = placed.join(roots, "component").select("fp", "component_id")
     return prints.join(named, "fp").select(F.col("id").alias(id_col),
                                            F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
