@@ -82,7 +82,8 @@ def chosen_rows(docs: DataFrame, keys: list[Column], every: DataFrame, chosen: D
 
     ``keys`` are the keys of a row, ``every`` holds the keys of all rows (columns k0, k1, ...)
     and ``chosen`` distinct ones of them. Nulls are keys like others. Of rows with the same
-    key the smallest stays; only those rows are grouped, in a plan made if there are any.
+    key that stays whose JSON sorts first (rows themselves have no order if they hold a map); only those rows are
+    grouped, in a plan made if there are any.
     """
     names = [f"k{i}" for i in range(len(keys))]
     here = [unused_name() for _ in names]
@@ -93,5 +94,5 @@ def chosen_rows(docs: DataFrame, keys: list[Column], every: DataFrame, chosen: D
     repeated = stored(every.groupBy(*names).agg(F.count("*").alias("n")).where("n > 1").select(*names), "repeated")
     if repeated.isEmpty():
         return found.select("row.*")
-    folded = found.join(repeated, same, "left_semi").groupBy(*here).agg(F.min("row").alias("row"))
+    folded = found.join(repeated, same, "left_semi").groupBy(*here).agg(F.min_by("row", F.to_json("row")).alias("row"))
     return found.join(repeated, same, "left_anti").select("row.*").unionByName(folded.select("row.*"))
