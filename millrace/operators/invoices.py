@@ -52,6 +52,21 @@ def rewards(items: DataFrame) -> DataFrame:
              F.sum(loyalty_points("value.TotalValue")).alias("AggregatedRewards"))
 
 
+def resumed_rewards(items: DataFrame, held: DataFrame) -> DataFrame:
+    """``rewards`` of the line items behind a stopped query's positions, on top of the totals it held.
+
+    Cards are emitted when one of the new items changes them.
+    """
+    earned = items.filter("value.CustomerType == 'PRIME'").select(
+        "value.CustomerCardNo", F.col("value.TotalValue").alias("TotalPurchase"),
+        loyalty_points("value.TotalValue").cast("bigint").alias("AggregatedRewards"), F.lit(True).alias("fresh"))
+    both = earned.unionByName(held.select("*", F.lit(False).alias("fresh")))
+    return both.groupBy("CustomerCardNo") \
+        .agg(F.sum("TotalPurchase").alias("TotalPurchase"), F.sum("AggregatedRewards").alias("AggregatedRewards"),
+             F.max("fresh").alias("fresh")) \
+        .where("fresh").drop("fresh")
+
+
 def reward_messages(totals: DataFrame) -> DataFrame:
     """(key, value) messages of reward totals."""
     return totals.select(*message(F.col("CustomerCardNo"),

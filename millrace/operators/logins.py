@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions.codecs import decode_json
 from millrace.functions.times import parse_time
 from millrace.schemas import LOGIN
-from millrace.sources.tables import CassandraTable, FileTable
+from millrace.sources.tables import BucketedTable, CassandraTable, FileTable
 
 
 def logins_from(messages: DataFrame) -> DataFrame:
@@ -29,7 +29,7 @@ def newest_login(logins: DataFrame) -> DataFrame:
     return logins.groupBy("login_id").agg(F.max("created_time").alias("created_time"))
 
 
-def matched_logins(table: CassandraTable | FileTable,
+def matched_logins(table: CassandraTable | FileTable | BucketedTable,
                    write: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` callback: every login of a known user, against the table of this moment."""
 
@@ -39,7 +39,7 @@ def matched_logins(table: CassandraTable | FileTable,
     return step
 
 
-def update_last_login(table: CassandraTable | FileTable,
+def update_last_login(table: CassandraTable | FileTable | BucketedTable,
                       show: bool = False) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` callback: upsert the last login of each known user in the batch.
 
@@ -48,7 +48,11 @@ def update_last_login(table: CassandraTable | FileTable,
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        rows = with_user(newest_login(batch), _users(table, batch.sparkSession))
+        newest = newest_login(batch)
+        if isinstance(table, BucketedTable):
+            _upsert_buckets(table, newest, batch_id, show)
+            return
+        rows = with_user(newest, _users(table, batch.sparkSession))
         if show:
             rows = rows.persist()
         try:
@@ -62,5 +66,17 @@ def update_last_login(table: CassandraTable | FileTable,
     return step
 
 
-def _users(table: CassandraTable | FileTable, spark: SparkSession) -> DataFrame:
+def _upsert_buckets(table: BucketedTable, newest: DataFrame, batch_id: int, show: bool) -> None:
+    """The users of the batch alone are read; its logins, one a user, are kept for the passes over them."""
+    newest = newest.persist()
+    try:
+        rows = with_user(newest, table.read_for(newest).select("login_id", "user_name"))
+        if show:
+            rows.show()
+        table.upsert(rows, batch_id)
+    finally:
+        newest.unpersist()
+
+
+def _users(table: CassandraTable | FileTable | BucketedTable, spark: SparkSession) -> DataFrame:
     return table.read(spark).select("login_id", "user_name")

@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from millrace.functions.avro import decode_avro, encode_avro
-from millrace.operators.clicks import clicks_from, impression_clicks, impressions_from
+from millrace.operators.clicks import clicks_from, impression_clicks, impressions_from, resumed_impression_clicks
 from millrace.operators.invoices import (flatten, flatten_messages, item_messages, items_from,
-                                         notifications, reward_messages, rewards)
+                                         notifications, resumed_rewards, reward_messages, rewards)
 from millrace.operators.logins import logins_from, update_last_login
 from millrace.operators.skew import hot_keys
 from millrace.operators.trades import trades_from, window_totals
 from millrace.operators.words import word_counts
-from millrace.schemas import AVRO_HEADER, FILE_HEADER, TOPIC_HEADER
+from millrace.schemas import AVRO_HEADER, FILE_HEADER, REWARD_TOTAL, TOPIC_HEADER
 from millrace.sources.tables import CassandraTable, FileTable
 from millrace.sources.topics import Topics
+from millrace.streaming.relayout import carried_stream, carry_join, carry_totals, positions
 from millrace.streaming.runner import json_sink
 
 # Topic names.
@@ -53,14 +54,28 @@ def publish_items(messages: DataFrame, topics: Topics, schema: str | None = None
     return topics.sink(encode_avro(items, schema, "InvoiceNumber", items.columns), ITEMS)
 
 
-def card_totals(messages: DataFrame, schema: str | None = None) -> DataFrame:
+def card_totals(messages: DataFrame, schema: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Running totals per card from the line items that ``publish_items`` writes."""
-    return rewards(items_from(messages, AVRO_HEADER) if schema is None else decode_avro(messages, schema))
+    return running_rewards(items_from(messages, AVRO_HEADER) if schema is None else decode_avro(messages, schema), checkpoint)
 
 
-def reward_cards(messages: DataFrame, topics: Topics, schema: str | None = None) -> DataStreamWriter:
+def running_rewards(items: DataFrame, checkpoint: str | None = None) -> DataFrame:
+    """Totals per card; on a ``checkpoint`` that ``carry_rewards`` has begun they go on from those held there."""
+    spark = items.sparkSession
+    if checkpoint is None or positions(spark, checkpoint) is None:
+        return rewards(items)
+    return resumed_rewards(items, carried_stream(spark, checkpoint, "totals", REWARD_TOTAL))
+
+
+def carry_rewards(spark: SparkSession, old: str, new: str) -> None:
+    """Begin a new checkpoint of the rewards, for the partitions the session now has, with the totals at an old one."""
+    carry_totals(spark, old, new, REWARD_TOTAL)
+
+
+def reward_cards(messages: DataFrame, topics: Topics, schema: str | None = None,
+                 checkpoint: str | None = None) -> DataStreamWriter:
     """Line items to reward messages. Update mode."""
-    return topics.sink(reward_messages(card_totals(messages, schema)), REWARDS, mode="update")
+    return topics.sink(reward_messages(card_totals(messages, schema, checkpoint)), REWARDS, mode="update")
 
 
 def record_logins(messages: DataFrame, users: CassandraTable | FileTable,
@@ -69,9 +84,21 @@ def record_logins(messages: DataFrame, users: CassandraTable | FileTable,
     return logins_from(messages).writeStream.foreachBatch(update_last_login(users, show))
 
 
-def matched_clicks(impressions: DataFrame, clicks: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """Impression messages joined with click messages. Append mode."""
-    return impression_clicks(impressions_from(impressions), clicks_from(clicks), hot)
+def matched_clicks(impressions: DataFrame, clicks: DataFrame, hot: DataFrame | None = None,
+                   checkpoint: str | None = None) -> DataFrame:
+    """Impression messages joined with click messages. Append mode.
+
+    On a ``checkpoint`` that ``carry_clicks`` has begun the rows held there take part.
+    """
+    left, right, spark = impressions_from(impressions), clicks_from(clicks), impressions.sparkSession
+    if checkpoint is None or positions(spark, checkpoint) is None:
+        return impression_clicks(left, right, hot)
+    return resumed_impression_clicks(spark, checkpoint, left, right, hot)
+
+
+def carry_clicks(spark: SparkSession, old: str, new: str) -> None:
+    """Begin a new checkpoint of the join, with the rows held at an old one and the keys that are hot by now spread."""
+    carry_join(spark, old, new, "ImpressionID", "ClickID")
 
 
 def hot_inventory(impressions: DataFrame, clicks: DataFrame) -> DataFrame:

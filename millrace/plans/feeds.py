@@ -19,7 +19,7 @@ from millrace.plans import apps
 from millrace.schemas import INVOICE, USER
 from millrace.session import (BYTES_PER_SHUFFLE_PARTITION, content_identity, engine_session, folder_size,
                               scratch_dir)
-from millrace.sources.tables import FileTable
+from millrace.sources.tables import BucketedTable, FileTable
 from millrace.sources.topics import Topics
 from millrace.streaming.runner import drain
 
@@ -28,6 +28,9 @@ FIRST_PART_ENDS = "1998-01-01"
 EARLY, LATE = "early", "late"
 LEAST_PARTITIONS = 8
 SALES, OTHERS = "sales", "others"
+# Days on which the second and the third part of the shifting clicks begin.
+SECOND_BEGINS, THIRD_BEGINS = "1997-01-01", "1999-01-01"
+FIRST, SECOND, THIRD = "first", "second", "third"
 
 _published: dict[tuple, str] = {}
 _publishing = threading.RLock()
@@ -187,6 +190,19 @@ def publish_clicks(tables: Tables, path: str) -> None:
                                 tables.file_records(tables["lineitem"].count()))
 
 
+def publish_shifting_clicks(tables: Tables, path: str) -> None:
+    """Line items as clicks in three parts by time; from the second on, those of every other part number are on inventory 0."""
+    day = F.col("l_shipdate").cast("timestamp")
+    part = F.when(day < F.to_timestamp(F.lit(SECOND_BEGINS)), FIRST) \
+        .when(day < F.to_timestamp(F.lit(THIRD_BEGINS)), SECOND).otherwise(THIRD)
+    shifted = (F.col("by") != FIRST) & (F.col("l_partkey") % 2 == 0)
+    rows = tables["lineitem"].select("l_orderkey", "l_partkey", "l_shipdate", part.alias("by")) \
+        .select(F.when(shifted, "0").otherwise(text("l_orderkey")).alias("InventoryID"),
+                format_time("l_shipdate").alias("CreatedTime"), "by")
+    messages = rows.select(*message(F.col("InventoryID"), encode_json("InventoryID", "CreatedTime")), "by")
+    Topics(folder=path).publish(messages, "clicks", tables.file_records(tables["lineitem"].count()), F.col("by"))
+
+
 def publish_trades(tables: Tables, path: str) -> None:
     """Every event is a trade; types other than buying and selling count for nothing. Sales have a writer of their own."""
     kind = F.when(F.col("event_type") == "purchase", "BUY") \
@@ -220,6 +236,14 @@ def users_table(tables: Tables, changes: str) -> FileTable:
     return FileTable(base=tables.feed("users"), changes=changes, key="login_id", schema=USER)
 
 
+def user_buckets(tables: Tables, folder: str) -> BucketedTable:
+    """All users in a table of their own, in as many buckets as the state has partitions."""
+    buckets = int(tables.spark.conf.get("spark.sql.shuffle.partitions"))
+    table = BucketedTable(folder, "login_id", USER, buckets)
+    table.load(tables.spark.read.schema(USER).parquet(tables.feed("users")))
+    return table
+
+
 FEEDS = {
     "invoices": publish_invoices,
     "invoice-items": publish_invoice_items,
@@ -227,6 +251,7 @@ FEEDS = {
     "logins": publish_logins,
     "impressions": publish_impressions,
     "clicks": publish_clicks,
+    "shifting-clicks": publish_shifting_clicks,
     "stock-trades": publish_trades,
     "lines": publish_lines,
     "users": publish_users,

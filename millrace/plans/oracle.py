@@ -135,6 +135,14 @@ ORACLE = {
                o_orderpriority AS Campaigner, CAST(l_orderkey AS VARCHAR) AS ClickID,
                strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS ClickTime
         FROM orders JOIN lineitem ON o_orderkey = l_orderkey""",
+    "clicks_after_relayout": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS ImpressionID,
+               strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS CreatedTime,
+               o_orderpriority AS Campaigner, CAST(o_orderkey AS VARCHAR) AS ClickID,
+               strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS ClickTime
+        FROM orders JOIN lineitem ON o_orderkey = CASE
+            WHEN l_partkey % 2 = 0 AND (l_shipdate < TIMESTAMP '1997-01-01') IS NOT TRUE THEN 0 ELSE l_orderkey END""",
+    "rewards_after_relayout": REWARDS.format(batch="", where=""),
     "word_count": WORDS.format(batch="", where=""),
     "word_count_snapshots": f"""
         {WORDS.format(batch="CAST(0 AS BIGINT) AS batch_id,", where="WHERE lang = 'en'")}

@@ -19,13 +19,15 @@ from millrace.operators.skew import frozen
 from millrace.operators.trades import buy_sell
 from millrace.operators.words import word_counts
 from millrace.plans import apps
-from millrace.plans.feeds import EARLY, LATE, OTHERS, SALES, Tables, publish_lines, users_table
-from millrace.schemas import (AVRO_HEADER, FILE_HEADER, INVOICE, LONG, NOTIFICATION, REWARD, TOPIC_HEADER,
+from millrace.plans.feeds import (EARLY, FIRST, LATE, OTHERS, SALES, SECOND, THIRD, Tables, publish_lines, user_buckets,
+                                  users_table)
+from millrace.schemas import (AVRO_HEADER, FILE_HEADER, INVOICE, LONG, NOTIFICATION, REWARD, REWARD_TOTAL, TOPIC_HEADER,
                               TRADE, flat_schema)
 from millrace.session import scratch_dir
 from millrace.sources.files import json_directory, text_directory
 from millrace.sources.topics import Topics
 from millrace.streaming.changelog import all_batches, batch_writer, last_batch, last_per_key
+from millrace.streaming.relayout import positions
 from millrace.streaming.runner import changelog_sink, drain, parquet_sink, snapshot_sink
 
 
@@ -166,7 +168,7 @@ def last_login_upsert(spark: SparkSession, folder: str) -> DataFrame:
     tables = Tables.of(spark, folder)
     work = scratch_dir(tables.spark, "login-upsert")
     topics = Topics(folder=f"{work}/topics")
-    users = users_table(tables, f"{work}/changes")
+    users = user_buckets(tables, f"{work}/users")
     for writer in (EARLY, LATE):
         _publish_part(tables, topics, apps.LOGINS, writer)
         messages = topics.stream(tables.spark, apps.LOGINS)
@@ -192,6 +194,54 @@ def impression_click_join(spark: SparkSession, folder: str) -> DataFrame:
         .withColumn("ClickTime", format_time("ClickTime"))
 
 
+def clicks_after_relayout(spark: SparkSession, folder: str) -> DataFrame:
+    """The join of impressions with clicks that gather on one id: stopped, and continued where that id is spread.
+
+    No id is hot when the first checkpoint begins. The second one begins with the rows that the first
+    holds and with the ids that are hot by then.
+    """
+    tables = Tables.of(spark, folder)
+    work = scratch_dir(tables.spark, "shifting-clicks")
+    topics, clicks = Topics(folder=f"{work}/topics"), tables.topics("shifting-clicks")
+    topics.publish(tables.topics("impressions").table(tables.spark, "impressions"), "impressions")
+    stopped, continued = f"{work}/first-checkpoint", f"{work}/second-checkpoint"
+    for part, checkpoint in ((FIRST, stopped), (SECOND, stopped), (THIRD, continued)):
+        topics.publish(clicks.part(tables.spark, "clicks", part), "clicks")
+        if checkpoint == continued:
+            apps.carry_clicks(tables.spark, stopped, continued)
+        after = positions(tables.spark, checkpoint)
+        left, right = (topics.stream(tables.spark, name, positions=True, after=after) for name in ("impressions", "clicks"))
+        hot = frozen(tables.spark, f"{checkpoint}/hot-keys", lambda: apps.hot_inventory(
+            topics.table(tables.spark, "impressions"), topics.table(tables.spark, "clicks")))
+        # A sink keeps account of one query's batches, so each has its own.
+        drain(parquet_sink(apps.matched_clicks(left, right, hot, checkpoint), f"{checkpoint}-out"), checkpoint)
+    pairs = [tables.spark.read.parquet(f"{checkpoint}-out") for checkpoint in (stopped, continued)]
+    return pairs[0].unionByName(pairs[1]).withColumn("ClickTime", format_time("ClickTime"))
+
+
+def rewards_after_relayout(spark: SparkSession, folder: str) -> DataFrame:
+    """Running totals per card, stopped after the early orders and continued with four times as many state partitions."""
+    tables = Tables.of(spark, folder)
+    work = scratch_dir(tables.spark, "rewards-relayout")
+    topics = Topics(folder=f"{work}/topics")
+    stopped, continued = f"{work}/first-checkpoint", f"{work}/second-checkpoint"
+    emitted = []
+    for writer, checkpoint in ((EARLY, stopped), (LATE, continued)):
+        if checkpoint == continued:
+            partitions = int(tables.spark.conf.get("spark.sql.shuffle.partitions"))
+            tables.spark.conf.set("spark.sql.shuffle.partitions", str(4 * partitions))
+            apps.carry_rewards(tables.spark, stopped, continued)
+        _publish_part(tables, topics, apps.INVOICES, writer)
+        messages = topics.stream(tables.spark, "invoices", after=positions(tables.spark, checkpoint))
+        totals = apps.running_rewards(_item_values(messages), checkpoint)
+        drain(changelog_sink(totals, f"{checkpoint}-out"), checkpoint, mode="update")
+        emitted.append(all_batches(tables.spark, f"{checkpoint}-out", REWARD_TOTAL))
+    # Batches of the second query come after all of the first.
+    later = emitted[1].withColumn("batch_id", F.col("batch_id") + F.lit(1 << 40))
+    last = last_per_key(emitted[0].unionByName(later), ["CustomerCardNo"])
+    return last.select("CustomerCardNo", cents("TotalPurchase"), "AggregatedRewards")
+
+
 def word_count(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of text files to counts per word, in complete mode."""
     tables = Tables.of(spark, folder)
@@ -274,6 +324,7 @@ def prime_filter(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {query.__name__: query for query in (
     file_invoice_flatten, topic_invoice_flatten, loyalty_notifications, items_roundtrip,
     customer_rewards, rewards_from_items_topic, rewards_messages, rewards_changelog,
-    restart_exactly_once, last_login_join, last_login_upsert, impression_click_join, word_count,
+    restart_exactly_once, last_login_join, last_login_upsert, impression_click_join,
+    clicks_after_relayout, rewards_after_relayout, word_count,
     word_count_snapshots, trade_windows, trade_windows_changelog, json_decode, parse_timestamp,
     conditional_columns, prime_filter)}

@@ -39,6 +39,9 @@ NOTIFICATION = record(CustomerCardNo=STRING, TotalAmount=DOUBLE, EarnedLoyaltyPo
 
 REWARD = record(TotalPurchase=DOUBLE, AggregatedRewards=LONG)
 
+# A card's totals as the rewards hold them.
+REWARD_TOTAL = record(CustomerCardNo=STRING, TotalPurchase=DOUBLE, AggregatedRewards=LONG)
+
 # Columns of a topic as the Kafka connector delivers them.
 TOPIC = record(key=BINARY, value=BINARY, topic=STRING, partition=INT, offset=LONG,
                timestamp=TIMESTAMP, timestampType=INT)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.streaming.changelog import all_batches, batch_numbers, drop_folder, last_per_key
+from millrace.streaming.manifests import commit, committed, names
 
 CASSANDRA = "org.apache.spark.sql.cassandra"
 
@@ -114,6 +115,96 @@ class FileTable:
             for name in self.schema.fieldNames() if name != self.key])
 
 
+@dataclass(frozen=True)
+class BucketedTable:
+    """Rows by key in a fixed number of buckets, of which an upsert reads and writes those it touches.
+
+    A batch writes new versions of its buckets beside the old ones, then a manifest that names the
+    version of every bucket, put in place by one rename: readers see a batch whole or not at all. A
+    repeated batch that was not decided writes its buckets again; one that was does nothing. Versions
+    that neither of the two newest manifests names are dropped. The number of buckets is fixed with
+    the first manifest; it should make a bucket about a file's size.
+    """
+
+    folder: str
+    key: str
+    schema: T.StructType
+    buckets: int = 64
+
+    def _bucket(self, rows: DataFrame) -> Column:
+        return F.pmod(F.xxhash64(rows[self.key]), F.lit(self.buckets)).cast("int")
+
+    def _manifest(self, batch_id: int) -> str:
+        # A name that sorts by number, as the state of the table is its newest manifest.
+        return f"{self.folder}/manifests/{batch_id + 1:020d}.json"
+
+    def _versions(self, spark: SparkSession, before: int = 0) -> dict[int, int]:
+        """{bucket: batch that wrote it}, by the newest manifest or one before it."""
+        found = names(spark, f"{self.folder}/manifests")
+        if len(found) <= before:
+            return {}
+        return {int(bucket): batch for bucket, batch in
+                committed(spark, f"{self.folder}/manifests/{found[-1 - before]}").items()}
+
+    def _place(self, bucket: int, batch_id: int) -> str:
+        return f"{self.folder}/data/batch_id={batch_id}/bucket={bucket}"
+
+    def _rows(self, spark: SparkSession, versions: dict[int, int]) -> DataFrame:
+        if not versions:
+            return spark.createDataFrame([], self.schema)
+        return spark.read.schema(self.schema).parquet(*[self._place(*version) for version in sorted(versions.items())])
+
+    def load(self, rows: DataFrame) -> None:
+        """Begin the table with rows, each key once; nothing if it has begun."""
+        spark = rows.sparkSession
+        if not names(spark, f"{self.folder}/manifests"):
+            self._write(rows, -1, {})
+
+    def _write(self, rows: DataFrame, batch_id: int, versions: dict[int, int]) -> None:
+        spark, data = rows.sparkSession, f"{self.folder}/data/batch_id={batch_id}"
+        chosen = rows.select(self.schema.fieldNames())
+        # One task a bucket, so that it is one file.
+        chosen.withColumn("bucket", self._bucket(chosen)).repartition("bucket") \
+            .write.mode("overwrite").partitionBy("bucket").parquet(data)
+        written = [int(name.removeprefix("bucket=")) for name in names(spark, data) if name.startswith("bucket=")]
+        commit(spark, self._manifest(batch_id), {**versions, **dict.fromkeys(written, batch_id)})
+
+    def _touched(self, rows: DataFrame) -> list[int]:
+        """The buckets of the rows' keys: at most as many numbers as there are buckets."""
+        return [row[0] for row in rows.select(self._bucket(rows).alias("bucket")).distinct().collect()]
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """All rows as they are now."""
+        return self._rows(spark, self._versions(spark))
+
+    current = read
+
+    def read_for(self, rows: DataFrame) -> DataFrame:
+        """The rows of the buckets that the keys of ``rows`` fall into."""
+        versions = self._versions(rows.sparkSession)
+        return self._rows(rows.sparkSession, {bucket: versions[bucket] for bucket in self._touched(rows) if bucket in versions})
+
+    def upsert(self, rows: DataFrame, batch_id: int) -> None:
+        """Take over rows, which hold each key once; other buckets than theirs are neither read nor written."""
+        spark = rows.sparkSession
+        if committed(spark, self._manifest(batch_id)) is not None:
+            return
+        versions = self._versions(spark)
+        before = self._rows(spark, {bucket: versions[bucket] for bucket in self._touched(rows) if bucket in versions})
+        merged = before.join(rows.select(self.key), self.key, "left_anti").unionByName(rows.select(before.columns))
+        self._write(merged, batch_id, versions)
+        self._drop(spark)
+
+    def _drop(self, spark: SparkSession) -> None:
+        """Versions named only by the third newest manifest go, then manifests older than that."""
+        newer = [self._versions(spark, before) for before in (0, 1)]
+        for bucket, batch in self._versions(spark, 2).items():
+            if all(versions.get(bucket) != batch for versions in newer):
+                drop_folder(spark, self._place(bucket, batch))
+        for name in names(spark, f"{self.folder}/manifests")[:-3]:
+            drop_folder(spark, f"{self.folder}/manifests/{name}")
+
+
 def _finished(spark: SparkSession, path: str) -> bool:
     marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
