@@ -16,9 +16,11 @@ from millrace.plans import apps
 from millrace.resources import INVOICE_ITEM_SCHEMA
 from millrace.schemas import USER
 from millrace.session import app_session, engine_session, use_object_store
-from millrace.sources.files import json_directory, socket_lines, source_schema, text_directory
-from millrace.sources.tables import CassandraTable, FileTable, cassandra_settings
+from millrace.sources.files import json_directory, kept_schema, socket_lines, source_schema, text_directory, with_drift
+from millrace.sources.tables import BucketedTable, CassandraTable, FileTable, cassandra_settings
 from millrace.sources.topics import Topics
+from millrace.streaming.manifests import exists
+from millrace.streaming.relayout import positions as reached
 from millrace.streaming.runner import changelog_sink, console_sink, parquet_sink, snapshot_sink, start
 
 # Output mode, and time between micro-batches if none is given; "" starts the next at once.
@@ -57,12 +59,20 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--hot-keys", help="impression-clicks: Parquet list of the ids to spread at the first "
                                             "start, instead of those found in the topics; the checkpoint keeps it")
     options.add_argument("--source-schema", help="invoice-files: file with the input's schema, as DDL or JSON; "
-                                                 "without it all files are read once to infer it")
+                                                 "without it all files are read once, at the first start, to find it")
     options.add_argument("--item-format", choices=("avro", "json"), default="avro",
                          help="publish-items, rewards: how line items are written (Avro needs spark-avro)")
     options.add_argument("--schema-file", help="Avro schema of line items, instead of the package's own")
     options.add_argument("--interval", help='time between micro-batches, such as "1 minute"')
     options.add_argument("--until-caught-up", action="store_true", help="end when the input is done")
+    options.add_argument("--resume-from", metavar="CHECKPOINT", help="rewards, impression-clicks: begin a new --checkpoint with the "
+                         "state of this stopped query, for the present --shuffle-partitions and the ids that are hot by now")
+    options.add_argument("--keep-batches", type=int, help="rewards to a topic folder: batches that stay for streams; older ones "
+                                                          "are merged, the last message of each card staying")
+    options.add_argument("--buckets", type=int, help="last-login: keep the users in this many buckets in --changes, "
+                                                     "beginning with those in --users, and rewrite those a batch touches")
+    options.add_argument("--report-drift", choices=("count", "fail"),
+                         help="invoice-files: count the lines that do not fit the schema, or fail at the first")
     options.add_argument("--name", help="query name")
     options.add_argument("--print-schema", action="store_true")
     options.add_argument("--master")
@@ -81,7 +91,7 @@ def launch(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
 
     def topics() -> Topics:
         further = dict(option.split("=", 1) for option in args.kafka_option)
-        return Topics(folder=args.topic_folder, brokers=args.brokers, options=further)
+        return Topics(folder=args.topic_folder, brokers=args.brokers, options=further, keep_batches=args.keep_batches)
 
     def item_schema() -> str | None:
         if args.item_format == "json":
@@ -89,7 +99,7 @@ def launch(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
         return load_schema(args.schema_file) if args.schema_file else INVOICE_ITEM_SCHEMA
 
     def read(name: str, positions: bool = False) -> DataFrame:
-        return topics().stream(spark, name, args.starting, args.files_per_trigger, positions)
+        return topics().stream(spark, name, args.starting, args.files_per_trigger, positions, reached(spark, args.checkpoint))
 
     def result(rows: DataFrame):
         if args.print_schema:
@@ -100,8 +110,11 @@ def launch(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
         return sink(rows, args.target)
 
     if args.app == "invoice-files":
-        schema = source_schema(args.source_schema) if args.source_schema else None
-        raw = json_directory(spark, args.source, args.files_per_trigger or 1, schema)
+        schema = source_schema(args.source_schema) if args.source_schema else \
+            kept_schema(spark, args.source, args.checkpoint)
+        files = args.files_per_trigger or 1
+        raw = json_directory(spark, args.source, files, schema) if not args.report_drift else \
+            with_drift(spark, args.source, schema, files, strict=args.report_drift == "fail")
         if args.print_schema:
             raw.printSchema()
         writer = apps.flatten_files(raw, args.target)
@@ -112,16 +125,28 @@ def launch(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     elif args.app == "publish-items":
         writer = apps.publish_items(read(apps.INVOICES), topics(), item_schema())
     elif args.app == "rewards":
-        writer = apps.reward_cards(read(apps.ITEMS), topics(), item_schema())
+        if args.resume_from:
+            apps.carry_rewards(spark, args.resume_from, args.checkpoint)
+        writer = apps.reward_cards(read(apps.ITEMS), topics(), item_schema(), args.checkpoint)
     elif args.app == "last-login":
-        users = CassandraTable(args.keyspace, args.table) if args.keyspace else \
-            FileTable(args.users, args.changes, "login_id", USER)
+        if args.keyspace:
+            users = CassandraTable(args.keyspace, args.table)
+        elif args.buckets:
+            users = BucketedTable(args.changes, "login_id", USER, args.buckets)
+            users.load(spark.read.schema(USER).parquet(args.users))
+        else:
+            users = FileTable(args.users, args.changes, "login_id", USER)
         writer = apps.record_logins(read(apps.LOGINS), users, args.show)
     elif args.app == "impression-clicks":
+        if args.resume_from:
+            if args.target and exists(spark, f"{args.target}/_spark_metadata"):
+                raise ValueError("a file sink keeps account of one query's batches: give the new checkpoint a new --target")
+            apps.carry_clicks(spark, args.resume_from, args.checkpoint)
         given = spark.read.schema(HOT_KEYS).parquet(args.hot_keys) if args.hot_keys else None
         hot = frozen(spark, f"{args.checkpoint}/hot-keys", lambda: apps.hot_inventory(
             topics().table(spark, apps.IMPRESSIONS), topics().table(spark, apps.CLICKS)), given)
-        writer = result(apps.matched_clicks(read(apps.IMPRESSIONS, True), read(apps.CLICKS, True), hot))
+        writer = result(apps.matched_clicks(read(apps.IMPRESSIONS, True), read(apps.CLICKS, True), hot,
+                                            args.checkpoint))
     elif args.app == "word-count":
         lines = socket_lines(spark, args.host, args.port) if args.host else \
             text_directory(spark, args.source, args.files_per_trigger)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.codecs import decode_json, encode_json, message
 from millrace.functions.money import loyalty_points
+from millrace.functions.sums import exact_sum, limb_sums
 from millrace.schemas import ADDRESS_COLUMNS, INVOICE, ITEM_COLUMNS, NOTIFICATION, flat_schema
 
 
@@ -52,6 +53,15 @@ def rewards(items: DataFrame) -> DataFrame:
              F.sum(loyalty_points("value.TotalValue")).alias("AggregatedRewards"))
 
 
+def exact_rewards(items: DataFrame) -> DataFrame:
+    """``rewards`` whose purchase total is the same to the last bit for any order and cut of the items."""
+    sums = items.filter("value.CustomerType == 'PRIME'") \
+        .groupBy("value.CustomerCardNo") \
+        .agg(*limb_sums(F.col("value.TotalValue"), "total"),
+             F.sum(loyalty_points("value.TotalValue")).alias("AggregatedRewards"))
+    return sums.select("CustomerCardNo", exact_sum("total").alias("TotalPurchase"), "AggregatedRewards")
+
+
 def resumed_rewards(items: DataFrame, held: DataFrame) -> DataFrame:
     """``rewards`` of the line items behind a stopped query's positions, on top of the totals it held.
 

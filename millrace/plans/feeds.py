@@ -215,6 +215,18 @@ def publish_trades(tables: Tables, path: str) -> None:
                                 tables.file_records(tables["events"].count()), F.col("by"))
 
 
+def publish_damaged_trades(tables: Tables, path: str) -> None:
+    """The trades, some of whose messages have lost their end (broker 3) or have a word for the amount (sales of broker 1)."""
+    trades = tables.topics("stock-trades").table(tables.spark, "stock-trades")
+    text = F.col("value").cast("string")
+    broker = F.col("key").cast("string")
+    spoilt = F.when(broker == "B3", F.substring(text, F.lit(1), F.length(text) - 5)) \
+        .when((broker == "B1") & text.contains('"SELL"'), F.regexp_replace(text, '"Amount":-?[0-9]+', '"Amount":"many"')) \
+        .otherwise(text)
+    Topics(folder=path).publish(trades.select("key", spoilt.cast("binary").alias("value")), "stock-trades",
+                                tables.file_records(tables["events"].count()))
+
+
 def publish_lines(tables: Tables, path: str, where: Column | None = None) -> None:
     """The text of every document (or of those chosen), as lines of text files."""
     documents = tables["documents"].where("text is not null")
@@ -253,6 +265,7 @@ FEEDS = {
     "clicks": publish_clicks,
     "shifting-clicks": publish_shifting_clicks,
     "stock-trades": publish_trades,
+    "damaged-trades": publish_damaged_trades,
     "lines": publish_lines,
     "users": publish_users,
 }

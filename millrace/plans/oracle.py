@@ -94,6 +94,44 @@ WINDOWS_CHANGELOG = f"""
         WHERE slot IN (SELECT time_bucket(INTERVAL 15 MINUTE, ts) FROM ({TRADES}) WHERE Type = 'SELL')""")})
 """
 
+# Whole numbers of multiples of 2**32, 1, 2**-32, 2**-64 and 2**-96 in an amount, added up as such.
+EXACT_REWARDS = f"""
+    WITH items AS (
+        SELECT CAST(o_custkey AS VARCHAR) AS CustomerCardNo, l_extendedprice AS x, l_extendedprice % 1.0 AS p,
+               ((l_extendedprice % 1.0) * 4294967296.0) % 1.0 AS q, {points("l_extendedprice")} AS earned
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+        WHERE c_mktsegment = 'BUILDING'),
+    parts AS (
+        SELECT CustomerCardNo, earned, x - p AS whole, (x - p) % 4294967296.0 AS units, p * 4294967296.0 - q AS low,
+               q * 4294967296.0 - (q * 4294967296.0) % 1.0 AS lower, ((q * 4294967296.0) % 1.0) * 4294967296.0 AS lowest
+        FROM items),
+    sums AS (
+        SELECT CustomerCardNo, CAST(sum(earned) AS BIGINT) AS AggregatedRewards,
+               CAST(sum(CAST((whole - units) / 4294967296.0 AS HUGEINT)) AS DOUBLE) AS a,
+               CAST(sum(CAST(units AS HUGEINT)) AS DOUBLE) AS b, CAST(sum(CAST(low AS HUGEINT)) AS DOUBLE) AS c,
+               CAST(sum(CAST(lower AS HUGEINT)) AS DOUBLE) AS d, CAST(sum(CAST(lowest AS HUGEINT)) AS DOUBLE) AS e
+        FROM parts GROUP BY CustomerCardNo)
+    SELECT CustomerCardNo, AggregatedRewards,
+           a * 4294967296.0 + (b + (c + (d + e / 4294967296.0) / 4294967296.0) / 4294967296.0) AS TotalPurchase
+    FROM sums
+"""
+
+# Messages of broker 3 have lost their last five letters; sales of broker 1 have a word for the amount.
+TRADES_AND_DAMAGED = f"""
+    WITH texts AS (
+        SELECT *, '{{{{"CreatedTime":"' || CreatedTime || '","Type":"' || Type || '","Amount":' || Amount
+               || ',"BrokerCode":"' || BrokerCode || '"}}}}' AS whole
+        FROM ({TRADES})),
+    spoilt AS (
+        SELECT *, CASE WHEN BrokerCode = 'B3' THEN substr(whole, 1, length(whole) - 5)
+                       WHEN BrokerCode = 'B1' AND Type = 'SELL' THEN replace(whole, '"Amount":' || Amount, '"Amount":"many"') END AS raw
+        FROM texts)
+    SELECT CASE WHEN raw IS NULL THEN CreatedTime END AS CreatedTime, CASE WHEN raw IS NULL THEN Type END AS Type,
+           CASE WHEN raw IS NULL THEN Amount END AS Amount, CASE WHEN raw IS NULL THEN BrokerCode END AS BrokerCode,
+           raw IS NOT NULL AS damaged, raw
+    FROM spoilt
+""".replace("{{", "{").replace("}}", "}")
+
 WORDS = """
     SELECT {batch} word, count(*) AS count
     FROM (SELECT unnest(string_split(line, ' ')) AS word
@@ -143,6 +181,8 @@ ORACLE = {
         FROM orders JOIN lineitem ON o_orderkey = CASE
             WHEN l_partkey % 2 = 0 AND (l_shipdate < TIMESTAMP '1997-01-01') IS NOT TRUE THEN 0 ELSE l_orderkey END""",
     "rewards_after_relayout": REWARDS.format(batch="", where=""),
+    "exact_customer_rewards": EXACT_REWARDS,
+    "trades_and_damaged": TRADES_AND_DAMAGED,
     "word_count": WORDS.format(batch="", where=""),
     "word_count_snapshots": f"""
         {WORDS.format(batch="CAST(0 AS BIGINT) AS batch_id,", where="WHERE lang = 'en'")}

@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.codecs import decode_json
+from millrace.functions.codecs import DAMAGED, RAW, decode_json, decode_or_keep
 from millrace.functions.times import format_time, parse_time
-from millrace.operators.invoices import items_from, rewards
+from millrace.operators.invoices import exact_rewards, items_from, rewards
 from millrace.operators.logins import logins_from, matched_logins
 from millrace.operators.skew import frozen
 from millrace.operators.trades import buy_sell
@@ -24,9 +24,9 @@ from millrace.plans.feeds import (EARLY, FIRST, LATE, OTHERS, SALES, SECOND, THI
 from millrace.schemas import (AVRO_HEADER, FILE_HEADER, INVOICE, LONG, NOTIFICATION, REWARD, REWARD_TOTAL, TOPIC_HEADER,
                               TRADE, flat_schema)
 from millrace.session import scratch_dir
-from millrace.sources.files import json_directory, text_directory
+from millrace.sources.files import json_directory, kept_schema, text_directory
 from millrace.sources.topics import Topics
-from millrace.streaming.changelog import all_batches, batch_writer, last_batch, last_per_key
+from millrace.streaming.changelog import all_batches, batch_writer, last_batch, last_per_key, split_writer
 from millrace.streaming.relayout import positions
 from millrace.streaming.runner import changelog_sink, drain, parquet_sink, snapshot_sink
 
@@ -43,11 +43,12 @@ def _stream(tables: Tables, feed: str, topic: str | None = None, positions: bool
 
 
 def file_invoice_flatten(spark: SparkSession, folder: str) -> DataFrame:
-    """JSON files with inferred schema to flat JSON files."""
+    """JSON files, whose schema is found once and kept with the checkpoint, to flat JSON files."""
     tables = Tables.of(spark, folder)
     source = tables.feed("invoice-files")
     work = scratch_dir(tables.spark, "file-invoices")
-    raw = json_directory(tables.spark, source, tables.files_per_batch(source))
+    schema = kept_schema(tables.spark, source, f"{work}/checkpoint")
+    raw = json_directory(tables.spark, source, tables.files_per_batch(source), schema)
     drain(apps.flatten_files(raw, f"{work}/out"), f"{work}/checkpoint")
     return tables.spark.read.schema(flat_schema(FILE_HEADER, item_qty=LONG)).json(f"{work}/out")
 
@@ -100,6 +101,24 @@ def customer_rewards(spark: SparkSession, folder: str) -> DataFrame:
     return last.select("CustomerCardNo", cents("TotalPurchase"), "AggregatedRewards")
 
 
+def exact_customer_rewards(spark: SparkSession, folder: str) -> DataFrame:
+    """``customer_rewards`` with purchase totals that are exact to the last bit, not rounded to cents."""
+    tables = Tables.of(spark, folder)
+    work = scratch_dir(tables.spark, "exact-rewards")
+    totals = exact_rewards(_item_values(_stream(tables, "invoices")))
+    drain(changelog_sink(totals, f"{work}/out"), f"{work}/checkpoint", mode="update")
+    return last_per_key(all_batches(tables.spark, f"{work}/out"), ["CustomerCardNo"])
+
+
+def trades_and_damaged(spark: SparkSession, folder: str) -> DataFrame:
+    """A damaged trade topic: whole messages decoded, the others as they came, from one pass over each micro-batch."""
+    tables = Tables.of(spark, folder)
+    work = scratch_dir(tables.spark, "damaged-trades")
+    messages = _stream(tables, "damaged-trades", "stock-trades")
+    drain(decode_or_keep(messages, TRADE).writeStream.foreachBatch(split_writer(f"{work}/out", DAMAGED)), f"{work}/checkpoint")
+    return all_batches(tables.spark, f"{work}/out").select(*TRADE.fieldNames(), F.col(DAMAGED).cast("boolean").alias(DAMAGED), RAW)
+
+
 def rewards_from_items_topic(spark: SparkSession, folder: str) -> DataFrame:
     """Rewards chained behind the publisher, through its topic of line items."""
     tables = Tables.of(spark, folder)
@@ -325,6 +344,6 @@ QUERIES = {query.__name__: query for query in (
     file_invoice_flatten, topic_invoice_flatten, loyalty_notifications, items_roundtrip,
     customer_rewards, rewards_from_items_topic, rewards_messages, rewards_changelog,
     restart_exactly_once, last_login_join, last_login_upsert, impression_click_join,
-    clicks_after_relayout, rewards_after_relayout, word_count,
+    clicks_after_relayout, rewards_after_relayout, exact_customer_rewards, trades_and_damaged, word_count,
     word_count_snapshots, trade_windows, trade_windows_changelog, json_decode, parse_timestamp,
     conditional_columns, prime_filter)}

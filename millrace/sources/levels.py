@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +14,7 @@ from millrace.streaming.manifests import exists
 
 # Sub-folder of a writer; Spark's readers pass over such names.
 LEVELS = "_levels"
+SPAN = "span="
 UPTO = "upto="
 
 
@@ -22,7 +22,7 @@ UPTO = "upto="
 class Levels:
     """The batches of one writer, merged ``fanout`` at a time, and such merges again.
 
-    A merge on level k holds the last message per key of fanout**k batches in a row. It is made once
+    A merge on level k holds the last message per key of fanout**k batches in a row, its span. It is made once
     the batch behind them begins, so all of them are finished; a repeated merge replaces its own
     folder. Batches that a merge holds stay for streams that read them one by one until ``keep`` later
     ones are there. So the folders are at most ``keep`` + fanout batches and fanout - 1 merges a level, and
@@ -36,28 +36,26 @@ class Levels:
     def _batch(self, number: int) -> str:
         return f"{self.writer}/batch_id={number}"
 
-    def _level(self, level: int) -> str:
-        return f"{self.writer}/{LEVELS}/level={level}"
+    def _merge(self, span: int, upto: int) -> str:
+        return f"{self.writer}/{LEVELS}/{SPAN}{span}/{UPTO}{upto}"
 
-    def _merge(self, level: int, upto: int) -> str:
-        return f"{self._level(level)}/{UPTO}{upto}"
+    def _merges(self, spark: SparkSession) -> dict[int, list[int]]:
+        """{batches that a merge holds: the last batch of each such merge}; readers need not know the fan-out."""
+        folder = f"{self.writer}/{LEVELS}"
+        return {span: batch_numbers(spark, f"{folder}/{SPAN}{span}", UPTO) for span in batch_numbers(spark, folder, SPAN)}
 
     def segments(self, spark: SparkSession, below: int | None = None) -> Iterator[tuple[int, int]]:
-        """(level, last batch) of the folders that hold all batches below a number, each batch in one; level 0 is the batch itself."""
+        """(span, last batch) of the folders that hold all batches below a number, each batch in one; span 0 is the batch itself."""
         batches = set(batch_numbers(spark, self.writer))
-        merges: dict[int, set[int]] = {}
-        level = 1
-        while found := batch_numbers(spark, self._level(level), UPTO):
-            merges[level] = {upto for upto in found if exists(spark, f"{self._merge(level, upto)}/_SUCCESS")}
-            level += 1
-        tops = [upto for level in merges.values() for upto in level]
-        last = max([*batches, *tops], default=-1)
+        merges = {span: {upto for upto in found if exists(spark, f"{self._merge(span, upto)}/_SUCCESS")}
+                  for span, found in sorted(self._merges(spark).items(), reverse=True)}
+        last = max([*batches, *(upto for found in merges.values() for upto in found)], default=-1)
         at = 0
         while at <= (last if below is None else below - 1):
-            for level in sorted(merges, reverse=True):
-                upto = at + self.fanout ** level - 1
-                if upto in merges[level] and (below is None or upto < below):
-                    yield level, upto
+            for span, found in merges.items():
+                upto = at + span - 1
+                if upto in found and (below is None or upto < below):
+                    yield span, upto
                     at = upto + 1
                     break
             else:
@@ -68,21 +66,23 @@ class Levels:
 
     def rows(self, spark: SparkSession, segments: list[tuple[int, int]]) -> DataFrame:
         """Messages of the segments with the number of the batch that wrote them."""
-        parts = [spark.read.schema(STORED_MESSAGE).parquet(self._batch(upto)).withColumn("batch_id", F.lit(upto).cast("long"))
-                 if not level else spark.read.schema(MERGED).parquet(self._merge(level, upto)) for level, upto in segments]
-        empty = spark.createDataFrame([], MERGED)
-        return reduce(DataFrame.unionByName, parts, empty)
+        batches = [self._batch(upto) for span, upto in segments if not span]
+        merges = [self._merge(span, upto) for span, upto in segments if span]
+        whole = spark.createDataFrame([], MERGED)
+        if batches:
+            # The number of a batch is its folder's.
+            whole = whole.unionByName(spark.read.schema(MERGED).option("basePath", self.writer).parquet(*batches))
+        return whole.unionByName(spark.read.schema(MERGED).parquet(*merges)) if merges else whole
 
     def compact(self, spark: SparkSession, started: int) -> None:
         """Merge what is complete now that batch ``started`` begins, and drop what is merged and old."""
-        level = 1
-        while started and started % self.fanout ** level == 0:
+        span = self.fanout
+        while started and started % span == 0:
             upto = started - 1
-            if not exists(spark, f"{self._merge(level, upto)}/_SUCCESS"):
-                first = started - self.fanout ** level
-                inside = [(part, last) for part, last in self.segments(spark, started) if last >= first and part < level]
-                last_messages(self.rows(spark, inside)).write.mode("overwrite").parquet(self._merge(level, upto))
-            level += 1
+            if not exists(spark, f"{self._merge(span, upto)}/_SUCCESS"):
+                inside = [(part, last) for part, last in self.segments(spark, started) if last >= started - span and part < span]
+                last_messages(self.rows(spark, inside)).write.mode("overwrite").parquet(self._merge(span, upto))
+            span *= self.fanout
         self._drop(spark, started)
 
     def _drop(self, spark: SparkSession, started: int) -> None:
@@ -90,13 +90,11 @@ class Levels:
         for number in batch_numbers(spark, self.writer):
             if number < started - self.keep and (0, number) not in used:
                 drop_folder(spark, self._batch(number))
-        level = 1
-        while merges := batch_numbers(spark, self._level(level), UPTO):
+        for span, merges in self._merges(spark).items():
             for upto in merges:
-                # Those that the level above took in with this batch may still be read by someone.
-                if (level, upto) not in used and upto < started - self.fanout ** level:
-                    drop_folder(spark, self._merge(level, upto))
-            level += 1
+                # Those that a wider merge took in with this batch may still be read by someone.
+                if (span, upto) not in used and upto < started - span:
+                    drop_folder(spark, self._merge(span, upto))
 
 
 MERGED = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in STORED_MESSAGE.fields)}, batch_id bigint"

@@ -19,6 +19,16 @@ def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def split_writer(path: str, column: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` callback that deals a batch's rows to folders by a column, in one pass over them; a repeated
+    batch replaces all of its folders."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").partitionBy(column).parquet(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
 def snapshot_writer(path: str) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` callback for whole results: folders that two later batches have replaced go.
 

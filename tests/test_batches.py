@@ -1,0 +1,188 @@
+"""Batches of folder topics: decided once, compacted in levels; tables in buckets."""
+
+from __future__ import annotations
+
+from datetime import UTC, datetime, timedelta
+from pathlib import Path
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import messages, publish, rows
+from millrace.operators.logins import logins_from, update_last_login
+from millrace.schemas import USER
+from millrace.sources import topics as topics_module
+from millrace.sources.levels import Levels
+from millrace.sources.tables import BucketedTable
+from millrace.sources.topics import write_batch
+from millrace.streaming.runner import drain, parquet_sink
+
+
+def texts(df) -> list[str]:
+    return sorted(bytes(row["value"]).decode() for row in df.collect())
+
+
+def seen(spark, topics, tmp_path) -> list[str]:
+    """What a stream has read of the topic so far, over all its restarts."""
+    stream = topics.stream(spark, "t").select(F.col("value").cast("string"))
+    drain(parquet_sink(stream, f"{tmp_path}/seen"), f"{tmp_path}/reader")
+    return sorted(row[0] for row in spark.read.parquet(f"{tmp_path}/seen").collect())
+
+
+@pytest.mark.parametrize("moved", [0, 1, 2])
+def test_a_reader_that_met_an_unfinished_batch_sees_each_message_once(spark, topics, tmp_path, monkeypatch, moved):
+    path = topics.path("t")
+    write_batch(topics_module._stored(messages(spark, ["a"])), path, "w", 0)
+    batch = topics_module._stored(messages(spark, ["b", "c", "d", "e"]).repartition(4))
+    moves = []
+
+    def failing(spark, source, target):
+        if len(moves) == moved:
+            raise OSError("writer lost")
+        moves.append(target)
+        move(spark, source, target)
+
+    move = topics_module.move
+    with monkeypatch.context() as patched:
+        patched.setattr(topics_module, "move", failing)
+        with pytest.raises(OSError):
+            write_batch(batch, path, "w", 1)
+    assert len(seen(spark, topics, tmp_path)) == 1 + moved
+    write_batch(batch, path, "w", 1)
+    write_batch(batch, path, "w", 1)
+    assert seen(spark, topics, tmp_path) == list("abcde") == texts(topics.table(spark, "t"))
+    write_batch(topics_module._stored(messages(spark, ["f"])), path, "w", 2)
+    assert seen(spark, topics, tmp_path) == list("abcdef")
+    assert not list(Path(f"{path}/_staged").rglob("*.parquet"))
+
+
+def test_a_batch_that_was_not_decided_starts_over(spark, topics, tmp_path, monkeypatch):
+    path = topics.path("t")
+    batch = topics_module._stored(messages(spark, ["a", "b"]).repartition(2))
+
+    def failing(*_):
+        raise OSError("writer lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(topics_module, "commit", failing)
+        with pytest.raises(OSError):
+            write_batch(batch, path, "w", 0)
+    assert texts(topics.table(spark, "t")) == []
+    # The repeated batch may come out differently, as nobody has seen the first.
+    write_batch(topics_module._stored(messages(spark, ["a", "b", "c"])), path, "w", 0)
+    assert seen(spark, topics, tmp_path) == ["a", "b", "c"]
+
+
+def keyed(spark, pairs):
+    rows = spark.createDataFrame(pairs, "key string, value string").coalesce(1)
+    return topics_module._stored(rows.select(F.col("key").cast("binary"), F.col("value").cast("binary")))
+
+
+def test_levels_bound_the_files_and_keep_the_last_values(spark, topics):
+    path, last, batches, keep, fanout = topics.path("t"), {}, 130, 6, 5
+    levels = Levels(f"{path}/writer=w", fanout=fanout, keep=keep)
+    for number in range(batches):
+        # A batch without messages need not have a folder.
+        if number % 17 != 5:
+            pairs = {f"k{number % 13}": f"v{number}", f"k{number % 89}": f"w{number}"}
+            write_file(path, number, pairs)
+            last.update(pairs)
+        levels.compact(spark, number)
+    folders = [p for p in Path(path, "writer=w").rglob("*") if p.is_dir() and ("batch_id=" in p.name or "upto=" in p.name)]
+    assert len(folders) <= keep + fanout + 3 * fanout
+    assert len(list(Path(path, "writer=w").rglob("*.parquet"))) <= 2 * len(folders)
+    found = {bytes(row["key"]).decode(): bytes(row["value"]).decode() for row in topics.latest(spark, "t").collect()}
+    assert found == last
+
+
+def write_file(path: str, number: int, pairs: dict[str, str]) -> None:
+    """A batch's folder as ``write_batch`` leaves it."""
+    folder = Path(path, "writer=w", f"batch_id={number}")
+    folder.mkdir(parents=True, exist_ok=True)
+    time = datetime(2024, 1, 1, tzinfo=UTC) + timedelta(seconds=number)
+    pq.write_table(pa.table({"key": pa.array([k.encode() for k in pairs], pa.binary()),
+                             "value": pa.array([v.encode() for v in pairs.values()], pa.binary()),
+                             "timestamp": pa.array([time] * len(pairs), pa.timestamp("us", "UTC"))}),
+                   folder / "part-0.parquet")
+
+
+def test_latest_over_several_writers_and_without_merges(spark, topics):
+    assert topics.latest(spark, "nothing").count() == 0
+    path = topics.path("t")
+    write_batch(keyed(spark, [("a", "1"), ("b", "1")]), path, "old", 7)
+    write_batch(keyed(spark, [("a", "2")]), path, "new", 0)
+    found = {bytes(row["key"]): bytes(row["value"]) for row in topics.latest(spark, "t").collect()}
+    assert found == {b"a": b"2", b"b": b"1"}
+
+
+def test_a_changelog_sink_compacts_as_it_goes(spark, topics, tmp_path):
+    compacted = type(topics)(folder=topics.folder, keep_batches=2)
+    publish(spark, topics, "in", *[[f"m{i}"] for i in range(12)])
+    counts = topics.stream(spark, "in", files_per_trigger=1).groupBy(F.lit(b"all").alias("key")) \
+        .agg(F.count("*").cast("string").cast("binary").alias("value"))
+    drain(compacted.sink(counts, "out", mode="update"), str(tmp_path / "c"), mode="update")
+    assert texts(compacted.latest(spark, "out")) == ["12"]
+    assert len(list(Path(topics.path("out")).glob("writer=*/batch_id=*"))) <= 4
+
+
+def users(spark, numbers):
+    return spark.createDataFrame([(str(i), f"name{i}", None) for i in numbers], USER)
+
+
+def test_an_upsert_touches_only_its_buckets(spark, tmp_path):
+    table = BucketedTable(str(tmp_path / "users"), "login_id", USER, buckets=50)
+    table.load(users(spark, range(2000)))
+    table.load(users(spark, range(5)))
+    assert table.read(spark).count() == 2000
+    ten = users(spark, range(10)).withColumn("user_name", F.lit("changed"))
+    files = table.read_for(ten).inputFiles()
+    assert 0 < len(files) <= 10 and len({Path(file).parent.name for file in files}) <= 10
+    table.upsert(ten, 0)
+    written = [p for p in Path(tmp_path, "users", "data", "batch_id=0").glob("bucket=*")]
+    assert len(written) <= 10
+    assert table.read(spark).count() == 2000 and table.read(spark).where("user_name = 'changed'").count() == 10
+
+
+def test_repeated_new_and_empty_batches(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "users"
+    table = BucketedTable(str(folder), "login_id", USER, buckets=4)
+    table.load(users(spark, range(20)))
+
+    def failing(*_):
+        raise OSError("writer lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr("millrace.sources.tables.commit", failing)
+        with pytest.raises(OSError):
+            table.upsert(users(spark, [1, 100]).withColumn("user_name", F.lit("lost")), 0)
+    assert table.read(spark).count() == 20
+    table.upsert(users(spark, [1, 101]).withColumn("user_name", F.lit("kept")), 0)
+    table.upsert(users(spark, [2]).withColumn("user_name", F.lit("ignored")), 0)
+    table.upsert(users(spark, []), 1)
+    for batch in range(2, 12):
+        table.upsert(users(spark, range(20)).withColumn("user_name", F.lit(f"b{batch}")), batch)
+    found = {row["login_id"]: row["user_name"] for row in table.read(spark).collect()}
+    assert found == {**{str(i): "b11" for i in range(20)}, "101": "kept"}
+    assert len(list(folder.rglob("*.parquet"))) <= 3 * 4 and len(list((folder / "manifests").glob("*.json"))) <= 3
+
+
+def test_last_logins_by_bucket(spark, topics, tmp_path):
+    table = BucketedTable(str(tmp_path / "users"), "login_id", USER, buckets=8)
+    table.load(users(spark, range(30)))
+    for part in ([("1", "2024-01-01 10:00:00"), ("1", "2024-01-01 12:00:00"), ("40", "2024-01-01 10:00:00"), (None, "2024-01-01 10:00:00")],
+                 [("1", "2024-01-01 11:00:00"), ("2", None)]):
+        publish(spark, topics, "logins", [{"login_id": key, "created_time": time} for key, time in part])
+        drain(logins_from(topics.stream(spark, "logins")).writeStream.foreachBatch(update_last_login(table)),
+              str(tmp_path / "c"), mode="update")
+    found = rows(table.read(spark).where("last_login is not null").select("login_id", F.col("last_login").cast("string")))
+    assert found == [("1", "2024-01-01 11:00:00")] and table.read(spark).count() == 30
+
+
+def test_an_unbegun_table_is_empty(spark, tmp_path):
+    table = BucketedTable(str(tmp_path / "users"), "login_id", USER)
+    assert table.read(spark).count() == 0 and table.read_for(users(spark, [1])).count() == 0
+    table.load(users(spark, []))
+    table.upsert(users(spark, [3]), 0)
+    assert rows(table.read(spark).select("login_id")) == [("3",)]
