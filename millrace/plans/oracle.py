@@ -190,6 +190,10 @@ ORACLE = {
         {WORDS.format(batch="CAST(1 AS BIGINT) AS batch_id,", where="")}""",
     "trade_windows": WINDOWS.format(where=""),
     "trade_windows_changelog": WINDOWS_CHANGELOG,
+    "stream_progress": """
+        SELECT name, CAST(count(*) AS BIGINT) AS input_rows, CAST(count(*) FILTER (event_type = 'click') AS BIGINT) AS sales,
+               TRUE AS several
+        FROM events, (VALUES ('caught-up'), ('at-once'), ('every-second')) AS names(name) GROUP BY name""",
     "json_decode": f"SELECT CreatedTime, Type, Amount, BrokerCode FROM ({TRADES})",
     "parse_timestamp": f"""
         SELECT CreatedTime,

@@ -27,8 +27,9 @@ from millrace.session import scratch_dir
 from millrace.sources.files import json_directory, kept_schema, text_directory
 from millrace.sources.topics import Topics
 from millrace.streaming.changelog import all_batches, batch_writer, last_batch, last_per_key, split_writer
+from millrace.streaming.progress import ProgressLog
 from millrace.streaming.relayout import positions
-from millrace.streaming.runner import changelog_sink, drain, parquet_sink, snapshot_sink
+from millrace.streaming.runner import changelog_sink, console_sink, drain, parquet_sink, snapshot_sink, start
 
 
 def cents(total: str) -> Column:
@@ -311,6 +312,35 @@ def trade_windows_changelog(spark: SparkSession, folder: str) -> DataFrame:
         "TotalBuy", "TotalSell")
 
 
+def stream_progress(spark: SparkSession, folder: str) -> DataFrame:
+    """What three queries over the trades report of themselves: each trigger, named, with rows and observed sales."""
+    tables = Tables.of(spark, folder)
+    work = scratch_dir(tables.spark, "progress")
+    log = ProgressLog()
+    tables.spark.streams.addListener(log)
+    triggers = {"caught-up": {"until_caught_up": True}, "at-once": {}, "every-second": {"interval": "1 second"}}
+    try:
+        for name, trigger in triggers.items():
+            sales = F.count_if(F.col("Type") == "SELL").alias("sales")
+            trades = decode_json(_stream(tables, "stock-trades"), TRADE).observe("trades", sales)
+            # The console shows its heading and no rows.
+            sink = console_sink(trades, show=0) if name == "caught-up" else parquet_sink(trades, f"{work}/{name}")
+            query = start(sink, f"{work}/{name}-checkpoint", name=name, **trigger)
+            try:
+                if name == "caught-up":
+                    query.awaitTermination()
+                else:
+                    query.processAllAvailable()
+            finally:
+                query.stop()
+            log.wait_for(query)
+    finally:
+        tables.spark.streams.removeListener(log)
+    sales = F.get_json_object("observed", "$.trades.sales").cast("bigint")
+    return log.table(tables.spark).groupBy("name").agg(
+        F.sum("input_rows").alias("input_rows"), F.sum(sales).alias("sales"), (F.count_distinct("batch_id") > 1).alias("several"))
+
+
 def _trades(tables: Tables) -> DataFrame:
     messages = tables.topics("stock-trades").table(tables.spark, "stock-trades")
     return decode_json(messages, TRADE)
@@ -345,5 +375,5 @@ QUERIES = {query.__name__: query for query in (
     customer_rewards, rewards_from_items_topic, rewards_messages, rewards_changelog,
     restart_exactly_once, last_login_join, last_login_upsert, impression_click_join,
     clicks_after_relayout, rewards_after_relayout, exact_customer_rewards, trades_and_damaged, word_count,
-    word_count_snapshots, trade_windows, trade_windows_changelog, json_decode, parse_timestamp,
+    word_count_snapshots, stream_progress, trade_windows, trade_windows_changelog, json_decode, parse_timestamp,
     conditional_columns, prime_filter)}

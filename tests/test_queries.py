@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
+from pyspark.errors import StreamingQueryException
 
 import __spark_entry__ as entry_module
 from conftest import TESTDATA, publish, rows
@@ -12,7 +15,7 @@ from millrace.plans import apps
 from millrace.plans.oracle import ORACLE
 from millrace.plans.queries import QUERIES
 from millrace.schemas import INVOICE, TOPIC_HEADER, USER, flat_schema
-from millrace.sources.tables import FileTable
+from millrace.sources.tables import BucketedTable, FileTable
 from oracle_check import connect, spark_rows, sql_rows
 from test_clicks import CLICKS, IMPRESSIONS
 from test_invoices import invoice, item
@@ -20,7 +23,7 @@ from test_logins import USERS, login
 from test_trades import SAMPLE
 
 
-SQL_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
+SQL_TYPES = {"boolean": "BOOLEAN", "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
 
 
 @pytest.fixture(scope="module")
@@ -79,7 +82,6 @@ def test_invoice_applications(spark, topics, run, tmp_path):
 
 
 def test_file_application(spark, run, tmp_path):
-    import json
     spark.createDataFrame([(json.dumps(invoice("a", [item()])),)], "v string").write.text(str(tmp_path / "raw"))
     run("invoice-files", "--source", str(tmp_path / "raw"), "--target", str(tmp_path / "out"), "--print-schema")
     assert spark.read.json(str(tmp_path / "out")).count() == 1
@@ -129,3 +131,43 @@ def test_defaults_of_the_applications():
     assert {app for app, (_, interval) in APPS.items() if not interval} == {"rewards", "word-count"}
     assert {app for app, (mode, _) in APPS.items() if mode == "append"} == {
         "invoice-files", "invoice-topic", "notifications", "publish-items", "impression-clicks"}
+
+
+def test_resumed_applications(spark, topics, run, tmp_path):
+    first, second = (str(tmp_path / name) for name in ("first", "second"))
+    items = ["rewards", "--item-format", "json", "--keep-batches", "1"]
+    publish(spark, topics, apps.ITEMS, [{"CustomerType": "PRIME", "CustomerCardNo": "c", "TotalValue": 10.0}])
+    run(*items, "--checkpoint", first)
+    publish(spark, topics, apps.ITEMS, [{"CustomerType": "PRIME", "CustomerCardNo": "c", "TotalValue": 5.0}])
+    run(*items, "--checkpoint", second, "--resume-from", first)
+    publish(spark, topics, apps.ITEMS, [{"CustomerType": "PRIME", "CustomerCardNo": "c", "TotalValue": 5.0}])
+    # Later starts need not name the predecessor.
+    run(*items, "--checkpoint", second)
+    assert [bytes(row.value) for row in topics.latest(spark, apps.REWARDS).collect()] == [
+        b'{"TotalPurchase":20.0,"AggregatedRewards":4}']
+
+    publish(spark, topics, apps.IMPRESSIONS, IMPRESSIONS)
+    publish(spark, topics, apps.CLICKS, CLICKS)
+    clicks = ["impression-clicks", "--target", str(tmp_path / "pairs"), "--checkpoint"]
+    run(*clicks, f"{first}-clicks")
+    with pytest.raises(ValueError, match="--target"):
+        run(*clicks, f"{second}-clicks", "--resume-from", f"{first}-clicks")
+    publish(spark, topics, apps.CLICKS, CLICKS)
+    run("impression-clicks", "--target", str(tmp_path / "more"), "--checkpoint", f"{second}-clicks", "--resume-from", f"{first}-clicks")
+    pairs, more = (spark.read.parquet(str(tmp_path / name)) for name in ("pairs", "more"))
+    assert rows(pairs) == rows(more) and pairs.count() == 5
+
+
+def test_users_in_buckets_and_drift(spark, topics, run, tmp_path):
+    publish(spark, topics, apps.LOGINS, [login("u1", "10:18")])
+    users, changes = str(tmp_path / "users"), str(tmp_path / "buckets")
+    spark.createDataFrame(USERS, USER).write.parquet(users)
+    run("last-login", "--users", users, "--changes", changes, "--buckets", "4")
+    current = BucketedTable(changes, "login_id", USER, 4).read(spark)
+    assert current.where("login_id = 'u1'").first().last_login.year == 2023 and current.count() == 5
+    spark.createDataFrame([(json.dumps(invoice("a", [item()])),)], "v string").write.text(str(tmp_path / "raw"))
+    files = ["invoice-files", "--source", str(tmp_path / "raw"), "--target", str(tmp_path / "out"), "--report-drift"]
+    run(*files, "count")
+    spark.createDataFrame([("broken",)], "v string").write.mode("append").text(str(tmp_path / "raw"))
+    with pytest.raises(StreamingQueryException, match="does not fit"):
+        run(*files, "fail")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from unittest.mock import MagicMock
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,7 @@ from millrace.plans import apps
 from millrace.schemas import TOPIC, TOPIC_HEADER, flat_schema
 from millrace.sources.topics import Topics
 from millrace.streaming.changelog import all_batches, batch_writer, last_batch, last_per_key
+from millrace.streaming.progress import ProgressLog
 from millrace.streaming.runner import (changelog_sink, console_sink, drain, parquet_sink, snapshot_sink,
                                        start)
 from test_invoices import invoice, item
@@ -256,3 +257,22 @@ def test_object_store_settings_reach_hadoop(spark):
     assert hadoop.get("fs.s3a.aws.credentials.provider") == "org.example.Provider"
     assert hadoop.get("fs.s3a.path.style.access") == "true"
     assert hadoop.get("fs.s3a.connection.ssl.enabled") == "false"
+
+
+def test_progress_as_a_table(spark, topics, tmp_path):
+    publish(spark, topics, "t", ["a"], ["b", "c"])
+    log = ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        lines = topics.stream(spark, "t", files_per_trigger=1).observe("seen", F.count(F.lit(1)).alias("n"))
+        query = drain(parquet_sink(lines, str(tmp_path / "out")), str(tmp_path / "c"), name="told")
+        log.wait_for(query)
+        failing = topics.stream(spark, "t").select(F.raise_error(F.lit("no good")).cast("string").alias("value"))
+        with pytest.raises(StreamingQueryException):
+            drain(parquet_sink(failing, str(tmp_path / "out2")), str(tmp_path / "c2"))
+    finally:
+        spark.streams.removeListener(log)
+    table = log.table(spark).where("name = 'told'")
+    assert sorted((row["batch_id"], row["input_rows"], row["observed"]) for row in table.collect()) == \
+        [(0, 1, '{"seen": {"n": 1}}'), (1, 2, '{"seen": {"n": 2}}')]
+    assert table.where("query_id is null or started is null or trigger_millis < 0").count() == 0
