@@ -145,7 +145,8 @@ def language(profiles: Profiles, text: Column) -> Column:
     def predict(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([profiles.predict(t) for t in texts], columns=["lang_pred", "score", "lettered"])
 
-    return predict(text.cast("string"))
+    # Else a filter on the result would run it a second time, below the projection.
+    return predict.asNondeterministic()(text.cast("string"))
 
 
 def languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
