@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 CACHED_WORDS = 600_000
 CACHED_BYTES = 32 << 20
 LONG_WORD = 100
-WHITE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+WHITE = b" \t\n\v\f\r"
 # Rolling hash over four bytes; one in 2**CUT_BITS positions is a cut.
 WEIGHTS = (0x9E37, 0x85EB, 0xC2B3, 0x27D5)
 CUT_BITS = 8
@@ -46,25 +46,32 @@ def cuts(data: np.ndarray) -> np.ndarray:
 
 
 def chunks(text: bytes) -> list[bytes]:
-    """The text in chunks that the same passage yields wherever it stands.
+    """The text cut where the rolling hash says, so that a passage yields the same chunks wherever it stands."""
+    joins = (cuts(np.frombuffer(text, np.uint8).astype(np.uint16)) + 1).tolist()
+    if joins and joins[-1] == len(text):
+        joins.pop()
+    return [text[start:end] for start, end in zip([0, *joins], [*joins, len(text)])]
+
 
-    Chunks end at the rolling hash's cuts. A cut inside a word is a wrong join, as tokens of
-    the whole word need not end there. It is repaired by moving it behind the word, which
-    joins the word's parts for encoding again; at white space, over which no token reaches,
-    the encodings of the chunks agree exactly with the encoding of the whole text.
+def bounded(chunk: bytes) -> tuple[bytes, list[bytes], bytes]:
+    """What stands before a chunk's first white space, its words between white space, and what stands behind the last.
+
+    A chunk without white space is all first part.
     """
-    data = np.frombuffer(text, np.uint8)
-    white = np.flatnonzero(WHITE[data])
-    after = np.searchsorted(white, cuts(data.astype(np.uint16)))
-    joins = white[np.unique(after[after < len(white)])].tolist()
-    return [text[start:end] for start, end in zip([0, *joins], [*joins, len(text)])]
+    words = chunk.split()
+    head, tail = chunk[0] not in WHITE, chunk[-1] not in WHITE
+    if head and tail and len(words) == 1:
+        return chunk, [], b""
+    return words[0] if head else b"", words[head:len(words) - tail], words[-1] if tail else b""
 
 
 class ChunkEncoder:
     """Encodes whole texts, each chunk and each word once while the bounded memory holds it.
 
-    For tokenizers whose tokens do not reach over ASCII white space and that drop it, and
-    that add no token for the text as a whole.
+    A chunk's ids are those of its words between white space. A word that reaches over a join
+    is in no chunk as a whole; the join is repaired by encoding it again among its
+    neighbours, see ``_repaired``. For tokenizers whose tokens do not reach over ASCII white
+    space and that drop it, and that add no token for the text as a whole.
     """
 
     def __init__(self, path: str, cached_words: int = CACHED_WORDS, cached_bytes: int = CACHED_BYTES):
@@ -76,7 +83,7 @@ class ChunkEncoder:
             raise ValueError("tokens of this tokenizer reach over white space")
         self.cached_words, self.cached_bytes = cached_words, cached_bytes
         self.words: dict[bytes, bytes] = {}
-        self.chunks: dict[bytes, bytes] = {}
+        self.chunks: dict[bytes, tuple[bytes, bytes, bytes, bool]] = {}
         self.chunk_bytes = 0
         self.letters = byte_letters()
         self.model = self.tokenizer.model
@@ -105,14 +112,42 @@ class ChunkEncoder:
             self.words[word] = found
         return found
 
-    def _chunk(self, chunk: bytes) -> bytes:
+    def _words(self, words: list[bytes]) -> bytes:
         known, learn = self.words.get, self._word
-        found = b"".join([known(word) or learn(word) for word in chunk.split()])
+        return b"".join([known(word) or learn(word) for word in words])
+
+    def _whole(self, text: bytes) -> bytes:
+        """What the tokenizer gives for all of the text."""
+        ids = self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
+        return pack(f"<{len(ids)}I", *ids)
+
+    def _repaired(self, word: bytes, before: list[bytes], after: list[bytes]) -> bytes | None:
+        """Ids of a word over a join, encoded again with whole words of the chunks on both sides.
+
+        The tokenizer's ids of that window must begin with what the left chunk has for its
+        words and end with what the right one has; else the window takes in a word
+        more on each side. None if they do not even agree over both chunks.
+        """
+        for reach in range(1, max(len(before), len(after), 1) + 1):
+            left, right = before[-reach:], after[:reach]
+            window = self._whole(b" ".join([*left, word, *right]))
+            head, tail = self._words(left), self._words(right)
+            if len(head) + len(tail) <= len(window) and window.startswith(head) and window.endswith(tail):
+                found = window[len(head):len(window) - len(tail)]
+                if len(word) <= LONG_WORD and len(self.words) < self.cached_words:
+                    self.words[word] = found
+                return found
+        return None
+
+    def _chunk(self, chunk: bytes) -> tuple[bytes, bytes, bytes, bool]:
+        """A chunk's first part, the ids of its words, its last part, and whether it holds white space."""
+        head, words, tail = bounded(chunk)
+        found = head, self._words(words), tail, len(head) < len(chunk)
         if len(chunk) < self.cached_bytes // 16:
-            self.chunk_bytes += len(chunk) + len(found)
+            self.chunk_bytes += 2 * len(chunk) + len(found[1])
             if self.chunk_bytes > self.cached_bytes:
                 self.chunks.clear()
-                self.chunk_bytes = len(chunk) + len(found)
+                self.chunk_bytes = 2 * len(chunk) + len(found[1])
             self.chunks[chunk] = found
         return found
 
@@ -120,8 +155,32 @@ class ChunkEncoder:
         """The text's ids as little-endian unsigned 32-bit numbers."""
         if not text:
             return b""
-        known, learn = self.chunks.get, self._chunk
-        return b"".join([known(chunk) or learn(chunk) for chunk in chunks(text.encode())])
+        whole = text.encode()
+        known, learn, word_ids = self.chunks.get, self._chunk, self.words.get
+        found: list[bytes] = []
+        parts: list[bytes] = []
+        opened = b""
+        for chunk in [*chunks(whole), b"\n"]:
+            head, inner, tail, white = known(chunk) or learn(chunk)
+            if not white:
+                opened = opened if parts else b""
+                parts.append(chunk)
+                continue
+            if head:
+                parts.append(head)
+            if parts:
+                word = b"".join(parts)
+                ids = word_ids(word)
+                if not ids and len(parts) == 1:
+                    ids = self._word(word)
+                elif not ids:
+                    ids = self._repaired(word, bounded(opened)[1] if opened else [], bounded(chunk)[1])
+                    if ids is None:
+                        return self._whole(whole)
+                found.append(ids)
+            found.append(inner)
+            parts, opened = [tail] if tail else [], chunk
+        return b"".join(found)
 
     def ids(self, text: str | None) -> list[int]:
         return np.frombuffer(self.id_bytes(text), "<u4").tolist()

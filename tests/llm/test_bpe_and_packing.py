@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from millrace.llm.bpe import ChunkEncoder, chunks, encoded, round_trip_digests
+from millrace.llm.bpe import ChunkEncoder, bounded, chunks, encoded, round_trip_digests
 from millrace.llm.packing import complement_plan, packed, packing_plan
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -52,6 +52,45 @@ def test_equal_passages_give_equal_chunks():
     assert b"".join(first) == ("a b c " + passage).encode()
 
 
+def test_chunks_between_their_white_space():
+    for chunk, parts in [(b"ab", (b"ab", [], b"")), (b"ab cd", (b"ab", [], b"cd")), (b" ab", (b"", [], b"ab")),
+                         (b"ab\n", (b"ab", [], b"")), (b" ", (b"", [], b"")), (b"a b\tc d", (b"a", [b"b", b"c"], b"d"))]:
+        assert bounded(chunk) == parts
+
+
+def test_joins_inside_words_and_characters_are_repaired(tokenizer):
+    rnd = random.Random(5)
+    coder = ChunkEncoder(PATH)
+    letters = "abcdefgXYZ'-9éß日😀"
+    for longest in (3, 40, 2000):
+        text = " ".join("".join(rnd.choices(letters, k=rnd.randint(1, longest))) for _ in range(20000 // longest))
+        parts = chunks(text.encode())
+        assert any(part[-1:] not in b" \t\n\v\f\r" for part in parts[:-1])
+        assert coder.ids(text) == wanted_ids(tokenizer, text)
+
+
+def test_a_join_whose_neighbours_disagree_is_encoded_in_a_wider_window(tokenizer):
+    coder = ChunkEncoder(PATH)
+    windows = []
+    whole = coder._whole
+    coder._whole = lambda text: windows.append(text) or whole(text)
+    word, before, after = b"unbelievable", [b"far", b"near"], [b"next", b"last"]
+    wanted = np.array(wanted_ids(tokenizer, word.decode()), "<u4").tobytes()
+    assert coder._repaired(word, before, after) == wanted and windows == [b"near unbelievable next"]
+    coder.words[b"near"] = b"\0\0\0\0"
+    windows.clear()
+    assert coder._repaired(word, before, after) is None
+    assert windows == [b"near unbelievable next", b"far near unbelievable next last"]
+
+
+def test_a_text_whose_joins_never_agree_is_encoded_whole(tokenizer):
+    coder = ChunkEncoder(PATH)
+    coder._repaired = lambda word, before, after: None
+    rnd = random.Random(6)
+    text = " ".join(f"word{rnd.randrange(10**9)}" for _ in range(3000))
+    assert coder.ids(text) == wanted_ids(tokenizer, text)
+
+
 def test_digests_and_ids(documents, tokenizer):
     table = list(enumerate(EDGES)) + [(None, "a b"), (3, "again")]
     digests = {(row["doc_id"], row["ids_sha256"]): row for row in round_trip_digests(documents(table), PATH).collect()}
