@@ -3,8 +3,10 @@ from __future__ import annotations
 import hashlib
 import re
 
+import pytest
+
 from llm_helpers import collected, documents, workers_find_the_package  # noqa: F401
-from millrace.llm.exact_dedup import exact_groups, without_copies
+from millrace.llm.exact_dedup import exact_groups, merged, without_copies
 
 ROWS = [(1, "a  b"), (2, "a b"), (3, "a\n\tb"), (4, " a b"), (5, None), (6, ""), (7, "x"), (8, "a b"), (None, "x"),
         (9, "same"), (9, "same"), (9, "other"), (None, "alone"), (10, "word " * 30000), (11, "word\t" * 30000)]
@@ -33,6 +35,26 @@ def test_a_tree_of_many_levels(documents):
     assert collected(exact_groups(documents(table), fan_in=2)) == plain(table)
 
 
+@pytest.mark.parametrize("partitions, fan_in", [(1, 2), (5, 2), (13, 3)])
+def test_any_number_of_runs(spark, documents, partitions, fan_in):
+    table = [(i, f"text {i % 7}") for i in range(60)] + [(100 + i, f"own {i}") for i in range(20)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        assert collected(exact_groups(documents(table), fan_in=fan_in)) == plain(table)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_a_round_merges_two_runs(spark):
+    schema = "run int, sha string, size int, second long, least long, total long, holders array<int>"
+    left = spark.createDataFrame([(0, "a", 1, 1, None, 2, [0]), (0, "b", 1, 1, 7, 1, [0])], schema)
+    right = spark.createDataFrame([(0, "a", 1, 1, 4, 3, [1]), (0, "b", 1, 2, 5, 1, [1])], schema)
+    both = merged(left, right)
+    assert "SortMergeJoin" in both._jdf.queryExecution().toString()
+    assert collected(both) == [(0, "a", 1, 1, 4, 5, [0, 1]), (0, "b", 1, 1, 7, 1, [0]), (0, "b", 1, 2, 5, 1, [1])]
+
+
 def test_copies_of_one_row_in_several_pieces(documents, monkeypatch):
     monkeypatch.setattr("millrace.llm.exact_dedup.COPIES_PER_PIECE", 3)
     table = [(1, "a")] * 10 + [(2, "a")] * 3
