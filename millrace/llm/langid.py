@@ -126,7 +126,7 @@ def learn_profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for language, text in zip(batch.column("lang"), batch.column("text")):
                 names, counts = gram_counts(text.as_py())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([language.as_py()] * len(names)), pa.array(names.astype(np.int64)),
+                    [pa.array([language.as_py()] * len(names), pa.string()), pa.array(names.astype(np.int64)),
                      pa.array(counts.astype(np.int64))], ["lang", "gram", "n"])
 
     counted = sample.mapInArrow(work, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
