@@ -5,8 +5,7 @@ from collections import Counter
 from pathlib import Path
 
 import public_tokenizers
-from llm_helpers import collected, workers_find_the_package, SMALL  # noqa: F401
-from oracle_check import connect, sql_rows
+from llm_helpers import workers_find_the_package, SMALL  # noqa: F401
 from pyspark.sql import functions as F
 from test_bpe_and_packing import check_packing
 from test_exact_dedup import plain as plain_exact
@@ -17,7 +16,7 @@ from tokenizers import Tokenizer
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import corpus_pipeline  # noqa: E402
-from __spark_entry__ import oracle_sql, queries  # noqa: E402
+from __spark_entry__ import queries  # noqa: E402
 
 
 
@@ -55,13 +54,6 @@ def test_every_query_covers_its_table(spark):
     assert Counter(name.split("_")[0] for name in named if name.startswith("op")) == Counter(f"op{n}" for n in range(1, 14))
 
 
-def test_sql_gives_the_same_rows(spark):
-    connection = connect(SMALL)
-    for query in ("op6_exact_dedup", "op12_centroid_clusters", "op13_url_filter"):
-        names, want = sql_rows(connection, oracle_sql()[query])
-        assert collected(queries()[query](spark, SMALL).select(names)) == want
-
-
 def test_columns_without_an_order_pass_all_stages(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(20).withColumn("further", F.create_map(F.lit("a"), "doc_id"))
     docs = docs.unionByName(docs)
