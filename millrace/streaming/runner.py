@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from millrace.streaming.changelog import batch_writer, snapshot_writer
@@ -60,4 +63,25 @@ def snapshot_sink(rows: DataFrame, path: str) -> DataStreamWriter:
 
 
 def console_sink(rows: DataFrame, show: int = 20, truncate: bool = True) -> DataStreamWriter:
-    return rows.writeStream.format("console").option("numRows", show).option("truncate", truncate)
+    """The first ``show`` rows of each micro-batch on the driver's output.
+
+    Spark's own console format brings every row of a batch to the driver, however few it shows; this one brings no
+    more than are shown, and one, from each task.
+    """
+    return rows.writeStream.foreachBatch(console_writer(show, truncate))
+
+
+def console_writer(show: int, truncate: bool = True) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` callback that prints the first rows, from one pass over the whole batch.
+
+    A plain ``show`` would end tasks early, before the state and the observed metrics are whole.
+    """
+    line = "-" * 43
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        print(f"{line}\nBatch: {batch_id}\n{line}", flush=True)
+        # By partition and place in it, which is the order a plain ``show`` has; tasks keep their first rows.
+        placed = batch.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("place"))
+        placed.orderBy("place").select("row.*").show(show, truncate)
+
+    return write

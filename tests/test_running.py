@@ -127,6 +127,37 @@ def test_console_with_an_interval_and_a_name(spark, topics, tmp_path):
         query.stop()
 
 
+def bytes_to_driver(spark, query) -> int:
+    """Size of the results of all tasks that a query ran."""
+    tracker, store = spark.sparkContext.statusTracker(), spark.sparkContext._jsc.sc().statusStore()
+    stages = {stage for job in tracker.getJobIdsForGroup(str(query.runId)) for stage in tracker.getJobInfo(job).stageIds}
+    assert stages
+    return sum(store.lastStageAttempt(stage).resultSize() for stage in stages)
+
+
+def test_the_console_takes_the_whole_batch_and_brings_few_rows(spark, tmp_path, capsys):
+    spark.range(0, 5000, numPartitions=4).withColumn("text", F.lit("x" * 2000)).write.parquet(str(tmp_path / "in"))
+    lines = spark.readStream.schema("id bigint, text string").parquet(str(tmp_path / "in"))
+    seen = lines.observe("seen", F.count(F.lit(1)).alias("rows"), F.sum("id").alias("ids"))
+    for show in (0, 2):
+        query = drain(console_sink(seen, show=show), str(tmp_path / f"c{show}"))
+        # Of 10 MB of rows.
+        assert bytes_to_driver(spark, query) < 1_000_000
+        assert [tuple(p.observedMetrics["seen"]) for p in query.recentProgress] == [(5000, 12497500)]
+        shown = capsys.readouterr().out
+        assert "Batch: 0" in shown and f"only showing top {show} rows" in shown
+        assert sum(line.startswith("|") for line in shown.splitlines()) == 1 + show
+
+
+def test_the_console_leaves_the_state_whole(spark, tmp_path):
+    spark.range(0, 1000, numPartitions=4).write.parquet(str(tmp_path / "in"))
+    numbers = spark.readStream.schema("id bigint").option("maxFilesPerTrigger", 2).parquet(str(tmp_path / "in"))
+    counts = numbers.groupBy((F.col("id") % 100).alias("rest")).count()
+    drain(console_sink(counts, show=1), str(tmp_path / "c"), mode="update")
+    state = spark.read.format("statestore").load(str(tmp_path / "c"))
+    assert rows(state.select("key.*", "value.*")) == sorted([(rest, 10) for rest in range(100)], key=repr)
+
+
 def test_default_trigger_starts_the_next_batch_at_once(spark, topics, tmp_path):
     publish(spark, topics, "t", ["a"])
     lines = topics.stream(spark, "t").select(F.col("value").cast("string"))
