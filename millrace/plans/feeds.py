@@ -17,8 +17,7 @@ from millrace.functions.codecs import encode_json, message
 from millrace.functions.times import format_time
 from millrace.plans import apps
 from millrace.schemas import INVOICE, USER
-from millrace.session import (BYTES_PER_SHUFFLE_PARTITION, content_identity, engine_session, folder_size,
-                              scratch_dir)
+from millrace.session import content_identity, engine_session, folder_size, scratch_dir
 from millrace.sources.tables import BucketedTable, FileTable
 from millrace.sources.topics import Topics
 from millrace.streaming.runner import drain
@@ -27,6 +26,8 @@ from millrace.streaming.runner import drain
 FIRST_PART_ENDS = "1998-01-01"
 EARLY, LATE = "early", "late"
 LEAST_PARTITIONS = 8
+# More than of a batch shuffle: a state partition keeps stores of its own open.
+BYTES_PER_STATE_PARTITION = 128 * 1024 * 1024
 SALES, OTHERS = "sales", "others"
 # Days on which the second and the third part of the shifting clicks begin.
 SECOND_BEGINS, THIRD_BEGINS = "1997-01-01", "1999-01-01"
@@ -46,8 +47,8 @@ class Tables:
     @classmethod
     def of(cls, spark: SparkSession, folder: str) -> Tables:
         size, _ = folder_size(spark, folder)
-        # The checkpoints of these queries end with them, so the tables' size may set their partitions.
-        partitions = max(LEAST_PARTITIONS, -(-size // BYTES_PER_SHUFFLE_PARTITION))
+        # The checkpoints of these queries end with them, so the cores and the tables' size may set their partitions.
+        partitions = max(LEAST_PARTITIONS, spark.sparkContext.defaultParallelism, -(-size // BYTES_PER_STATE_PARTITION))
         return cls(engine_session(spark, input_bytes=size, state_partitions=partitions), folder)
 
     def __getitem__(self, name: str) -> DataFrame:

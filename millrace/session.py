@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
+# Of compressed columns, which take some thirty times as much as rows of messages in a task's memory.
+BYTES_PER_SHUFFLE_PARTITION = 8 * 1024 * 1024
 
 
 def app_session(name: str, shuffle_partitions: int | None = None, master: str | None = None,

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from conftest import publish, rows
 from millrace import session
-from millrace.plans import apps
+from millrace.plans import apps, feeds
 from millrace.schemas import TOPIC, TOPIC_HEADER, flat_schema
 from millrace.sources.topics import Topics
 from millrace.streaming.changelog import all_batches, batch_writer, last_batch, last_per_key
@@ -135,6 +135,20 @@ def bytes_to_driver(spark, query) -> int:
     return sum(store.lastStageAttempt(stage).resultSize() for stage in stages)
 
 
+def test_a_task_of_the_feeds_does_not_grow_with_the_tables(spark, monkeypatch):
+    partitions = {}
+    for gigabytes in (1, 6):
+        monkeypatch.setattr(feeds, "folder_size", lambda *_, size=gigabytes << 30: (size, 14))
+        fresh = spark.newSession()
+        conf = feeds.Tables.of(fresh, "/any").spark.conf
+        batch, state = (int(conf.get(f"spark.sql.{name}")) for name in
+                        ("adaptive.coalescePartitions.initialPartitionNum", "shuffle.partitions"))
+        # Rows take some thirty times the bytes of the tables' files, and a task has some 1.5 GB; each partition of the state is stores in memory.
+        assert batch >= gigabytes * 100 and state <= max(8, fresh.sparkContext.defaultParallelism, gigabytes * 8)
+        partitions[gigabytes] = batch
+    assert partitions[6] == 6 * partitions[1]
+
+
 def test_the_console_takes_the_whole_batch_and_brings_few_rows(spark, tmp_path, capsys):
     spark.range(0, 5000, numPartitions=4).withColumn("text", F.lit("x" * 2000)).write.parquet(str(tmp_path / "in"))
     lines = spark.readStream.schema("id bigint, text string").parquet(str(tmp_path / "in"))
