@@ -31,14 +31,14 @@ CLICKS = "clicks"
 TRADES = "stock-trades"
 
 
-def flatten_files(raw: DataFrame, target: str) -> DataStreamWriter:
+def flatten_files(raw: DataFrame, target: str, compression: str = "none") -> DataStreamWriter:
     """Invoice rows of JSON files to flat JSON files. Append mode."""
-    return json_sink(flatten(raw, FILE_HEADER), target)
+    return json_sink(flatten(raw, FILE_HEADER), target, compression)
 
 
-def flatten_topic(messages: DataFrame, target: str) -> DataStreamWriter:
+def flatten_topic(messages: DataFrame, target: str, compression: str = "none") -> DataStreamWriter:
     """Invoice messages to flat JSON files. Append mode."""
-    return json_sink(flatten_messages(messages, TOPIC_HEADER), target)
+    return json_sink(flatten_messages(messages, TOPIC_HEADER), target, compression)
 
 
 def notify(messages: DataFrame, topics: Topics) -> DataStreamWriter:

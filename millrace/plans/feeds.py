@@ -32,6 +32,8 @@ SALES, OTHERS = "sales", "others"
 # Days on which the second and the third part of the shifting clicks begin.
 SECOND_BEGINS, THIRD_BEGINS = "1997-01-01", "1999-01-01"
 FIRST, SECOND, THIRD = "first", "second", "third"
+# Of plain files: JSON lines repeat their names in every row.
+JSON_FILES = "gzip"
 
 _published: dict[tuple, str] = {}
 _publishing = threading.RLock()
@@ -159,7 +161,8 @@ def publish_invoice_files(tables: Tables, path: str) -> None:
     """Invoices as JSON lines in plain files: the values of the topic."""
     tables.topics("invoices").table(tables.spark, "invoices") \
         .select(F.col("value").cast("string").alias("value")) \
-        .write.option("maxRecordsPerFile", tables.file_records(tables["orders"].count())).text(path)
+        .write.option("compression", JSON_FILES) \
+        .option("maxRecordsPerFile", tables.file_records(tables["orders"].count())).text(path)
 
 
 def publish_logins(tables: Tables, path: str) -> None:

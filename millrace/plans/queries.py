@@ -19,8 +19,8 @@ from millrace.operators.skew import frozen
 from millrace.operators.trades import buy_sell
 from millrace.operators.words import word_counts
 from millrace.plans import apps
-from millrace.plans.feeds import (EARLY, FIRST, LATE, OTHERS, SALES, SECOND, THIRD, Tables, publish_lines, user_buckets,
-                                  users_table)
+from millrace.plans.feeds import (EARLY, FIRST, JSON_FILES, LATE, OTHERS, SALES, SECOND, THIRD, Tables, publish_lines,
+                                  user_buckets, users_table)
 from millrace.schemas import (AVRO_HEADER, FILE_HEADER, INVOICE, LONG, NOTIFICATION, REWARD, REWARD_TOTAL, TOPIC_HEADER,
                               TRADE, flat_schema)
 from millrace.session import scratch_dir
@@ -50,7 +50,7 @@ def file_invoice_flatten(spark: SparkSession, folder: str) -> DataFrame:
     work = scratch_dir(tables.spark, "file-invoices")
     schema = kept_schema(tables.spark, source, f"{work}/checkpoint")
     raw = json_directory(tables.spark, source, tables.files_per_batch(source), schema)
-    drain(apps.flatten_files(raw, f"{work}/out"), f"{work}/checkpoint")
+    drain(apps.flatten_files(raw, f"{work}/out", JSON_FILES), f"{work}/checkpoint")
     return tables.spark.read.schema(flat_schema(FILE_HEADER, item_qty=LONG)).json(f"{work}/out")
 
 
@@ -58,7 +58,7 @@ def topic_invoice_flatten(spark: SparkSession, folder: str) -> DataFrame:
     """Invoice topic to flat JSON files."""
     tables = Tables.of(spark, folder)
     work = scratch_dir(tables.spark, "topic-invoices")
-    drain(apps.flatten_topic(_stream(tables, "invoices"), f"{work}/out"), f"{work}/checkpoint")
+    drain(apps.flatten_topic(_stream(tables, "invoices"), f"{work}/out", JSON_FILES), f"{work}/checkpoint")
     return tables.spark.read.schema(flat_schema(TOPIC_HEADER)).json(f"{work}/out")
 
 
@@ -168,7 +168,7 @@ def restart_exactly_once(spark: SparkSession, folder: str) -> DataFrame:
         if writer:
             _publish_part(tables, topics, apps.INVOICES, writer)
         messages = topics.stream(tables.spark, "invoices")
-        drain(apps.flatten_topic(messages, f"{work}/out"), f"{work}/checkpoint")
+        drain(apps.flatten_topic(messages, f"{work}/out", JSON_FILES), f"{work}/checkpoint")
     return tables.spark.read.schema(flat_schema(TOPIC_HEADER)).json(f"{work}/out")
 
 

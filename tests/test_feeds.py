@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from conftest import TESTDATA, rows
 from millrace.operators.invoices import flatten
-from millrace.plans import feeds
+from millrace.plans import feeds, queries
 from millrace.plans.feeds import Tables, invoices
 from millrace.schemas import INVOICE, TOPIC_HEADER
 
@@ -108,3 +108,16 @@ def test_users_are_all_customers(spark):
     users = feeds.users_table(tables, "/nowhere").read(spark)
     assert users.count() == tables["customer"].count()
     assert isinstance(users.schema["last_login"].dataType, T.TimestampType)
+
+
+@pytest.mark.parametrize("query", [queries.file_invoice_flatten, queries.topic_invoice_flatten, queries.restart_exactly_once])
+def test_flat_json_files_are_compressed(spark, query):
+    flat = query(spark, TESTDATA)
+    assert all(file.endswith(".json.gz") for file in flat.inputFiles())
+    assert flat.count() == spark.read.parquet(f"{TESTDATA}/lineitem.parquet").count()
+
+
+def test_invoice_files_are_compressed(spark):
+    files = spark.read.text(Tables.of(spark, TESTDATA).feed("invoice-files"))
+    assert all(file.endswith(".txt.gz") for file in files.inputFiles())
+    assert files.count() == spark.read.parquet(f"{TESTDATA}/orders.parquet").count()
