@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import publish, rows
+from conftest import TESTDATA, publish, rows
 from millrace import session
 from millrace.plans import apps, feeds
 from millrace.schemas import TOPIC, TOPIC_HEADER, flat_schema
@@ -127,6 +127,14 @@ def test_console_with_an_interval_and_a_name(spark, topics, tmp_path):
         query.stop()
 
 
+def test_the_state_has_a_partition_for_every_core(spark, monkeypatch):
+    asked = {}
+    monkeypatch.setattr(feeds, "LEAST_PARTITIONS", 1)
+    monkeypatch.setattr(feeds, "engine_session", lambda session, **settings: asked.update(settings) or session)
+    feeds.Tables.of(spark, TESTDATA)
+    assert asked["state_partitions"] == spark.sparkContext.defaultParallelism
+
+
 def bytes_to_driver(spark, query) -> int:
     """Size of the results of all tasks that a query ran."""
     tracker, store = spark.sparkContext.statusTracker(), spark.sparkContext._jsc.sc().statusStore()
