@@ -14,7 +14,7 @@ from millrace.plans import apps
 from millrace.streaming.changelog import all_batches, last_per_key
 from millrace.streaming.manifests import commit, committed
 from millrace.streaming.positions import Positions, kafka_offsets, last_commit, one_form, read_files
-from millrace.streaming.relayout import carried_over, positions
+from millrace.streaming.relayout import carried_over, join_state, positions
 from millrace.streaming.runner import changelog_sink, drain, parquet_sink
 
 
@@ -109,6 +109,19 @@ def totals(spark, checkpoint: str) -> list[tuple]:
     return rows(last_per_key(all_batches(spark, f"{checkpoint}-out"), ["CustomerCardNo"]))
 
 
+def test_the_rows_a_join_holds_are_read_in_one_scan(spark, topics, tmp_path):
+    publish(spark, topics, apps.IMPRESSIONS, [impression("a", "c"), impression("b", "c"), impression(None, "c")])
+    publish(spark, topics, apps.CLICKS, [click("a", i) for i in range(50)] + [click("b", 1), click("z", 2)])
+    checkpoint = str(tmp_path / "c")
+    run_join(spark, topics, checkpoint)
+    for side in ("left", "right"):
+        found = join_state(spark, checkpoint, side, last_commit(spark, checkpoint))
+        whole = spark.read.format("statestore").option("joinSide", side).load(checkpoint).select("value.*")
+        assert found.schema.simpleString() == whole.schema.simpleString() and rows(found) == rows(whole)
+        # Reading a side looks up every row of a key by its number.
+        assert "joinSide" not in found._jdf.queryExecution().toString()
+
+
 def test_totals_go_on_with_more_partitions(spark, topics, tmp_path):
     whole, first, second, third = (str(tmp_path / name) for name in ("whole", "first", "second", "third"))
     session = spark.newSession()
