@@ -8,6 +8,7 @@ the level's radius of their centre (covering), centres under one parent more tha
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,10 +16,14 @@ import numpy as np
 RADII = (0.5, 0.25)
 TIGHT = 0.1
 ROUNDING = 1e-9
+# Centres are compared in single precision first, whose error in a cosine is below this for every component.
+SINGLE = 2e-7
 NET_BLOCK = 512
 MATRIX_ROWS = 1024
 FEW = 4096
 PAIRS_AT_ONCE = 1 << 15
+# Rows and columns of a block of cosines that stays in a core's cache.
+BLOCK = (256, 2048)
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -163,16 +168,14 @@ def dual_traversal(a: Tree, b: Tree, links: Links, reach: float) -> None:
             for children_b in (members[radius_b[members] <= TIGHT], members[radius_b[members] > TIGHT]):
                 if not len(children_b):
                     continue
-                centres_b = b.points[b.starts[level][children_b]].T
-                for low in range(below[0][x], below[1][x], MATRIX_ROWS):
-                    children_a = np.arange(low, min(low + MATRIX_ROWS, below[1][x]))
-                    cosine = a.points[a.starts[level][children_a]] @ centres_b
-                    # First by the largest radius of these nodes, then by each one's own.
-                    most = radius_a[children_a] + radius_b[children_b].max() + reach
-                    i, j = np.nonzero(cosine >= cosine_at(most)[:, None] - ROUNDING)
-                    own = radius_a[children_a[i]] + radius_b[children_b[j]] + reach
-                    near = cosine[i, j] >= cosine_at(own) - ROUNDING
-                    kept.append((children_a[i[near]], children_b[j[near]]))
+                children_a = np.arange(below[0][x], below[1][x])
+                # First by the largest radius of these nodes, then by each one's own.
+                most = cosine_at(radius_a[children_a] + radius_b[children_b].max() + reach)
+                for i, j in maybe_near(a.points[a.starts[level][children_a]], b.points[b.starts[level][children_b]], most):
+                    i, j = children_a[i], children_b[j]
+                    cosine = np.einsum("ij,ij->i", a.points[a.starts[level][i]], b.points[b.starts[level][j]])
+                    near = cosine >= cosine_at(radius_a[i] + radius_b[j] + reach) - ROUNDING
+                    kept.append((i[near], j[near]))
         for i, j in expanded(pairs_a[~large], pairs_b[~large], below[0], n_a, below[2], n_b):
             cosine = np.einsum("ij,ij->i", a.points[a.starts[level][i]], b.points[b.starts[level][j]])
             apart = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * cosine))
@@ -191,6 +194,19 @@ def dual_traversal(a: Tree, b: Tree, links: Links, reach: float) -> None:
         links.add(i[near], j[near])
 
 
+def maybe_near(a: np.ndarray, b: np.ndarray, least: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows whose cosine is at least ``least`` of the first, and some below, a bounded number at a time."""
+    rows, columns = BLOCK
+    single, bound = a.astype(np.float32), (least - SINGLE * (a.shape[1] + 8)).astype(np.float32)
+    for start in range(0, len(b), columns):
+        across = np.ascontiguousarray(b[start:start + columns].T, np.float32)
+        for first in range(0, len(a), rows):
+            near = np.flatnonzero(single[first:first + rows] @ across >= bound[first:first + rows, None])
+            for low in range(0, len(near), PAIRS_AT_ONCE):
+                i, j = np.divmod(near[low:low + PAIRS_AT_ONCE], across.shape[1])
+                yield first + i, start + j
+
+
 def expanded(pairs_a: np.ndarray, pairs_b: np.ndarray, first_a: np.ndarray, n_a: np.ndarray,
              first_b: np.ndarray, n_b: np.ndarray):
     """All pairs of members of the paired nodes, a bounded number at a time."""

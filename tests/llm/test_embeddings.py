@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 
 from llm_helpers import collected, workers_find_the_package  # noqa: F401
-from millrace.llm.covertree import RADII, build, distances
+from millrace.llm import embeddings
+from millrace.llm.covertree import RADII, Links, build, distances, dual_traversal
 from millrace.llm.embeddings import near_duplicate_vectors
 
 
@@ -66,6 +67,38 @@ def test_an_empty_table(spark):
     assert near_duplicate_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_trees_that_meet_are_not_shuffled(spark, monkeypatch):
+    plans = {}
+    stored = embeddings.stored
+
+    def seen(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return stored(df, label)
+
+    monkeypatch.setattr(embeddings, "stored", seen)
+    df = spark.createDataFrame(vectors(3), "vec_id long, embedding array<float>")
+    assert near_duplicate_vectors(df, tile=40).count() == len(vectors(3))
+    assert "MapInArrow" in plans["vector-links"] and "Exchange" not in plans["vector-links"]
+    # The vectors go through one shuffle, as the floats that they are, and are kept once.
+    assert plans["cover-trees"].count("Exchange") == 1
+
+
+def test_centres_compared_in_single_precision_lose_no_link():
+    rng = np.random.default_rng(4)
+    one, other = (rng.normal(size=(3000, 8)) for _ in range(2))
+    # Some pairs are at the bound itself.
+    turned = 0.95 * one[:500] / np.linalg.norm(one[:500], axis=1)[:, None]
+    across = other[:500] - np.einsum("ij,ij->i", other[:500], turned)[:, None] / 0.95 ** 2 * turned
+    other[:500] = turned + np.sqrt(1 - 0.95 ** 2) * across / np.linalg.norm(across, axis=1)[:, None]
+    one, other = (x / np.linalg.norm(x, axis=1)[:, None] for x in (one, other))
+    (a, order_a), (b, order_b) = build(one), build(other)
+    links = Links(len(one), len(other), 0.95 - 1e-12, False)
+    dual_traversal(a, b, links, np.sqrt(2 - 2 * 0.95) + 1e-6)
+    want = one[order_a] @ other[order_b].T >= 0.95 - 1e-12
+    assert (links.count_a == want.sum(axis=1)).all() and (links.count_b == want.sum(axis=0)).all()
+    assert want.sum() > 500
+
+
 def test_the_tree_covers_separates_and_nests():
     points = np.array([v for _, v in vectors(2)])
     points /= np.linalg.norm(points, axis=1)[:, None]
