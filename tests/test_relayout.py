@@ -9,6 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import publish, rows
+from millrace.operators import skew
+from millrace.operators.clicks import ROW_ID, clicks_from, impressions_from
 from millrace.operators.skew import frozen
 from millrace.plans import apps
 from millrace.streaming.changelog import all_batches, last_per_key
@@ -95,6 +97,61 @@ def test_a_key_that_grows_hot_is_spread_in_the_next_checkpoint(spark, topics, tm
     assert pairs(spark, first, second, third) == want
 
 
+def test_rows_of_a_key_that_no_list_knows_are_held_in_packs(spark, topics, tmp_path):
+    first, second = str(tmp_path / "first"), str(tmp_path / "second")
+    publish(spark, topics, apps.IMPRESSIONS, [impression(str(i), "c") for i in range(40)])
+    clicks = [click(str(i), i) for i in range(40)]
+    publish(spark, topics, apps.CLICKS, clicks)
+    run_join(spark, topics, first)
+    hot = [click("7", i % 600) for i in range(2000)]
+    publish(spark, topics, apps.CLICKS, hot)
+    run_join(spark, topics, first)
+    assert spark.read.parquet(f"{first}/hot-keys").count() == 0
+    held_rows = join_state(spark, first, "right", last_commit(spark, first)).select("ClickID", F.size("right_rows").alias("n"))
+    assert held_rows.agg(F.sum("n")).first()[0] == 2040 and held_rows.where("ClickID = '7'").count() < 40
+
+    apps.carry_clicks(spark, first, second)
+    assert [row["key"] for row in spark.read.parquet(f"{second}/hot-keys").collect()] == ["7"]
+    late = [click("7", 5), click("8", 5)]
+    publish(spark, topics, apps.CLICKS, late)
+    publish(spark, topics, apps.IMPRESSIONS, [impression("7", "late")])
+    run_join(spark, topics, second)
+    campaigns = {str(i): ["c"] for i in range(40)} | {"7": ["c", "late"]}
+    assert pairs(spark, first, second) == sorted(
+        ((c["InventoryID"], "2020-01-01 00:00:00", campaign, c["InventoryID"], c["CreatedTime"])
+         for c in clicks + hot + late for campaign in campaigns[c["InventoryID"]]), key=repr)
+
+
+def test_a_state_without_packs_is_carried_over(spark, topics, tmp_path):
+    first, second = str(tmp_path / "first"), str(tmp_path / "second")
+    publish(spark, topics, apps.IMPRESSIONS, [impression("a", "c"), impression("b", "c")])
+    publish(spark, topics, apps.CLICKS, [click("a", 1), click("a", 1), click("b", 2), click("z", 3)])
+    left = impressions_from(topics.stream(spark, apps.IMPRESSIONS, positions=True)).drop(*ROW_ID)
+    right = clicks_from(topics.stream(spark, apps.CLICKS, positions=True)).drop(*ROW_ID)
+    drain(parquet_sink(left.join(right, left.ImpressionID == right.ClickID), f"{first}-out"), first)
+    apps.carry_clicks(spark, first, second)
+    publish(spark, topics, apps.IMPRESSIONS, [impression("z", "c"), impression("a", "late")])
+    run_join(spark, topics, second)
+    time = "2020-01-01 00:00:0"
+    assert pairs(spark, second) == [("a", f"{time}0", "late", "a", f"{time}1")] * 2 + [("z", f"{time}0", "c", "z", f"{time}3")]
+
+
+def test_packs_hold_every_row_once(spark, monkeypatch):
+    monkeypatch.setattr(skew, "PACK", 10)
+    chance = random.Random(3)
+    plain = [(chance.choice(["a", "b", None, *map(str, range(50))]), i % 2, i if i % 7 else None, f"t{i}") for i in range(500)]
+    plain += [("hot", 1, i, None) for i in range(333)]
+    chance.shuffle(plain)
+    df = spark.createDataFrame(plain, "key string, cell long, number long, text string").repartition(3)
+    packs = skew.packed(df, ["key", "cell"], "some_rows")
+    assert packs.columns == ["key", "cell", "some_rows"]
+    fuller = skew.packed(packs.repartition(2), ["key", "cell"], "some_rows")
+    for found, most in ((packs, 10), (fuller, 19)):
+        assert max(len(row["some_rows"]) for row in found.collect()) <= most
+        assert rows(skew.unpacked(found, "some_rows")) == sorted((row for row in plain if row[0] is not None), key=repr)
+    assert fuller.count() < packs.count() < 500
+
+
 def item(card: str, total: float) -> dict:
     return {"CustomerType": "PRIME", "CustomerCardNo": card, "TotalValue": total}
 
